@@ -22,7 +22,7 @@ from gleaner.plans import index as I
 from gleaner.plans import texts as TX
 from gleaner.plans import titles as TI
 from gleaner.plans import training as TR
-from gleaner.workspace import work_path
+from gleaner.workspace import stage, work_path
 
 from . import views as VW
 
@@ -176,7 +176,7 @@ def title_job_statistics(spark, sf):
 @query
 def clean_tokens(spark, sf):
     tokens = X.clean_tokens(F.col("text"))
-    return VW.table(spark, sf, "documents").select(
+    return VW.table(spark, sf, "documents", "doc_id", "text").select(
         "doc_id", F.size(tokens).cast("long").alias("n_tokens"),
         F.md5(F.array_join(tokens, " ")).alias("tokens_md5"),
     )
@@ -184,14 +184,14 @@ def clean_tokens(spark, sf):
 
 @query
 def token_counts(spark, sf):
-    docs = VW.table(spark, sf, "documents").select("doc_id", "text")
+    docs = VW.table(spark, sf, "documents", "doc_id", "text")
     counted = W.with_token_counts(docs, "text", VW.stop_words(spark), ["doc_id"])
     return W.token_rows(counted.drop("text"))
 
 
 @query
 def bag_of_words(spark, sf):
-    docs = VW.table(spark, sf, "documents").select("doc_id", "text")
+    docs = VW.table(spark, sf, "documents", "doc_id", "text")
     return W.with_bag(docs, "text", VW.stop_words(spark), ["doc_id"]).select("doc_id", "bag")
 
 
@@ -233,7 +233,7 @@ def text_occurrences(spark, sf):
 
 
 def _profiles(spark, sf):
-    return L.build_profiles(VW.table(spark, sf, "documents").select("text", "lang"))
+    return L.build_profiles(VW.table(spark, sf, "documents", "text", "lang"))
 
 
 @query
@@ -243,7 +243,7 @@ def language_profiles(spark, sf):
 
 @query
 def detect_language(spark, sf):
-    docs = VW.table(spark, sf, "documents").select("doc_id", "text")
+    docs = VW.table(spark, sf, "documents", "doc_id", "text")
     return L.detect_language(docs, L.profile_table(_profiles(spark, sf)), ["doc_id"]).select(
         "doc_id", "lang"
     )
@@ -286,7 +286,8 @@ def _stop(spark):
 
 
 def _training(spark, sf) -> DataFrame:
-    return TR.training_rows(VW.corpus(spark, sf), _stop(spark))
+    """(url, tokens, categories, …) of the documents."""
+    return TR.page_tokens(VW.corpus(spark, sf), _stop(spark))
 
 
 @query
@@ -296,7 +297,8 @@ def training_rows(spark, sf):
 
 @query
 def training_rows_corpus(spark, sf):
-    return _training(spark, sf).select("url", F.md5("tokens").alias("tokens_md5"), "klass")
+    rows = TR.training_rows(VW.corpus(spark, sf), _stop(spark))
+    return rows.select("url", F.md5("tokens").alias("tokens_md5"), "klass")
 
 
 @query
@@ -342,20 +344,20 @@ def _instances(spark, sf) -> DataFrame:
 
 @query
 def vocabulary_topw(spark, sf):
-    return V.top_terms(V.term_counts(_instances(spark, sf)), VOCABULARY)
+    return V.top_terms(V.count_terms(_instances(spark, sf)), VOCABULARY)
 
 
 @query
 def tfidf(spark, sf):
-    instances = _instances(spark, sf).select("url", "klass", "terms")
-    rows = V.tfidf(instances, V.vocabulary(instances, VOCABULARY))
+    instances = stage(_instances(spark, sf), "instances").select("url", "klass", "terms")
+    rows = V.tfidf(instances, V.vocabulary(V.count_terms(instances), VOCABULARY))
     return rows.withColumn("weight", F.round("weight", DIGITS))
 
 
 @query
 def tfidf_normalized(spark, sf):
-    instances = _instances(spark, sf).select("url", "klass", "terms")
-    rows = V.tfidf(instances, V.vocabulary(instances, VOCABULARY), normalize=True)
+    instances = stage(_instances(spark, sf), "instances").select("url", "klass", "terms")
+    rows = V.tfidf(instances, V.vocabulary(V.count_terms(instances), VOCABULARY), normalize=True)
     return rows.withColumn("weight", F.round("weight", DIGITS))
 
 

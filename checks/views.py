@@ -9,6 +9,7 @@ from gleaner.functions.urls import url_host
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary, lookup
 from gleaner.operators.words import StopWords
+from gleaner.sources import spread
 
 SUFFIX_RULES = (
     "com", "net", "org", "example.com", "example.net", "example.org", "uk", "*.uk", "!city.uk",
@@ -17,8 +18,8 @@ STOP_WORDS = ("the", "and", "of", "is", "on", "in", "to")
 TRAINING_STOP_WORDS = ("http", "https", "example", "page", "that", "with")
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf}/{name}.parquet").select(*columns))
 
 
 def number(col: Column) -> Column:
@@ -85,7 +86,7 @@ def crawl(spark: SparkSession, sf: str) -> DataFrame:
     )
     copies = F.when(pid % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        table(spark, sf, "pages")
+        table(spark, sf, "pages", "page_id", "url", "html")
         .withColumn("crawl", F.explode(copies))
         .withColumn("status", status)
         .withColumn("kind", kind)
@@ -103,15 +104,15 @@ def crawl(spark: SparkSession, sf: str) -> DataFrame:
 def hosts(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct hosts of the pages without a leading www label, and a number for each."""
     host = F.regexp_replace(url_host(F.col("url")), r"^www[a-z0-9_]*\.", "")
-    return table(spark, sf, "pages").select(host.alias("host")).distinct().withColumn(
+    return table(spark, sf, "pages", "url").select(host.alias("host")).distinct().withColumn(
         "num", number(F.col("host"))
     )
 
 
 def category_index(spark: SparkSession, sf: str) -> DataFrame:
     """(host, categories): one host in five is missing, some have two categories."""
-    nation = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = table(spark, sf, "region").select("r_regionkey", "r_name")
+    nation = spark.read.parquet(f"{sf}/nation.parquet")
+    region = spark.read.parquet(f"{sf}/region.parquet")
     names = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     known = hosts(spark, sf).where(F.col("num") % 5 != 0).withColumn(
         "n_nationkey", (F.col("num") % 25).cast("int")
@@ -144,12 +145,14 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("http://"), www, "source", F.lit(".example.com/p/"),
         (F.col("doc_id") % 60).cast("string"),
     )
-    return table(spark, sf, "documents").select(url.alias("url"), "text", "lang")
+    return table(spark, sf, "documents", "doc_id", "source", "text", "lang").select(
+        url.alias("url"), "text", "lang"
+    )
 
 
 def whitelist(spark: SparkSession, sf: str) -> Dictionary:
     """Domains of the sources whose number is even."""
-    source = table(spark, sf, "documents").select("source").distinct()
+    source = table(spark, sf, "documents", "source").distinct()
     domain = F.concat("source", F.lit(".example.com"))
     return Dictionary(
         source.where(number(F.col("source")) % 2 == 0).select(domain.alias("domain"))
@@ -161,8 +164,8 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
 
     The language is the first category, a judged quality the second.
     """
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    judged = table(spark, sf, "labels").select("doc_id", "quality")
+    docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+    judged = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
     url = F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.col("doc_id"))
     kind = F.when(F.col("quality") == 1, ",good").when(F.col("quality") == 0, ",poor").otherwise("")
     return docs.join(judged, "doc_id", "left").select(

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{M}]+"
 MAX_N = 3
-# Overlapping windows of a word padded by one space on each side. A window ending in two
-# capitals is skipped, so acronyms do not count. Lookahead captures keep this linear in the
-# length of the word.
-_UNIGRAM = r"(?!(?<=\p{Lu})\p{Lu})(?=([\p{L}\p{M}]))"
-_BIGRAM = r"(?!\p{Lu}{2})(?=([ \p{L}\p{M}]{2}))"
-_TRIGRAM = r"(?!.\p{Lu}{2})(?=([ \p{L}\p{M}][\p{L}\p{M}][ \p{L}\p{M}]))"
+# Every three characters of a padded word, taken by a lookahead capture so that windows overlap
+# and the work is linear in the word. A window ending in two capitals is skipped, so acronyms do
+# not count.
+_WINDOW = r"(?!.\p{Lu}{2})(?=(.{3}))"
 
 # Scripts the profiles fold to one representative letter each.
 FOLDED_SCRIPTS = {
@@ -34,8 +32,17 @@ def language_words(text: Column) -> Column:
     return F.regexp_extract_all(fold_scripts(text), F.lit(WORD), F.lit(0))
 
 
-def word_ngrams(word: Column) -> Column:
-    padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.concat(
-        *[F.regexp_extract_all(padded, F.lit(p), F.lit(1)) for p in (_UNIGRAM, _BIGRAM, _TRIGRAM)]
+def word_windows(word: Column) -> Column:
+    """One window of three characters per character of the word and its closing space."""
+    padded = F.concat(F.lit("  "), word, F.lit(" "))
+    return F.regexp_extract_all(padded, F.lit(_WINDOW), F.lit(1))
+
+
+def window_ngrams(window: Column) -> Column:
+    """The n-grams ending with a window; null in place of those that would span a space."""
+    last, middle = F.substring(window, 3, 1), F.substring(window, 2, 1)
+    return F.array(
+        F.when(last != " ", last),
+        F.substring(window, 2, 2),
+        F.when(middle != " ", window),
     )

@@ -16,8 +16,8 @@ WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 # apostrophes, which is the same as splitting on everything else and stripping non-letters
 # from both ends.
 CLEAN_TOKEN = r"\p{L}(?:[\p{L}\p{Nd}']*\p{L})?"
-ALNUM_RUN = r"[A-Za-z0-9]+"
-MIN_TRAINING_LENGTH = 4
+# A maximal run of at least four ASCII letters and digits with a letter in it.
+TRAINING_TOKEN = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{4})[0-9]*+[A-Za-z][A-Za-z0-9]*+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,9 +44,7 @@ def clean_tokens(col: Column) -> Column:
 
 def training_tokens(col: Column) -> Column:
     """Lower-cased ASCII tokens with a letter and at least four characters, in order."""
-    runs = F.regexp_extract_all(col, F.lit(ALNUM_RUN), F.lit(0))
-    kept = F.filter(runs, lambda t: (F.length(t) >= MIN_TRAINING_LENGTH) & t.rlike("[A-Za-z]"))
-    return F.transform(kept, F.lower)
+    return F.transform(F.regexp_extract_all(col, F.lit(TRAINING_TOKEN), F.lit(0)), F.lower)
 
 
 def without_words(tokens: Column, words: Iterable[str]) -> Column:

@@ -12,6 +12,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import stage
 from .joins import Dictionary, lookup
 from .scoring import MARKER, ScoreTable, class_names, marked_terms, score, score_columns
 
@@ -29,7 +30,6 @@ class ClassSums:
     """Summed weights per (fold, class, term) and instance counts per (fold, class)."""
 
     weights: DataFrame
-    source: DataFrame
     classes: list[str]
     folds: int
     instances: dict[tuple[int, str], int]
@@ -48,9 +48,6 @@ class ClassSums:
             (self.instance_count(name, without) + 1) / (everything + len(self.classes))
         )
 
-    def release(self) -> None:
-        self.source.unpersist()
-
 
 def _idf_table(vocab: Dictionary) -> DataFrame:
     """(term, idf) with a row for the marker."""
@@ -70,14 +67,11 @@ def class_sums(instances: DataFrame, vocab: Dictionary) -> ClassSums:
     weighted = lookup(
         rows.withColumnRenamed("token", "term"), _idf_table(vocab), ["term"], small=vocab.small
     )
-    sums = (
-        weighted.groupBy("fold", "klass", "term")
-        .agg(
-            F.sum(F.log1p(F.col("n")) * F.col("idf")).alias("weight"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .persist()
+    summed = weighted.groupBy("fold", "klass", "term").agg(
+        F.sum(F.log1p(F.col("n")) * F.col("idf")).alias("weight"),
+        F.count(F.lit(1)).alias("n"),
     )
+    sums = stage(summed, "class-sums")
     per_class = sums.groupBy("fold", "klass").agg(
         F.sum("weight").alias("w"), F.sum(F.when(F.col("term") == MARKER, F.col("n"))).alias("n")
     )
@@ -85,7 +79,6 @@ def class_sums(instances: DataFrame, vocab: Dictionary) -> ClassSums:
     collected = per_class.collect()
     return ClassSums(
         weights=sums.where(F.col("term") != MARKER),
-        source=sums,
         classes=sorted({r["klass"] for r in collected}),
         folds=max((r["fold"] for r in collected), default=0) + 1,
         instances={(r["fold"], r["klass"]): r["n"] for r in collected},

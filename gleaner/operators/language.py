@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ngrams as G
 from ..functions.text import run_lengths
+from ..workspace import stage
 from .joins import Dictionary
 from .scoring import MARKER, ScoreTable, class_names, marked_terms, score, score_columns
 
@@ -18,18 +19,21 @@ def build_profiles(texts: DataFrame, text: str = "text", lang: str = "lang") ->
     """Profiles (lang, ngram, cnt, n_words) from labelled text.
 
     Words are counted first, inside each row and then per language, so n-grams are only made of
-    distinct words.
+    distinct words. The counts are staged, since the totals per n-gram length read them again.
     """
     words = (
         texts.select(lang, F.inline(run_lengths(G.language_words(F.col(text)))))
         .groupBy(F.col(lang).alias("lang"), "token")
         .agg(F.sum("n").alias("n"))
     )
-    counts = (
-        words.select("lang", "n", F.explode(G.word_ngrams(F.col("token"))).alias("ngram"))
+    windows = words.select("lang", "n", F.explode(G.word_windows(F.col("token"))).alias("_w"))
+    counted = (
+        windows.select("lang", "n", F.explode(G.window_ngrams(F.col("_w"))).alias("ngram"))
+        .where(F.col("ngram").isNotNull())
         .groupBy("lang", "ngram")
         .agg(F.sum("n").alias("cnt"))
     )
+    counts = stage(counted, "profiles")
     per_n = (
         counts.groupBy("lang")
         .agg(
@@ -77,10 +81,17 @@ def detect_language(
     Rows with the same key must hold the same text.
     """
     words = docs.select(*key, F.inline(marked_terms(run_lengths(G.language_words(F.col(text))))))
-    terms = F.when(F.col("token") == MARKER, F.array(F.lit(MARKER))).otherwise(
-        G.word_ngrams(F.col("token"))
+    # The marker has no characters to make a window of and passes through as it is.
+    is_marker = F.col("token") == MARKER
+    windows = F.when(is_marker, F.array(F.lit(MARKER))).otherwise(G.word_windows(F.col("token")))
+    terms = F.when(F.col("_w") == MARKER, F.array(F.lit(MARKER))).otherwise(
+        G.window_ngrams(F.col("_w"))
+    )
+    weighted = (
+        words.select(*key, F.col("n").alias("weight"), F.explode(windows).alias("_w"))
+        .select(*key, "weight", F.explode(terms).alias("term"))
+        .where(F.col("term").isNotNull())
     )
-    weighted = words.select(*key, F.col("n").alias("weight"), F.explode(terms).alias("term"))
     return score(weighted, key, table).select(
         *key, "copies", F.when(F.col("known") > 0, F.col("best")).alias("lang")
     )

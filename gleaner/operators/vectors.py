@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths
+from ..workspace import stage
 from .joins import Dictionary, lookup
+from .scoring import MARKER, marked_terms
 
 # The vocabulary sizes trained by default.
 VOCABULARY_SIZES = (1500, 3000, 5000, 7500, 10000)
@@ -18,33 +22,48 @@ def with_terms(training: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def term_counts(instances: DataFrame) -> DataFrame:
-    """(term, total, df): occurrences and instances per term.
+    """(term, total, df): occurrences and instances per term, and of the marker term.
 
     Terms are already counted within an instance, so its rows are distinct and the document
-    frequency is a plain count.
+    frequency is a plain count. That of the marker is the number of instances.
     """
     return (
-        instances.select(F.inline("terms"))
+        instances.select(F.inline(marked_terms(F.col("terms"))))
         .groupBy(F.col("token").alias("term"))
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
     )
 
 
-def top_terms(counts: DataFrame, size: int) -> DataFrame:
+@dataclass
+class TermCounts:
+    """Term counts (term, total, df) of a corpus and its number of instances."""
+
+    terms: DataFrame
+    instances: int
+
+
+def count_terms(instances: DataFrame) -> TermCounts:
+    """Count a corpus once; the counts are staged, as several passes read them."""
+    counts = stage(term_counts(instances), "terms")
+    marker = counts.where(F.col("term") == MARKER).first()
+    return TermCounts(counts.where(F.col("term") != MARKER), marker["df"] if marker else 0)
+
+
+def top_terms(counts: TermCounts, size: int) -> DataFrame:
     """The `size` most frequent terms and all ties with the last of them.
 
     The cut comes from a bounded top-k (each task sends at most `size` counts), not from a
     global sort; with fewer terms than `size` all are kept.
     """
-    cut = counts.select("total").orderBy(F.desc("total")).limit(size).agg(F.min("total"))
-    return counts.where(F.col("total") >= cut.scalar())
+    top = counts.terms.select("total").orderBy(F.desc("total")).limit(size)
+    cut = top.agg(F.min("total")).first()[0]
+    return counts.terms.where(F.col("total") >= F.lit(cut))
 
 
-def vocabulary(instances: DataFrame, size: int) -> Dictionary:
+def vocabulary(counts: TermCounts, size: int) -> Dictionary:
     """(term, total, df, idf) of the top terms; the unsmoothed idf is ln(instances / df)."""
-    n = instances.agg(F.count(F.lit(1))).scalar()
-    top = top_terms(term_counts(instances), size)
-    return Dictionary(top.withColumn("idf", F.log(n / F.col("df"))))
+    idf = F.log(F.lit(float(counts.instances)) / F.col("df"))
+    return Dictionary(top_terms(counts, size).withColumn("idf", idf))
 
 
 def tfidf(instances: DataFrame, vocab: Dictionary, normalize: bool = False) -> DataFrame:

@@ -66,9 +66,13 @@ def with_bag(df: DataFrame, text: str, stop: StopWords, key: list[str]) -> DataF
 
 
 def token_rows(df: DataFrame, counts: str = "counts") -> DataFrame:
-    """One row per (document, token)."""
+    """One row per (document, token).
+
+    The outer form, with its empty rows removed after it, keeps the optimiser from adding a filter
+    on the array's size, which would count the tokens a second time.
+    """
     others = [c for c in df.columns if c != counts]
-    return df.select(*others, F.inline(counts))
+    return df.select(*others, F.inline_outer(counts)).where(F.col("token").isNotNull())
 
 
 def longest_bag(df: DataFrame) -> DataFrame:

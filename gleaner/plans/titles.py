@@ -15,6 +15,7 @@ from ..operators.domains import (
 )
 from ..operators.histograms import count_bucket, counters, occurrence_histogram
 from ..operators.joins import Dictionary, lookup
+from ..operators.once import with_once
 from ..sinks import write_lines, harvest_line
 
 SUCCESS = "SUCCESS"
@@ -53,13 +54,11 @@ def with_categories(pages: DataFrame, index: Dictionary, rules: SuffixRules) ->
 def with_page(gated: DataFrame) -> DataFrame:
     """Add title, keywords, status class, page type and the final outcome.
 
-    Metadata is parsed for rows that passed the gate only. The parsed value comes out of a
-    one-element explode, because the optimiser would otherwise copy the parse into every filter
-    and projection that uses a field, and move it below the join.
+    Metadata is parsed once, after the category join, and for rows that passed the gate only.
     """
     json = F.col("metadata")
     wanted = F.when(F.col("gate").isNull() & ~is_blank(json), M.parse_metadata(json))
-    parsed = gated.withColumn("_meta", F.explode(F.array(wanted)))
+    parsed = with_once(gated, "_meta", wanted)
     meta = F.col("_meta")
     status, kind = meta["http_result"], meta["content"]["type"]
     outcome = (

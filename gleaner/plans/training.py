@@ -11,7 +11,9 @@ from ..functions import text as X
 from ..operators import bayes as B
 from ..operators import vectors as V
 from ..operators.joins import Dictionary
+from ..operators.once import with_once
 from ..operators.words import StopWords, drop_stop_words
+from ..workspace import stage
 
 # Fixed value: regions whose titles and keywords are left for a later word segmenter.
 UNSEGMENTED_REGIONS = ("zh-CN",)
@@ -35,7 +37,7 @@ def page_tokens(rows: DataFrame, stop: StopWords, region: str = "en-US") -> Data
     if region in UNSEGMENTED_REGIONS:
         words = F.concat(words, F.array("title", "keywords"))
     text = F.replace(F.array_join(words, " "), F.lit("\\"), F.lit(""))
-    return filtered.withColumn("tokens", text).drop("_all").where(F.col("tokens") != "")
+    return with_once(filtered, "tokens", text).drop("_all").where(F.col("tokens") != "")
 
 
 def training_rows(rows: DataFrame, stop: StopWords, region: str = "en-US") -> DataFrame:
@@ -71,34 +73,37 @@ class Classifier:
 
     def release(self) -> None:
         self.vocabulary.unpersist()
-        self.sums.release()
 
 
-def instances_of(training: DataFrame, folds: int = B.FOLDS) -> DataFrame:
-    """(url, klass, doc, fold, terms): training rows ready to count; doc tells texts apart."""
-    keyed = training.withColumn("doc", F.md5("tokens"))
-    return B.with_fold(V.with_terms(keyed), folds)
+def instances_of(pages: DataFrame, folds: int = B.FOLDS) -> DataFrame:
+    """(url, klass, doc, fold, terms) from (url, tokens, categories); doc tells texts apart.
+
+    Terms are counted before a page is repeated per category.
+    """
+    keyed = pages.select("url", "categories", "tokens", F.md5("tokens").alias("doc"))
+    counted = B.with_fold(V.with_terms(keyed), folds)
+    return counted.select(
+        "url", "doc", "fold", "terms", F.explode(F.split("categories", ",")).alias("klass")
+    )
 
 
 def train_classifier(
-    training: DataFrame, vocabulary_size: int = V.VOCABULARY_SIZES[0], folds: int = B.FOLDS
+    pages: DataFrame, vocabulary_size: int = V.VOCABULARY_SIZES[0], folds: int = B.FOLDS
 ) -> Classifier:
-    instances = instances_of(training, folds)
-    vocab = V.vocabulary(instances, vocabulary_size)
-    return Classifier(instances, vocab, B.class_sums(instances, vocab))
+    return train_all(pages, (vocabulary_size,), folds)[vocabulary_size]
 
 
 def train_all(
-    training: DataFrame, sizes: tuple[int, ...] = V.VOCABULARY_SIZES, folds: int = B.FOLDS
+    pages: DataFrame, sizes: tuple[int, ...] = V.VOCABULARY_SIZES, folds: int = B.FOLDS
 ) -> dict[int, Classifier]:
-    """One classifier per vocabulary size.
+    """One classifier per vocabulary size from pages (url, tokens, categories).
 
-    Every vocabulary is a part of the largest one, so terms are counted over the corpus once.
+    Text is tokenised once and its terms counted once for all sizes.
     """
-    instances = instances_of(training, folds)
-    largest = V.vocabulary(instances, max(sizes))
+    instances = stage(instances_of(pages, folds), "instances")
+    counts = V.count_terms(instances)
     models = {}
     for size in sizes:
-        vocab = largest if size == max(sizes) else Dictionary(V.top_terms(largest.df, size))
+        vocab = V.vocabulary(counts, size)
         models[size] = Classifier(instances, vocab, B.class_sums(instances, vocab))
     return models

@@ -18,11 +18,22 @@ def segment_paths(spark: SparkSession, list_path: str, template: str) -> list[st
     return [template.format(segment=r["value"]) for r in lines.collect()]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an input that comes in fewer splits than the cluster has cores.
+
+    The work per row is heavy here, so a small input in one big row group must not run in one
+    task. Large inputs have more splits than that and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+
+
 def read_pages(spark: SparkSession, paths: list[str], fmt: str, key: str, value: str) -> DataFrame:
     """All segments as one (url, <value>) table; fmt is sequence, parquet, orc or json."""
     if fmt == "sequence":
         return read_sequence_files(spark, paths, value)
-    return spark.read.format(fmt).load(paths).select(F.col(key).alias("url"), F.col(value))
+    pages = spark.read.format(fmt).load(paths)
+    return spread(pages.select(F.col(key).alias("url"), F.col(value)))
 
 
 def read_sequence_files(spark: SparkSession, paths: list[str], value: str) -> DataFrame:
