@@ -251,7 +251,7 @@ def detect_language(spark, sf):
 
 def _detected(spark, sf):
     table = L.profile_table(_profiles(spark, sf))
-    return TX.detect_pages(VW.texts(spark, sf).select("url", "text"), table)
+    return stage(TX.detect_pages(VW.texts(spark, sf).select("url", "text"), table), "detected")
 
 
 @query

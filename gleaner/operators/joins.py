@@ -82,3 +82,33 @@ def lookup(
     salted = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+# A key is hot when it holds more than this share of all rows, so at most 1 / share keys are.
+HOT_SHARE = 1 / 1000
+
+
+def hot_keys(counted: DataFrame, key: str, count: str, share: float = HOT_SHARE) -> DataFrame:
+    """(key) of the keys whose count exceeds the share of the total; at most 1 / share rows."""
+    total = counted.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    return counted.where(F.col(count) > F.lit(float(total * share))).select(key)
+
+
+def semi_join_hot(
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, salts: int = SALTS
+) -> DataFrame:
+    """Left semi-join of two large tables whose left side is known to be hot on a few keys.
+
+    Rows of hot keys are spread over `salts` tasks, and only the right rows of those keys are
+    copied. `hot` is small by construction (see hot_keys) and is broadcast.
+    """
+    flagged = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
+    salt = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    spread = left.join(flagged, key, "left").withColumn("_salt", salt).drop("_hot")
+    copied = right.select(key).join(flagged, key, "left").select(
+        key, F.explode(copies).alias("_salt")
+    )
+    return spread.join(copied, [key, "_salt"], "left_semi").drop("_salt")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.domains import URL_OK, SuffixRules, with_url_outcome
 from ..operators.histograms import count_bucket
-from ..operators.joins import Dictionary, lookup
+from ..operators.joins import Dictionary, hot_keys, lookup, semi_join_hot
 from ..operators.language import detect_language, language_counts
 from ..operators.scoring import ScoreTable
 from ..operators.words import StopWords, longest_bag, with_bag
@@ -52,11 +52,13 @@ def harvest_texts(
     """(url, domain, bag, occurrences): the longest bag of each URL in the wanted language.
 
     The whitelist and the in-row bag come before the language join, so only bags of whitelisted
-    pages are shuffled, never raw text.
+    pages are shuffled, never raw text. A text copied very often is a hot join key; its copies are
+    known from detection. `detected` is read several times and should be a written table.
     """
     bags = page_bags(with_text_key(pages), whitelist, rules, stop)
     wanted = detected.where(F.col("lang") == language).select("text_key")
-    return longest_bag(bags.join(wanted, "text_key", "left_semi"))
+    hot = hot_keys(detected, "text_key", "copies")
+    return longest_bag(semi_join_hot(bags, wanted, "text_key", hot))
 
 
 def harvest_labelled_texts(

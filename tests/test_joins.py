@@ -1,6 +1,13 @@
 import pytest
 
-from gleaner.operators.joins import Dictionary, fits_broadcast, lookup, measure
+from gleaner.operators.joins import (
+    Dictionary,
+    fits_broadcast,
+    hot_keys,
+    lookup,
+    measure,
+    semi_join_hot,
+)
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +44,24 @@ def test_measure_and_bounds(sides):
     assert not fits_broadcast(right, max_rows=40)
     assert not fits_broadcast(right, max_bytes=100)
     assert not Dictionary(right, max_rows=40).small
+
+
+def test_semi_join_with_hot_keys(spark, sides):
+    left, right = sides
+    counted = left.where("key is not null").groupBy("key").count()
+    hot = hot_keys(counted, "key", "count", share=0.1)
+    assert [r.key for r in hot.collect()] == ["hot"]
+    doubled = right.union(right)
+    expected = left.join(right, "key", "left_semi")
+    got = semi_join_hot(left, doubled, "key", hot, salts=8)
+    assert sorted(got.collect()) == sorted(expected.collect())
+    # 300 rows of one key in eight input partitions end in several tasks.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = semi_join_hot(left.repartition(8), right, "key", hot, salts=8)
+        tasks = joined.where("key = 'hot'").selectExpr("spark_partition_id() p").distinct()
+        assert tasks.count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
