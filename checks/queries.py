@@ -514,7 +514,8 @@ def training_file(spark, sf):
 def split_files(spark, sf):
     """Lines per part, read from the split's folders."""
     path = work_path(spark, "split")
-    sinks.write_split(S.stratified_split(_harvested(spark, sf), seed="7"), path)
+    rows = stage(_harvested(spark, sf), "harvested")
+    sinks.write_split(S.stratified_split(rows, seed="7"), path)
     return spark.read.text(path).select("value", F.col("split").cast("string").alias("split"))
 
 

@@ -97,7 +97,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add category and split: per category the first 80 % train, the next 10 % validate.
 
-    A row with several categories is placed once per category. `columns` and the categories make
+    The rows are read four times but never shuffled or sorted as a whole, so pass a written table
+    rather than a long computation. A row with several categories is placed once per category. `columns` and the categories make
     up the digest; rows equal in all of them are interchangeable, and when a cut falls among
     such copies, their numbers on either side are exact.
     """

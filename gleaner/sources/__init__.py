@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 
 TEXT_CLASS = "org.apache.hadoop.io.Text"
-SUFFIX_LIST_RESOURCE = "mozilla/public-suffix-list.txt"
+SUFFIX_LIST_NAME = "public-suffix-list.txt"
+SUFFIX_LIST_OWNER = "org.apache.http.conn.util.PublicSuffixMatcherLoader"
+SPREAD_BYTES = 8 * 1024**3
 HARVEST_FIELDS = ("url", "title", "keywords", "categories")
 
 
@@ -19,13 +23,17 @@ def segment_paths(spark: SparkSession, list_path: str, template: str) -> list[st
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that comes in fewer splits than the cluster has cores.
+    """Spread a small input that comes in fewer splits than the cluster has cores.
 
-    The work per row is heavy here, so a small input in one big row group must not run in one
-    task. Large inputs have more splits than that and are left alone.
+    The work per row is heavy here, so a small file with one big row group must not run in one
+    task. Inputs beyond SPREAD_BYTES are left alone: they have splits enough, and are not worth
+    a shuffle.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= cores else df
+    if size > SPREAD_BYTES or df.rdd.getNumPartitions() > cores:
+        return df
+    return df.repartition(cores)
 
 
 def read_pages(spark: SparkSession, paths: list[str], fmt: str, key: str, value: str) -> DataFrame:
@@ -43,7 +51,7 @@ def read_sequence_files(spark: SparkSession, paths: list[str], value: str) -> Da
     Python once; land them as Parquet before running several jobs.
     """
     pairs = spark.sparkContext.sequenceFile(",".join(paths), TEXT_CLASS, TEXT_CLASS)
-    return spark.createDataFrame(pairs, f"url STRING, `{value}` STRING")
+    return spark.createDataFrame(pairs, f"url STRING, `{value}` STRING", verifySchema=False)
 
 
 def land_pages(pages: DataFrame, path: str) -> DataFrame:
@@ -52,7 +60,7 @@ def land_pages(pages: DataFrame, path: str) -> DataFrame:
     return pages.sparkSession.read.parquet(path)
 
 
-def _whole_json(spark: SparkSession, path: str, schema: str) -> Column:
+def _whole_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("json"))
 
@@ -118,12 +126,11 @@ def read_suffix_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def bundled_suffix_rules(spark: SparkSession) -> DataFrame:
     """(rule) from the public suffix list inside Spark's own HTTP client jar."""
-    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    stream = loader.getResourceAsStream(SUFFIX_LIST_RESOURCE)
-    if stream is None:
-        raise FileNotFoundError(SUFFIX_LIST_RESOURCE)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
+    owner = spark._jvm.java.lang.Class.forName(SUFFIX_LIST_OWNER)
+    jar = owner.getProtectionDomain().getCodeSource().getLocation().getPath()
+    with zipfile.ZipFile(jar) as files:
+        name = next(n for n in files.namelist() if n.endswith(SUFFIX_LIST_NAME))
+        text = files.read(name).decode("utf-8")
     return _suffix_rules(spark.createDataFrame([(t,) for t in text.splitlines()], "value STRING"))
 
 
