@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secrets": secrets.query,
     "op6_decontamination": decontaminate.query,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_secrets": secrets.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
 }
