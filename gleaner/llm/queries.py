@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, secrets
+from . import decontaminate, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": quality.query,
     "op4_secrets": secrets.query,
     "op6_decontamination": decontaminate.query,
+    "op7_toxicity": toxicity.query,
 }
 
 ORACLE: dict[str, str] = {
