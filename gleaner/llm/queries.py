@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, quality, secrets, toxicity
+from . import decontaminate, fingerprints, pieces, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
     "op2_sentencepiece": pieces.query,
+    "op3_fingerprints": fingerprints.query,
     "op4_secrets": secrets.query,
     "op6_decontamination": decontaminate.query,
     "op7_toxicity": toxicity.query,
