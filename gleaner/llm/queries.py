@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, pieces, quality, secrets, toxicity
+from . import decontaminate, fingerprints, pieces, quality, repeats, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
     "op2_sentencepiece": pieces.query,
     "op3_fingerprints": fingerprints.query,
     "op4_secrets": secrets.query,
+    "op5_substring_dedup": repeats.query,
     "op6_decontamination": decontaminate.query,
     "op7_toxicity": toxicity.query,
 }
 
 ORACLE: dict[str, str] = {
     "op4_secrets": secrets.ORACLE,
+    "op5_substring_dedup": repeats.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
 }
