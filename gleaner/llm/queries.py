@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, jaccard, pieces, quality, repeats, secrets, toxicity
+from . import decontaminate, fingerprints, jaccard, licenses, pieces, quality, repeats, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_substring_dedup": repeats.query,
     "op6_decontamination": decontaminate.query,
     "op7_toxicity": toxicity.query,
+    "op8_licenses": licenses.query,
     "op10_jaccard_join": jaccard.query,
 }
 
@@ -23,5 +24,6 @@ ORACLE: dict[str, str] = {
     "op4_secrets": secrets.ORACLE,
     "op5_substring_dedup": repeats.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
+    "op8_licenses": licenses.ORACLE,
     "op10_jaccard_join": jaccard.ORACLE,
 }
