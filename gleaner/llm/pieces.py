@@ -122,6 +122,7 @@ class Vocabulary:
     kinds: list[int]
     char_tokens: dict[str, int]
     tried: dict[tuple[int, int], bool]
+    encoder: Encoder | None = None  # of this process, kept from task to task
 
     @classmethod
     def of(cls, pieces: list[tuple[str, float, int]]) -> Vocabulary:
@@ -403,7 +404,8 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(Vocabulary.of(pieces))
 
     def run(batches):
-        encoder = Encoder(model.value)
+        vocabulary = model.value
+        encoder = vocabulary.encoder = vocabulary.encoder or Encoder(vocabulary)
         for batch in batches:
             texts = raw_texts(batch.column(1))
             for start, end in blocks(texts, 4 << 20):
