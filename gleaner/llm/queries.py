@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprints, jaccard, licenses, pieces, quality, repeats, secrets, toxicity
+from . import chat, decontaminate, fingerprints, jaccard, licenses, pieces, quality, repeats, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": decontaminate.query,
     "op7_toxicity": toxicity.query,
     "op8_licenses": licenses.query,
+    "op9_chat": chat.query,
     "op10_jaccard_join": jaccard.query,
 }
 
