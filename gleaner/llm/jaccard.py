@@ -40,7 +40,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import (
+    NO_ID,
     blocks,
+    document_columns,
     identified,
     map_batches,
     mixed,
@@ -428,15 +430,18 @@ def _near_size(a: str, b: str):
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """documents less all but one of each component: the row of the smallest doc_id stays (of rows
-    equal in it, the one of least text hash; of equal rows, one). Unlinked documents stay."""
-    from .common import document_columns
-
+    """documents less all but one of each component: the row of the smallest doc_id stays, and of
+    rows that repeat it the one of the least hash of its columns. Unlinked documents stay."""
     source = document_columns(docs)
     found = join_near(source)
     stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return source.join(stays, F.coalesce(source["doc_id"], F.lit(-(2**63))) == stays["doc_id"]).select(
-        *[source[c] for c in source.columns]
+    ranked = Window.partitionBy("_id").orderBy(F.xxhash64(*source.columns))
+    return (
+        source.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID)))
+        .join(stays.withColumnRenamed("doc_id", "_id"), "_id")
+        .withColumn("_rank", F.row_number().over(ranked))
+        .where("_rank = 1")
+        .select(*source.columns)
     )
 
 
