@@ -14,12 +14,18 @@ Cost-based allocation. Candidate schemes (coarse with deletions, fine without, e
 itself) are weighed on all sets of a band: the cheapest by index rows that gives each set its H + 1,
 with some in reserve, is taken, and only the leading segments that any set needs are indexed.
 
-Frequent keys. A key of more than COMMON sets is common. A set whose other keys still make H + 1 finds
-all its partners by them and leaves common keys; the others meet there.
+Frequent keys. A key of more than COMMON sets is common, and nothing is compared for it. A set whose
+other keys still make H + 1 finds all its partners by them. The others are indexed again, among
+themselves and with every shingle by itself, at the least cost: linked sets of size n differ from each
+other's by n / 4 of their own shingles at most, so n / 4 + 1 segments are allocated, those of the
+shingles that fewest of these sets have. A passage that many share is then in nobody's allocation
+that has a quarter of its own.
 
 Verification. Within a key every set is compared with the key's least; then, only where a key's sets
 are in different components, its sets are compared across components. Pairs already in one component
-add nothing. Comparison is of the whole sets.
+add nothing. A pair is first held against parities: bit h mod B of a set's parity is the number of its
+shingles there, odd or even, so two parities never differ in more bits than the sets do in shingles,
+and pairs that differ in too many go. What is left is compared on the whole sets.
 
 Equal sets are one class from the start, so copies cost one row a batch. Results: a document's set
 size and the smallest doc_id of its component.
@@ -125,6 +131,28 @@ def digests(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return sums[0], sums[1]
 
 
+def parities(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set 2**(band + 1) bits, 64 at least: one to two bits a shingle."""
+    out, end = [], 0
+    for size, band in zip(sizes.tolist(), band_of(np.maximum(sizes, 1)).tolist(), strict=True):
+        bits = 1 << max(6, band + 1)
+        start, end = end, end + size
+        place = (tokens[start:end] & np.uint64(bits - 1)).astype(np.int64)
+        odd = (np.bincount(place, minlength=bits) & 1).astype(np.uint8)
+        out.append(np.packbits(odd).tobytes())
+    return out
+
+
+def parity_apart(x: bytes, y: bytes) -> int:
+    """In how many bits two parities differ; the longer is folded to the shorter's length."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def parts(
     tokens: np.ndarray, document: np.ndarray, segments: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,14 +219,15 @@ def described(rows: DataFrame) -> DataFrame:
                     pa.array(sizes),
                     pa.array(one),
                     pa.array(two),
+                    pa.array(parities(tokens, sizes), pa.binary()),
                     *(pa.array(x) for x in needed),
                     *(pa.array(x.astype(np.float64)) for x in costs),
                 ],
-                ["doc_id", "n", "d1", "d2", *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
+                ["doc_id", "n", "d1", "d2", "parity", *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
             )
 
     names = [f"need{i} long" for i in options] + [f"cost{i} double" for i in options]
-    return map_batches(rows, work, ", ".join(["doc_id long, n long, d1 long, d2 long", *names]))
+    return map_batches(rows, work, ", ".join(["doc_id long, n long, d1 long, d2 long, parity binary", *names]))
 
 
 def allocated(sets: DataFrame) -> dict[int, Scheme]:
@@ -298,6 +327,51 @@ def indexed(rows: DataFrame, schemes: dict[int, Scheme]) -> DataFrame:
     return map_batches(rows, work, "key long, node long")
 
 
+def by_shingle(rows: DataFrame) -> DataFrame:
+    """(key, node) of sets with every shingle by itself; node is the first digest."""
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = raw_texts(batch.column(1))
+        for start, end in blocks(texts):
+            tokens, sizes = token_sets(texts[start:end])
+            node, _ = digests(tokens, sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(mixed(tokens).view(np.int64)), pa.array(np.repeat(node, sizes))],
+                ["key", "node"],
+            )
+
+    return map_batches(rows, work, "key long, node long")
+
+
+def needy(groups: DataFrame) -> DataFrame:
+    """(node) of sets with more common keys than they have in reserve."""
+    return (
+        groups.where(F.col("sets") > COMMON)
+        .groupBy("node")
+        .count()
+        .where(F.col("count") > F.col("node").bitwiseAND((1 << RESERVE_BITS) - 1))
+        .select("node")
+    )
+
+
+def allotted(shingles: DataFrame) -> DataFrame:
+    """(key, rep, size) of the n / 4 + 1 shingles of a set that fewest sets have, out of (key, rep,
+    size, sets) of the shared ones; those it shares with nobody come first and are not there."""
+    own = Window.partitionBy("rep")
+    rank = F.row_number().over(own.orderBy("sets", "key"))
+    alone = F.col("size") - F.count("*").over(own)
+    ranked = shingles.withColumn("rank", rank).withColumn("alone", alone)
+    return ranked.where(F.col("rank") + F.col("alone") <= F.floor(F.col("size") / 4) + 1).select(
+        "key", "rep", "size"
+    )
+
+
+def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of some documents: ids (a written table) are broadcast if they are few enough."""
+    few = ids.count() <= PICK_ROWS
+    return rows.join(F.broadcast(ids) if few else ids, "doc_id")
+
+
 def shared_keys(index: DataFrame) -> DataFrame:
     """(key, node, sets) of keys that two or more different sets have."""
     order = Window.partitionBy("key").orderBy("node")
@@ -308,13 +382,37 @@ def shared_keys(index: DataFrame) -> DataFrame:
     ).select("key", "node", "sets")
 
 
+def plausible(pairs: DataFrame, classes: DataFrame, at_least: int) -> DataFrame:
+    """The pairs (a, b) of classes' doc_ids that sizes and parities do not rule out."""
+
+    def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+        keep = [
+            # The union is (x + y + apart) / 2, the intersection (x + y - apart) / 2.
+            100 * (x + y - (apart := parity_apart(p, q))) >= at_least * (x + y + apart)
+            for x, y, p, q in zip(*columns, strict=True)
+        ]
+        yield batch.select([0, 1]).filter(pa.array(keep))
+
+    a, b = (
+        classes.select(
+            F.col("rep").alias(name),
+            F.col("n").alias(f"n_{name}"),
+            F.col("parity").alias(f"parity_{name}"),
+        )
+        for name in ("a", "b")
+    )
+    joined = pairs.join(b, "b").join(a, "a")
+    return map_batches(
+        joined.select("a", "b", "n_a", "n_b", "parity_a", "parity_b"), compared, "a long, b long"
+    )
+
+
 def verified(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
     """The pairs (a, b) of doc_ids whose sets link; pairs come once each."""
     ids = stage(
         pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), "ids"
     )
-    few = ids.count() <= PICK_ROWS
-    picked = rows.join(F.broadcast(ids) if few else ids, "doc_id")
 
     def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = raw_texts(batch.column(1))
@@ -329,7 +427,7 @@ def verified(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
                 ["doc_id", "tokens"],
             )
 
-    sets = stage(map_batches(picked, hashed, "doc_id long, tokens binary").distinct(), "sets")
+    sets = stage(map_batches(picked(rows, ids), hashed, "doc_id long, tokens binary").distinct(), "sets")
 
     def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         first, second = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -361,27 +459,25 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
     sets = stage(described(rows), "sets")
     schemes = allocated(sets)
     classes = stage(
-        sets.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes"
+        sets.where("n > 0")
+        .groupBy("n", "d1", "d2")
+        .agg(F.min("doc_id").alias("rep"), F.min("parity").alias("parity")),
+        "classes",
     )
     known = classes.select(
         F.shiftright("d1", RESERVE_BITS).alias("digest"), "rep", F.col("n").alias("size")
     )
     groups = stage(shared_keys(indexed(rows, schemes)), "groups")
-    # Sets that need their common keys: more of them than they have in reserve.
-    needy = (
-        groups.where(F.col("sets") > COMMON)
-        .groupBy("node")
-        .count()
-        .where(F.col("count") > F.col("node").bitwiseAND((1 << RESERVE_BITS) - 1))
-        .select("node")
-    )
+    digest = F.shiftright("node", RESERVE_BITS).alias("digest")
+    again = needy(groups).select(digest).join(known, "digest").select(F.col("rep").alias("doc_id"))
+    again = stage(again.distinct(), "needy")
+    shingles = shared_keys(by_shingle(picked(rows, again))).select("key", digest, "sets")
     members = (
         groups.where(F.col("sets") <= COMMON)
-        .select("key", "node")
-        .unionAll(groups.where(F.col("sets") > COMMON).join(needy, "node").select("key", "node"))
-        .select("key", F.shiftright("node", RESERVE_BITS).alias("digest"))
+        .select("key", digest)
         .join(known, "digest")
         .select("key", "rep", "size")
+        .unionAll(allotted(shingles.join(known, "digest").drop("digest").distinct()))
         .distinct()
     )
     members = stage(members, "members")
@@ -395,7 +491,8 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
         .distinct()
     )
     tried = stage(stars, "stars")
-    links = stage(verified(tried, rows, at_least), "links")
+    likely = stage(plausible(tried, classes, at_least), "likely")
+    links = stage(verified(likely, rows, at_least), "links")
     labels = components(links)
     placed = members.join(labels, members["rep"] == labels["node"], "left").select(
         "key", "rep", "size", F.coalesce("component", "rep").alias("component")
@@ -413,10 +510,11 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    more = stage(verified(stage(across, "across"), rows, at_least), "links")
+    likely = stage(plausible(across, classes, at_least), "likely")
+    more = stage(verified(likely, rows, at_least), "links")
     if more.limit(1).count():
         labels = components(links.unionAll(more))
-    found = sets.join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", "rep")
+    found = sets.join(classes.drop("parity"), ["n", "d1", "d2"], "left").select("doc_id", "n", "rep")
     return found.join(labels, found["rep"] == labels["node"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
