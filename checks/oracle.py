@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .views import STOP_WORDS, SUFFIX_RULES, TRAINING_STOP_WORDS
 
-VOCABULARY = 500
+VOCABULARY = 1500
+SIZES = (1500, 3000, 5000, 7500, 10000)
 FOLDS = 10
 WS = r"[ \t\n\x0B\f\r]+"
 
@@ -55,7 +56,7 @@ crawl AS (
          ELSE 'kw' || (page_id % 7) || ', k' || (page_id % 5) END AS keywords,
     CASE WHEN page_id % 17 = 3 THEN 'blank' WHEN page_id % 19 = 4 THEN 'bad' ELSE 'ok' END AS doc
   FROM (
-    SELECT *, unnest(CASE WHEN page_id % 4 = 0 THEN [1, 2] ELSE [1] END) AS crawl,
+    SELECT *, unnest(range(1, CASE WHEN page_id % 4 = 0 THEN 3 + page_id % 6 ELSE 2 END)) AS crawl,
       regexp_replace(url, '^[a-z]+://[^/]*', '') AS path,
       regexp_extract(url, '^[a-z]+://[^/]*') AS front,
       regexp_extract(url, '^[a-z]+://([^/]*)', 1) AS hostname
@@ -307,10 +308,17 @@ parted AS (
     ELSE 'test' END AS split FROM placed)"""
 
 
-INSTANCES = f"""
+COPIED = f"""
+copied AS (
+  SELECT url, tokens, klass,
+    unnest(CASE WHEN {_num('url')} % 3 = 0 THEN [1, 2] ELSE [1] END) AS crawl FROM training)"""
+
+
+def _instances(source: str) -> str:
+    return f"""
 instances AS (
   SELECT row_number() OVER (ORDER BY url, klass) AS id, url, klass, tokens,
-    CAST('0x' || substr(md5(url), 1, 8) AS BIGINT) % {FOLDS} AS fold FROM training),
+    CAST('0x' || substr(md5(url), 1, 8) AS BIGINT) % {FOLDS} AS fold FROM {source}),
 terms AS (
   SELECT id, term, count(*) AS tf FROM (
     SELECT id, unnest(string_split(tokens, ' ')) AS term FROM instances) t GROUP BY ALL),
@@ -318,6 +326,9 @@ term_counts AS (
   SELECT term, sum(tf)::BIGINT AS total, count(*) AS df FROM terms GROUP BY term)"""
 
 
+INSTANCES = _instances("training")
+
+
 def _vocabulary(size: int, suffix: str = "") -> str:
     return f"""
 vocab{suffix} AS (
@@ -391,7 +402,7 @@ CORPUS_TRAINING = [CORPUS, _training("corpus")]
 VECTORS = [*CORPUS_TRAINING, INSTANCES, _vocabulary(VOCABULARY)]
 CV = [*VECTORS, _fold_models()]
 SWEEP = [*CORPUS_TRAINING, INSTANCES]
-for _size in (100, 200, 300):
+for _size in SIZES:
     SWEEP += [_vocabulary(_size, str(_size)), _fold_models(str(_size))]
 
 ORACLE: dict[str, str] = {
@@ -452,11 +463,40 @@ SELECT doc_id, d.lang FROM documents LEFT JOIN detected d USING (doc_id)"""),
     "language_counts": _with(GRAMS, body="""
 SELECT lang, count(*) AS n FROM detected GROUP BY lang"""),
     "harvest_detected_texts": _with(*DETECTED, body="SELECT * FROM longest"),
-    "text_job_statistics": _with(*DETECTED, body=f"""
+    "text_job_statistics": _with(
+        GRAMS, TEXTS, WHITELIST, _WANTED, """
+english AS (SELECT w.* FROM wanted w JOIN detected d USING (doc_id)
+  WHERE d.lang = 'en' AND doc_id % 43 <> 0 AND doc_id % 41 > 2)""",
+        _bags("english", "doc_id"), _longest("english"), body=f"""
 SELECT 'parse' AS grp, 'SUCCESS' AS name, count(*) AS n FROM longest
 UNION ALL SELECT 'url_occurrence', {_bucket('occurrences')}, count(*) FROM longest GROUP BY 2
 UNION ALL SELECT 'parse', 'ERR_LANG_DETECT', count(*) FROM documents
-  WHERE doc_id NOT IN (SELECT doc_id FROM detected) HAVING count(*) > 0"""),
+  WHERE doc_id % 43 = 0 OR doc_id NOT IN (SELECT doc_id FROM detected) HAVING count(*) > 0
+UNION ALL SELECT 'parse', CASE doc_id % 41 WHEN 0 THEN 'ERR_URI_MALFORMED'
+  WHEN 1 THEN 'ERR_URI_ILLEGAL' ELSE 'ERR_URI_NO_SUFFIX' END, count(*) FROM detected
+  WHERE lang = 'en' AND doc_id % 43 <> 0 AND doc_id % 41 < 3 GROUP BY 2"""),
+    "stop_list_file": _with(_bags("documents", "doc_id"), body="""
+SELECT doc_id, coalesce(bag, '') AS bag FROM documents LEFT JOIN bags USING (doc_id)"""),
+    "profile_files": _with(GRAMS, body="""
+SELECT doc_id, d.lang FROM documents LEFT JOIN detected d USING (doc_id)"""),
+    "language_count_file": _with(GRAMS, body="""
+SELECT '0lang:' || lang || chr(9) || count(*) AS value FROM detected GROUP BY lang"""),
+    "sequence_file_scan": _with(CRAWL, body="""
+SELECT url, status, title, keywords FROM crawl WHERE doc = 'ok' AND page_id % 3 <> 2"""),
+    "training_terms_bigrams": _with(CORPUS, f"""
+hanzi AS (SELECT url, title || ' ' || chr((26376 + doc % 7)::INT) || chr(26085) || chr((26412 + doc % 5)::INT)
+    || 'word' AS title, keywords, categories
+  FROM (SELECT *, CAST(split_part(url, '/', 4) AS BIGINT) AS doc FROM corpus) c)""", body=f"""
+SELECT url, md5(array_to_string(list_concat(list_concat({_tokenised('url')}, list_concat(
+    [substr(right(title, 7), 1, 2), substr(right(title, 7), 2, 2)],
+    {_tokenised("left(title, length(title) - 7) || ' word'")})),
+    {_tokenised('keywords')}), ' ')) AS tokens_md5,
+  unnest(string_split(categories, ',')) AS klass FROM hanzi"""),
+    "split_by_page": _with(CORPUS, """
+strata AS (SELECT url, '' AS title, '' AS keywords, replace(min(categories), ',', ';') AS categories
+  FROM corpus GROUP BY url)""", _split("strata", "7"), body="""
+SELECT c.url, unnest(string_split(c.categories, ',')) AS category, p.split
+FROM corpus c JOIN parted p USING (url)"""),
     "training_rows": _with(
         *PAGES, _training("harvested"), body="SELECT url, tokens, klass FROM training"
     ),
@@ -486,7 +526,8 @@ SELECT category, split, count(*) AS n FROM parted GROUP BY ALL"""),
     "vocabulary_topw": _with(*VECTORS, body="SELECT term, total, df FROM vocab"),
     "tfidf": _with(*VECTORS, body="""
 SELECT url, klass, term, round(weight, 6) AS weight FROM weights JOIN instances USING (id)"""),
-    "tfidf_normalized": _with(*VECTORS, """
+    "tfidf_normalized": _with(
+        *CORPUS_TRAINING, COPIED, _instances("copied"), _vocabulary(VOCABULARY), """
 lengths AS (SELECT id, sqrt(sum(weight * weight)) AS len FROM weights GROUP BY id)""", body="""
 SELECT url, klass, term, round(CASE WHEN len > 0 THEN weight * (SELECT sum(len) FROM lengths)
   / (SELECT count(*) FROM instances) / len ELSE weight END, 6) AS weight
@@ -507,10 +548,22 @@ SELECT count(*) AS instances, count(*) FILTER (klass = prediction) AS correct,
   round(count(*) FILTER (klass = prediction) / count(*)::DOUBLE, 6) AS accuracy FROM cv"""),
     "nb_vocabulary_sweep": _with(*SWEEP, body="\nUNION ALL\n".join(
         f"SELECT {s} AS size, count(*) AS instances, count(*) FILTER (klass = prediction) "
-        f"AS correct FROM cv{s}" for s in (100, 200, 300))),
-    "nb_model_json": _with(
-        *VECTORS, MODEL, body="SELECT term, klass, round(ll, 6) AS ll FROM likelihoods"
-    ),
+        f"AS correct FROM cv{s}" for s in SIZES)),
+    "nb_class_metrics": _with(*CV, """
+actual AS (SELECT klass, count(*) AS instances, count(*) FILTER (klass = prediction) AS correct
+  FROM cv GROUP BY klass),
+guessed AS (SELECT prediction AS klass, count(*) AS predicted FROM cv GROUP BY prediction)""",
+        body="""
+SELECT klass, coalesce(instances, 0) AS instances, coalesce(predicted, 0) AS predicted,
+  coalesce(correct, 0) AS correct,
+  CASE WHEN predicted > 0 THEN round(coalesce(correct, 0) / predicted::DOUBLE, 6) ELSE 0 END AS precision,
+  CASE WHEN instances > 0 THEN round(correct / instances::DOUBLE, 6) ELSE 0 END AS recall,
+  round(2 * coalesce(correct, 0)
+    / (coalesce(instances, 0) + coalesce(predicted, 0))::DOUBLE, 6) AS f1
+FROM actual FULL JOIN guessed USING (klass)"""),
+    "nb_model_json": _with(*VECTORS, MODEL, body="""
+SELECT term, klass, round(log_prior, 6) AS log_prior, round(ll, 6) AS ll
+FROM likelihoods JOIN priors USING (klass)"""),
     "build_index": _with(INDEX, body="""
 SELECT host, concat_ws(',', cat1, cat2) AS categories FROM category_index"""),
     "whitelist_sorted": _with(INDEX, body="SELECT host FROM category_index"),

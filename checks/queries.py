@@ -29,7 +29,8 @@ from . import views as VW
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-VOCABULARY = 500
+VOCABULARY = 1500
+SIZES = (1500, 3000, 5000, 7500, 10000)
 DIGITS = 6
 
 
@@ -271,7 +272,7 @@ def harvest_detected_texts(spark, sf):
 def text_job_statistics(spark, sf):
     """The whole job with its files: the statistics it wrote."""
     paths = TX.run_text_harvest(
-        spark, VW.texts(spark, sf).select("url", "text"), L.profile_table(_profiles(spark, sf)),
+        spark, VW.texts_with_errors(spark, sf), L.profile_table(_profiles(spark, sf)),
         VW.whitelist(spark, sf), VW.suffix_rules(spark), VW.stop_words(spark),
         work_path(spark, "texts"),
     )
@@ -323,7 +324,8 @@ def category_docs(spark, sf):
 
 @query
 def stratified_split(spark, sf):
-    return S.stratified_split(VW.corpus(spark, sf), seed="7").select("url", "category", "split")
+    rows = stage(VW.corpus(spark, sf), "corpus")
+    return S.stratified_split(rows, seed="7").select("url", "category", "split")
 
 
 @query
@@ -342,6 +344,13 @@ def _instances(spark, sf) -> DataFrame:
     return TR.instances_of(_training(spark, sf))
 
 
+def _instances_with_copies(spark, sf) -> DataFrame:
+    """Every third page is crawled twice."""
+    crawled = F.explode(F.sequence(F.lit(1), F.when(VW.number(F.col("url")) % 3 == 0, 2).otherwise(1)))
+    pages = _training(spark, sf).withColumn("crawl", crawled).drop("crawl")
+    return TR.instances_of(pages)
+
+
 @query
 def vocabulary_topw(spark, sf):
     return V.top_terms(V.count_terms(_instances(spark, sf)), VOCABULARY)
@@ -356,7 +365,8 @@ def tfidf(spark, sf):
 
 @query
 def tfidf_normalized(spark, sf):
-    instances = stage(_instances(spark, sf), "instances").select("url", "klass", "terms")
+    copied = stage(_instances_with_copies(spark, sf), "instances")
+    instances = copied.select("url", "klass", "terms")
     rows = V.tfidf(instances, V.vocabulary(V.count_terms(instances), VOCABULARY), normalize=True)
     return rows.withColumn("weight", F.round("weight", DIGITS))
 
@@ -378,38 +388,45 @@ def nb_likelihoods(spark, sf):
     ).withColumn("ll", F.round("ll", DIGITS))
 
 
+def _every_copy(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+
+
 @query
 def nb_predict(spark, sf):
-    return _classifier(spark, sf).predict().select("url", "klass", "prediction")
+    return _every_copy(_classifier(spark, sf).predict()).select("url", "klass", "prediction")
 
 
 @query
 def nb_cross_validation(spark, sf):
-    return _classifier(spark, sf).cross_validate().select("url", "klass", "fold", "prediction")
+    return _every_copy(_classifier(spark, sf).cross_validate()).select(
+        "url", "klass", "fold", "prediction"
+    )
 
 
 @query
 def nb_confusion(spark, sf):
-    return B.confusion(_classifier(spark, sf).cross_validate())
+    return B.confusion(_classifier(spark, sf).cross_validate()).drop("size")
 
 
 @query
 def nb_accuracy(spark, sf):
     matrix = B.confusion(_classifier(spark, sf).cross_validate())
-    return B.accuracy(matrix).withColumn("accuracy", F.round("accuracy", DIGITS))
+    return B.accuracy(matrix).withColumn("accuracy", F.round("accuracy", DIGITS)).drop("size")
+
+
+@query
+def nb_class_metrics(spark, sf):
+    matrix = B.confusion(_classifier(spark, sf).cross_validate())
+    rounded = [F.round(c, DIGITS).alias(c) for c in ("precision", "recall", "f1")]
+    return B.class_metrics(matrix).select("klass", "instances", "predicted", "correct", *rounded)
 
 
 @query
 def nb_vocabulary_sweep(spark, sf):
-    """Cross-validated hits for several vocabulary sizes from one term count."""
-    parts = []
-    for size, model in TR.train_all(_training(spark, sf), sizes=(100, 200, 300)).items():
-        hits = B.accuracy(B.confusion(model.cross_validate()))
-        parts.append(hits.select(F.lit(size).alias("size"), "instances", "correct"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Cross-validated hits for all vocabulary sizes in one pass."""
+    model = TR.train_classifier(_training(spark, sf), SIZES)
+    return B.accuracy(B.confusion(model.cross_validate())).drop("accuracy")
 
 
 @query
@@ -423,9 +440,12 @@ def nb_model_json(spark, sf):
     )
     parsed = document.select(F.from_json("value", schema).alias("m"))
     return parsed.select(
-        "m.classes", F.explode("m.logLikelihoods").alias("term", "lls")
-    ).select("term", F.posexplode("lls").alias("class_idx", "ll"), "classes").select(
+        "m.classes", "m.logPriors", F.explode("m.logLikelihoods").alias("term", "lls")
+    ).select(
+        "term", F.posexplode("lls").alias("class_idx", "ll"), "classes", "logPriors"
+    ).select(
         "term", F.element_at("classes", F.col("class_idx").cast("string")).alias("klass"),
+        F.round(F.get("logPriors", F.col("class_idx")), DIGITS).alias("log_prior"),
         F.round("ll", DIGITS).alias("ll"),
     )
 
@@ -489,17 +509,73 @@ def harvest_file_rejects(spark, sf):
 
 @query
 def sequence_file_scan(spark, sf):
-    """Page metadata through key/value SequenceFiles named by a segment list."""
+    """Page metadata through key/value SequenceFiles: two listed segments, a third is not read."""
     base = work_path(spark, "segments")
-    pages = VW.crawl(spark, sf).select("url", "metadata")
-    pages.rdd.map(tuple).saveAsSequenceFile(f"{base}/segment/7/metadata")
-    sinks.write_lines(spark.createDataFrame([("7",)], "value STRING"), f"{base}/list")
+    pages = stage(VW.crawl(spark, sf), "crawl")
+    for part, segment in enumerate(("7", "8", "unlisted")):
+        rows = pages.where(F.col("page_id") % 3 == part).select("url", "metadata")
+        rows.rdd.map(tuple).saveAsSequenceFile(f"{base}/segment/{segment}/metadata")
+    sinks.write_lines(spark.createDataFrame([("7",), ("8",)], "value STRING"), f"{base}/list")
     paths = sources.segment_paths(spark, f"{base}/list", base + "/segment/{segment}/metadata*")
-    return sources.read_pages(spark, paths, "sequence", "url", "metadata").select(
-        "url", F.md5("metadata").alias("metadata_md5")
+    read = sources.read_pages(spark, paths, "sequence", "url", "metadata")
+    parsed = read.withColumn("_m", F.explode(F.array(M.parse_metadata(F.col("metadata")))))
+    m = F.col("_m")
+    return parsed.where(~X.is_blank(F.col("metadata")) & m[M.BAD].isNull()).select(
+        "url", m["http_result"].alias("status"), M.page_title(m).alias("title"),
+        M.page_keywords(m).alias("keywords"),
     )
 
 
+@query
+def stop_list_file(spark, sf):
+    """Bags with a stop list read from a file with a byte-order mark and other line ends."""
+    path = work_path(spark, "stop")
+    lines = [(("\ufeff" if i == 0 else "") + word + " \r",) for i, word in enumerate(VW.STOP_WORDS)]
+    sinks.write_lines(spark.createDataFrame(lines, "value STRING").coalesce(1), path)
+    stop = W.StopWords(sources.read_words(spark, path))
+    docs = VW.table(spark, sf, "documents", "doc_id", "text")
+    return W.with_bag(docs, "text", stop, ["doc_id"]).select("doc_id", "bag")
+
+
+@query
+def profile_files(spark, sf):
+    """Detection with profiles read from JSON files, one object a language."""
+    path = work_path(spark, "profiles")
+    entry = F.map_from_entries(F.collect_list(F.struct("ngram", "cnt"))).alias("freq")
+    files = _profiles(spark, sf).groupBy(F.col("lang").alias("name"), "n_words").agg(entry)
+    files.select("name", "n_words", "freq").write.json(path)
+    docs = VW.table(spark, sf, "documents", "doc_id", "text")
+    table = L.profile_table(sources.read_profiles(spark, path))
+    return L.detect_language(docs, table, ["doc_id"]).select("doc_id", "lang")
+
+
+@query
+def language_count_file(spark, sf):
+    """The lines of the language-count file."""
+    path = work_path(spark, "languages")
+    sinks.write_lines(sinks.language_line(L.language_counts(_detected(spark, sf))), path)
+    return spark.read.text(path)
+
+
+@query
+def training_terms_bigrams(spark, sf):
+    """Training rows of titles that end in Han characters, as overlapping pairs."""
+    doc = F.substring_index("url", "/", -1).cast("long")
+    wide = [
+        F.element_at(F.array(*[F.lit(chr(first + i)) for i in range(n)]), (doc % n + 1).cast("int"))
+        for first, n in ((26376, 7), (26085, 1), (26412, 5))
+    ]
+    rows = VW.corpus(spark, sf).withColumn("title", F.concat("title", F.lit(" "), *wide, F.lit("word")))
+    done = TR.training_rows(rows, _stop(spark), "zh-CN", X.han_bigrams)
+    return done.select("url", F.md5("tokens").alias("tokens_md5"), "klass")
+
+
+@query
+def split_by_page(spark, sf):
+    rows = stage(VW.corpus(spark, sf), "corpus")
+    return S.split_by_page(rows, seed="7").select("url", "category", "split")
+
+
 @query
 def training_file(spark, sf):
     """Training rows through the quoted file."""

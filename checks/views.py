@@ -9,7 +9,6 @@ from gleaner.functions.urls import url_host
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
 from gleaner.operators.words import StopWords
-from gleaner.sources import spread
 
 SUFFIX_RULES = (
     "com", "net", "org", "example.com", "example.net", "example.org", "uk", "*.uk", "!city.uk",
@@ -19,7 +18,10 @@ TRAINING_STOP_WORDS = ("http", "https", "example", "page", "that", "with")
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf}/{name}.parquet").select(*columns))
+    """A given table. They come as single small files of one split, so rows are spread over cores."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet").select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores)
 
 
 def number(col: Column) -> Column:
@@ -84,7 +86,18 @@ def crawl(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("content"),
         )
     )
-    copies = F.when(pid % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    # Tags of another shape have no keywords, and a status may be written as a decimal.
+    shape = F.when(pid % 24 == 3, '"meta_tags":{}').when(pid % 24 == 6, '"meta_tags":["x",[1]]').when(
+        pid % 24 == 9, '"meta_tags":[{"name":{"a":[1]},"content":{"b":2}}]'
+    )
+    document = F.coalesce(
+        F.regexp_replace(document, F.lit(r'"meta_tags":\[.*\]'), shape), document
+    )
+    document = F.when(
+        pid % 8 == 0, F.regexp_replace(document, r'"http_result":(\d+)', '"http_result":$1.0')
+    ).otherwise(document)
+    # Crawled once to seven times.
+    copies = F.sequence(F.lit(1), F.when(pid % 4 == 0, 2 + pid % 6).otherwise(1).cast("int"))
     return (
         table(spark, sf, "pages", "page_id", "url", "html")
         .withColumn("crawl", F.explode(copies))
@@ -150,6 +163,24 @@ def texts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def texts_with_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """(url, text): some URLs are bad in each way, some texts have no letters."""
+    doc = F.col("doc_id")
+    bad = (
+        F.when(doc % 41 == 0, "nourl/p")
+        .when(doc % 41 == 1, "http://10.2.3.4/p")
+        .when(doc % 41 == 2, "http://example.org/p")
+    )
+    www = F.when(doc % 3 == 0, "www.").otherwise("")
+    url = F.concat(
+        F.lit("http://"), www, "source", F.lit(".example.com/p/"), (doc % 60).cast("string")
+    )
+    return table(spark, sf, "documents", "doc_id", "source", "text").select(
+        F.coalesce(bad, url).alias("url"),
+        F.when(doc % 43 == 0, "12 34 --").otherwise(F.col("text")).alias("text"),
+    )
+
+
 def whitelist(spark: SparkSession, sf: str) -> Dictionary:
     """Domains of the sources whose number is even."""
     source = table(spark, sf, "documents", "source").distinct()

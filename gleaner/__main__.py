@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from gleaner import sinks, sources
+from gleaner.functions import text
 from gleaner.operators import bayes, language, split, vectors
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
@@ -17,9 +18,14 @@ from gleaner.session import build_session
 from gleaner.workspace import stage
 
 
+TOKENIZERS = {"words": text.training_tokens, "han-bigrams": text.han_bigrams}
+
+
 def _pages(spark: SparkSession, args, value: str):
     paths = sources.segment_paths(spark, args.segments, args.template)
-    return sources.read_pages(spark, paths, args.format, args.key, value)
+    pages = sources.read_pages(spark, paths, args.format, args.key, value, args.partitions)
+    # SequenceFile rows pass through Python: once, whatever the number of passes over them.
+    return stage(pages, "pages") if args.format == "sequence" else pages
 
 
 def _rules(spark: SparkSession, args) -> SuffixRules:
@@ -49,40 +55,63 @@ def run_texts(spark: SparkSession, args) -> None:
     )
 
 
+def _tokenizer(args):
+    return TOKENIZERS[args.tokenizer] if args.tokenizer else None
+
+
 def run_training(spark: SparkSession, args) -> None:
     rows = sources.read_harvest(spark, args.harvest)
-    training_rows = training.training_rows(rows, _stop_words(spark, args), args.region)
+    training_rows = training.training_rows(
+        rows, _stop_words(spark, args), args.region, _tokenizer(args)
+    )
     sinks.write_training(training_rows, f"{args.out}/training")
-    sinks.write_lines(sinks.labels_json(training.labels(rows)), f"{args.out}/labels")
+    training.labels(rows).write.parquet(f"{args.out}/labels_table")
+    labels = spark.read.parquet(f"{args.out}/labels_table")
+    sinks.write_lines(sinks.labels_entries(labels), f"{args.out}/labels_entries")
     sinks.write_lines(
         sources.read_harvest_rejects(spark, args.harvest).toDF("value"), f"{args.out}/rejects"
     )
+    if args.documents:
+        sinks.write_lines(sinks.labels_json(labels), f"{args.out}/labels")
 
 
 def run_classifier(spark: SparkSession, args) -> None:
     rows = sources.read_harvest(spark, args.harvest)
-    pages = training.page_tokens(rows, _stop_words(spark, args), args.region)
-    for size, model in training.train_all(pages, tuple(args.sizes), args.folds).items():
-        out = f"{args.out}/w{size}"
-        model.priors().write.parquet(f"{out}/priors")
-        model.likelihoods().write.parquet(f"{out}/likelihoods")
-        document = sinks.model_json(model.priors(), model.likelihoods())
-        sinks.write_lines(document, f"{out}/model_json")
-        bayes.confusion(model.cross_validate()).write.parquet(f"{out}/confusion")
-        vectors.tfidf(model.instances, model.vocabulary).write.parquet(f"{out}/vectors")
-        model.release()
+    pages = training.page_tokens(rows, _stop_words(spark, args), args.region, _tokenizer(args))
+    model = training.train_classifier(pages, tuple(args.sizes), args.folds)
+
+    def written(df, name: str):
+        df.write.parquet(f"{args.out}/{name}")
+        return spark.read.parquet(f"{args.out}/{name}")
+
+    priors = written(model.priors(), "priors")
+    likelihoods = written(model.likelihoods(), "likelihoods")
+    sinks.write_lines(sinks.model_entries(likelihoods), f"{args.out}/model_entries")
+    matrix = written(bayes.confusion(model.cross_validate()), "confusion")
+    written(bayes.accuracy(matrix), "accuracy")
+    written(bayes.class_metrics(matrix), "class_metrics")
+    written(model.vectors(), "vectors")
+    if args.documents:
+        for size in args.sizes:
+            document = sinks.model_json(priors, likelihoods.where(F.col("size") == size))
+            sinks.write_lines(document, f"{args.out}/w{size}/model_json")
 
 
 def run_split(spark: SparkSession, args) -> None:
     rows = stage(sources.read_harvest(spark, args.harvest), "harvest")
-    sinks.write_split(split.stratified_split(rows, args.seed), args.out)
+    parts = split.split_by_page if args.by_page else split.stratified_split
+    sinks.write_split(parts(rows, args.seed), args.out)
 
 
 def run_index(spark: SparkSession, args) -> None:
-    built = stage(index.build_index(sources.read_interests(spark, args.interests)), "index")
-    usable = built.where(F.col("categories").isNotNull())
-    sinks.write_lines(sinks.index_json(usable), f"{args.out}/index")
-    sinks.write_lines(sinks.whitelist_json(usable), f"{args.out}/whitelist")
+    built = index.build_index(sources.read_interests(spark, args.interests))
+    built.where(F.col("categories").isNotNull()).write.parquet(f"{args.out}/index_table")
+    usable = spark.read.parquet(f"{args.out}/index_table")
+    sinks.write_lines(sinks.index_entries(usable), f"{args.out}/index_entries")
+    sinks.write_lines(sinks.whitelist_entries(usable), f"{args.out}/whitelist_entries")
+    if args.documents:
+        sinks.write_lines(sinks.index_json(usable), f"{args.out}/index")
+        sinks.write_lines(sinks.whitelist_json(usable), f"{args.out}/whitelist")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -95,12 +124,19 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--out", required=True)
         return sub
 
+    def documents(sub):
+        sub.add_argument(
+            "--documents", action="store_true",
+            help="also as one JSON value each, which one task builds and readers hold whole",
+        )
+
     for name, run in (("titles", run_titles), ("texts", run_texts)):
         sub = job(name, run)
         sub.add_argument("--segments", required=True, help="file with one segment id per line")
         sub.add_argument("--template", required=True, help="path pattern with {segment}")
         sub.add_argument("--format", default="sequence")
         sub.add_argument("--key", default="url")
+        sub.add_argument("--partitions", type=int, help="spread an input of few splits")
         sub.add_argument("--value", help="value column of a columnar input")
         sub.add_argument("--suffix-rules", help="default: the list shipped with Spark")
         if name == "titles":
@@ -116,13 +152,18 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--harvest", required=True)
         sub.add_argument("--stop-words", required=True)
         sub.add_argument("--region", default="en-US")
+        sub.add_argument("--tokenizer", choices=sorted(TOKENIZERS))
+        documents(sub)
         if name == "classifier":
             sub.add_argument("--sizes", type=int, nargs="+", default=list(vectors.VOCABULARY_SIZES))
             sub.add_argument("--folds", type=int, default=bayes.FOLDS)
     sub = job("split", run_split)
     sub.add_argument("--harvest", required=True)
     sub.add_argument("--seed", default="0")
-    job("index", run_index).add_argument("--interests", required=True)
+    sub.add_argument("--by-page", action="store_true", help="keep a page's rows in one part")
+    sub = job("index", run_index)
+    sub.add_argument("--interests", required=True)
+    documents(sub)
     return top
 
 

@@ -85,3 +85,21 @@ def bag_string(counts: Column) -> Column:
     """token:n pairs joined by a space."""
     pairs = F.transform(counts, lambda c: F.concat(c["token"], F.lit(":"), c["n"].cast("string")))
     return F.array_join(pairs, " ")
+
+
+HAN_RUN = "[\\p{IsHan}]+"
+
+
+def han_bigrams(text: Column) -> Column:
+    """Tokens of unsegmented text: overlapping pairs of Han characters (a single one by itself), and
+    the usual training tokens of what is between them."""
+    pairs = F.transform(
+        F.regexp_extract_all(text, F.lit(HAN_RUN), F.lit(0)),
+        lambda run: F.when(F.char_length(run) == 1, F.array(run)).otherwise(
+            F.transform(
+                F.sequence(F.lit(1), F.greatest(F.char_length(run) - 1, F.lit(1))),
+                lambda i: F.substring(run, i, F.lit(2)),
+            )
+        ),
+    )
+    return F.concat(F.flatten(pairs), training_tokens(F.regexp_replace(text, HAN_RUN, " ")))

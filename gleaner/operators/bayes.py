@@ -1,20 +1,21 @@
 """Multinomial naive Bayes from grouped sums, with cross-validation in the same pass.
 
 The parameters of a fold's model are the overall sums minus the fold's own, so k models cost one
-aggregation of the weights instead of k.
+aggregation of the weights instead of k. Vocabularies are nested, so the sums of the largest serve
+all sizes, and one scoring pass serves all of them too. Classes are rows; there is no limit to them.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import MARKER, ScoreTable, class_names, marked_terms, score, score_columns
+from .scoring import SLOTS, ScoreTable, class_index, in_blocks, score
+from .vectors import with_sizes
 
 FOLDS = 10
 
@@ -27,193 +28,183 @@ def with_fold(instances: DataFrame, folds: int = FOLDS, column: str = "url") ->
 
 @dataclass
 class ClassSums:
-    """Summed weights per (fold, class, term) and instance counts per (fold, class)."""
+    """weights: (fold, klass, term, total, idf, weight); counts: (fold, klass, n) of instances;
+    totals: (size, terms, fold, klass, weight). All are written tables."""
 
     weights: DataFrame
-    classes: list[str]
+    counts: DataFrame
+    totals: DataFrame
+    classes: DataFrame
+    sizes: list[tuple[int, int, int]]
     folds: int
-    instances: dict[tuple[int, str], int]
-    totals: dict[tuple[int, str], float]
-    vocabulary_size: int
 
-    def instance_count(self, name: str, without: int | None = None) -> int:
-        return sum(n for (f, c), n in self.instances.items() if c == name and f != without)
 
-    def weight_total(self, name: str, without: int | None = None) -> float:
-        return sum(w for (f, c), w in self.totals.items() if c == name and f != without)
-
-    def log_prior(self, name: str, without: int | None = None) -> float:
-        everything = sum(n for (f, _), n in self.instances.items() if f != without)
-        return log(
-            (self.instance_count(name, without) + 1) / (everything + len(self.classes))
-        )
-
-
-def _idf_table(vocab: Dictionary) -> DataFrame:
-    """(term, idf) with a row for the marker."""
-    terms = vocab.select("term", "idf")
-    return terms.unionByName(
-        terms.sparkSession.range(1).select(F.lit(MARKER).alias("term"), F.lit(0.0).alias("idf"))
+def class_sums(
+    instances: DataFrame, vocab: Dictionary, sizes: list[tuple[int, int, int]], folds: int = FOLDS
+) -> ClassSums:
+    """Aggregate instances (klass, fold, terms, …) to TF-IDF sums in one pass."""
+    rows = instances.select("fold", "klass", F.inline("terms")).withColumnRenamed("token", "term")
+    known = vocab.select("term", "idf", "total")
+    weights = stage(
+        lookup(rows, known, ["term"], small=vocab.small)
+        .groupBy("fold", "klass", "term", "total", "idf")
+        .agg(F.sum(F.log1p(F.col("n")) * F.col("idf")).alias("weight")),
+        "class-sums",
     )
-
-
-def class_sums(instances: DataFrame, vocab: Dictionary) -> ClassSums:
-    """Aggregate instances (klass, fold, terms, …) to TF-IDF sums in one pass.
-
-    Each instance carries the marker term, whose count is the number of instances. The result has
-    at most folds × classes × vocabulary rows; only sums per (fold, class) come to the driver.
-    """
-    rows = instances.select("fold", "klass", F.inline(marked_terms(F.col("terms"))))
-    weighted = lookup(
-        rows.withColumnRenamed("token", "term"), _idf_table(vocab), ["term"], small=vocab.small
-    )
-    summed = weighted.groupBy("fold", "klass", "term").agg(
-        F.sum(F.log1p(F.col("n")) * F.col("idf")).alias("weight"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    sums = stage(summed, "class-sums")
-    per_class = sums.groupBy("fold", "klass").agg(
-        F.sum("weight").alias("w"), F.sum(F.when(F.col("term") == MARKER, F.col("n"))).alias("n")
-    )
-    class_names(per_class, "klass")  # checks their number
-    collected = per_class.collect()
-    return ClassSums(
-        weights=sums.where(F.col("term") != MARKER),
-        classes=sorted({r["klass"] for r in collected}),
-        folds=max((r["fold"] for r in collected), default=0) + 1,
-        instances={(r["fold"], r["klass"]): r["n"] for r in collected},
-        totals={(r["fold"], r["klass"]): r["w"] for r in collected},
-        vocabulary_size=vocab.rows,
+    counts = stage(instances.groupBy("fold", "klass").agg(F.count(F.lit(1)).alias("n")), "counts")
+    totals = stage(
+        with_sizes(weights, sizes)
+        .groupBy("size", "terms", "fold", "klass")
+        .agg(F.sum("weight").alias("weight")),
+        "totals",
     )
+    classes = stage(class_index(counts, "klass"), "classes")
+    return ClassSums(weights, counts, totals, classes, sizes, folds)
 
 
-def _pivoted(sums: ClassSums, keys: list[str]) -> DataFrame:
-    """One row per key, one summed weight column per class."""
-    wide = sums.weights.groupBy(*keys).pivot("klass", sums.classes).agg(F.sum("weight"))
-    return wide.select(
-        *keys,
-        *[
-            F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(c)
-            for n, c in zip(sums.classes, score_columns(sums.classes))
-        ],
-    )
+def _each_fold(folds: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))
 
 
-def _log_share(weight: Column, total: Column, vocabulary_size: int) -> Column:
-    return F.log((weight + 1.0) / (total + F.lit(float(vocabulary_size))))
+def _log_priors(sums: ClassSums, left_out: bool) -> DataFrame:
+    """(class_idx, klass, n, log_prior), with fold: without that fold's instances."""
+    n_classes = sums.classes.count()
+    by_class = sums.classes.join(sums.counts, "klass", "left").select(
+        "class_idx", "klass", F.coalesce("n", F.lit(0)).alias("n"), F.col("fold").alias("of")
+    )
+    keys = []
+    if left_out:
+        keys = ["fold"]
+        by_class = by_class.withColumn("fold", _each_fold(sums.folds)).withColumn(
+            "n", F.when(F.col("of") == F.col("fold"), 0).otherwise(F.col("n"))
+        )
+    counted = by_class.groupBy(*keys, "class_idx", "klass").agg(F.sum("n").alias("n"))
+    everything = counted.groupBy(*keys).agg(F.sum("n").alias("everything"))
+    if keys:
+        counted = counted.join(everything, keys)
+    else:
+        counted = counted.withColumn("everything", F.lit(everything.first()["everything"]))
+    log_prior = F.log((F.col("n") + 1) / (F.col("everything") + n_classes))
+    return counted.select(*keys, "class_idx", "klass", "n", log_prior.alias("log_prior"))
 
 
-def priors(spark, sums: ClassSums) -> DataFrame:
+def priors(sums: ClassSums) -> DataFrame:
     """(class_idx, klass, n, log_prior)."""
-    rows = [
-        (i, name, sums.instance_count(name), sums.log_prior(name))
-        for i, name in enumerate(sums.classes)
-    ]
-    return spark.createDataFrame(rows, "class_idx INT, klass STRING, n BIGINT, log_prior DOUBLE")
-
-
-def likelihood_table(sums: ClassSums) -> DataFrame:
-    """(term, c0, c1, …): log likelihood of a term per class."""
-    cols = score_columns(sums.classes)
-    return _pivoted(sums, ["term"]).select(
-        "term",
-        *[
-            _log_share(F.col(c), F.lit(sums.weight_total(n)), sums.vocabulary_size).alias(c)
-            for n, c in zip(sums.classes, cols)
-        ],
+    return _log_priors(sums, left_out=False)
+
+
+def _weights_left(df: DataFrame, sums: ClassSums, keys: list[str], left_out: bool) -> DataFrame:
+    """Sums of weight over the folds by keys; with fold: over the others."""
+    if not left_out:
+        return df.groupBy(*keys).agg(F.sum("weight").alias("weight"))
+    own = F.map_from_entries(F.collect_list(F.struct("fold", "weight"))).alias("own")
+    summed = df.groupBy(*keys).agg(F.sum("weight").alias("every"), own)
+    without = F.col("every") - F.coalesce(F.try_element_at("own", F.col("fold")), F.lit(0.0))
+    return summed.withColumn("fold", _each_fold(sums.folds)).select(
+        "fold", *keys, without.alias("weight")
     )
 
 
-def likelihoods(sums: ClassSums) -> DataFrame:
-    """(token, log_likelihood ARRAY<DOUBLE>) in class_idx order."""
-    return likelihood_table(sums).select(
-        F.col("term").alias("token"),
-        F.array(*score_columns(sums.classes)).alias("log_likelihood"),
+def _log_likelihoods(sums: ClassSums, left_out: bool) -> tuple[DataFrame, list[str]]:
+    """(size, fold if left_out, term, idf, block, s0 …) and the columns before term."""
+    groups = ["size", "fold"] if left_out else ["size"]
+    per_class = _weights_left(sums.weights, sums, ["term", "total", "idf", "klass"], left_out)
+    per_class = with_sizes(per_class, sums.sizes).join(sums.classes, "klass")
+    total = _weights_left(sums.totals, sums, ["size", "terms", "klass"], left_out)
+    # A class whose instances have no term of the vocabulary has no sum.
+    shapes = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(n).alias("terms")) for s, _, n in sums.sizes])
+    every = sums.classes.select("class_idx", "klass", F.explode(shapes).alias("_s")).select(
+        "class_idx", "klass", "_s.size", "_s.terms"
     )
+    if left_out:
+        every = every.withColumn("fold", _each_fold(sums.folds))
+    total = every.join(
+        total.select(*groups, "klass", F.col("weight").alias("sum")), [*groups, "klass"], "left"
+    ).select(
+        *groups, "class_idx", (F.coalesce("sum", F.lit(0.0)) + F.col("terms")).alias("below")
+    )
+    total = stage(total, "likelihoods")
+    scored = per_class.join(total, [*groups, "class_idx"]).select(
+        *groups, "term", "idf", "class_idx",
+        F.log((F.col("weight") + 1.0) / F.col("below")).alias("score"),
+    )
+    absent = total.select(*groups, "class_idx", F.log(1.0 / F.col("below")).alias("score"))
+    return in_blocks(scored, [*groups, "term", "idf"], absent, groups), groups
 
 
-def _score_table(table: DataFrame, vocab: Dictionary, keys: DataFrame, sums: ClassSums):
-    """Log likelihoods times idf, so that scoring multiplies ln(1 + tf) only, plus the marker."""
-    cols = score_columns(sums.classes)
-    on = [c for c in table.columns if c not in cols]
-    folded = table.join(vocab.select("term", "idf"), "term").select(
-        *on, *[(F.col("idf") * F.col(c)).alias(c) for c in cols]
-    )
-    marker = keys.select("*", F.lit(MARKER).alias("term"), *[F.lit(0.0).alias(c) for c in cols])
-    return ScoreTable(Dictionary(folded.unionByName(marker)), on, sums.classes)
-
-
-def model_table(sums: ClassSums, vocab: Dictionary) -> ScoreTable:
-    table = likelihood_table(sums)
-    return _score_table(table, vocab, table.sparkSession.range(1).select(), sums)
-
-
-def fold_model_table(sums: ClassSums, vocab: Dictionary) -> ScoreTable:
-    """Score table of all k leave-one-fold-out models, keyed by (fold, term)."""
-    cols = score_columns(sums.classes)
-    every_fold = F.explode(F.sequence(F.lit(0), F.lit(sums.folds - 1)))
-    overall = _pivoted(sums, ["term"]).withColumn("fold", every_fold)
-    own = _pivoted(sums, ["fold", "term"]).withColumnsRenamed({c: f"own_{c}" for c in cols})
-    joined = overall.join(own, ["fold", "term"], "left")
-    by_fold = [
-        F.array(*[F.lit(float(sums.weight_total(n, f))) for f in range(sums.folds)])
-        for n in sums.classes
-    ]
-    table = joined.select(
-        "fold",
-        "term",
-        *[
-            _log_share(
-                F.col(c) - F.coalesce(F.col(f"own_{c}"), F.lit(0.0)),
-                F.get(totals, F.col("fold")),
-                sums.vocabulary_size,
-            ).alias(c)
-            for c, totals in zip(cols, by_fold)
-        ],
+def likelihoods(sums: ClassSums) -> DataFrame:
+    """(size, token, log_likelihood ARRAY<DOUBLE>) in class_idx order."""
+    table, _ = _log_likelihoods(sums, left_out=False)
+    block = F.struct("block", F.array(*SLOTS).alias("s"))
+    joined = F.flatten(F.transform(F.sort_array(F.collect_list(block)), lambda b: b["s"]))
+    return table.groupBy("size", F.col("term").alias("token")).agg(
+        F.slice(joined, 1, max(1, sums.classes.count())).alias("log_likelihood")
     )
-    folds = table.sparkSession.range(sums.folds).select(F.col("id").cast("int").alias("fold"))
-    return _score_table(table, vocab, folds, sums)
 
 
-def _marked_rows(instances: DataFrame, keys: list[str]) -> DataFrame:
-    rows = instances.select(*keys, F.inline(marked_terms(F.col("terms"))))
-    return rows.select(*keys, F.col("token").alias("term"), F.log1p(F.col("n")).alias("weight"))
+def _model(sums: ClassSums, left_out: bool) -> ScoreTable:
+    """Log likelihoods times idf, so that scoring multiplies ln(1 + tf) only."""
+    table, groups = _log_likelihoods(sums, left_out)
+    table = table.select(*groups, "term", "block", *[(F.col(s) * F.col("idf")).alias(s) for s in SLOTS])
+    sizes = F.explode(F.array(*[F.lit(s) for s, _, _ in sums.sizes])).alias("size")
+    classes = stage(_log_priors(sums, left_out).select("*", sizes), "priors")
+    on = ["fold", "term"] if left_out else ["term"]
+    return ScoreTable(Dictionary(table), on, classes, ["size"])
 
 
-def predict(
-    instances: DataFrame, vocab: Dictionary, sums: ClassSums, keys: list[str]
-) -> DataFrame:
-    """(keys, copies, prediction) with the model of all folds."""
-    by_class = [F.lit(sums.log_prior(n)) for n in sums.classes]
-    return score(_marked_rows(instances, keys), keys, model_table(sums, vocab), by_class).select(
-        *keys, "copies", F.col("best").alias("prediction")
+def _scored(instances: DataFrame, sums: ClassSums, keys: list[str], left_out: bool) -> DataFrame:
+    rows = instances.select(*keys, F.inline("terms")).select(
+        *keys, F.col("token").alias("term"), F.log1p(F.col("n")).alias("weight")
     )
+    copies = instances.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+    return score(
+        rows, keys, copies, _model(sums, left_out), F.col("log_prior"), ["fold"] if left_out else []
+    ).select("size", *keys, "copies", F.col("best").alias("prediction"))
+
+
+def predict(instances: DataFrame, sums: ClassSums, keys: list[str]) -> DataFrame:
+    """(size, keys, copies, prediction) with the model of all folds. Keys must not be null."""
+    return _scored(instances, sums, keys, left_out=False)
 
 
-def cross_validate(
-    instances: DataFrame, vocab: Dictionary, sums: ClassSums, keys: list[str]
-) -> DataFrame:
-    """(keys, copies, prediction), each instance scored by the model that left its fold out.
+def cross_validate(instances: DataFrame, sums: ClassSums, keys: list[str]) -> DataFrame:
+    """(size, keys, copies, prediction), each instance scored by the model that left its fold out.
 
     `keys` must contain fold.
     """
-    by_class = [
-        F.get(F.array(*[F.lit(sums.log_prior(n, f)) for f in range(sums.folds)]), F.col("fold"))
-        for n in sums.classes
-    ]
-    table = fold_model_table(sums, vocab)
-    return score(_marked_rows(instances, keys), keys, table, by_class).select(
-        *keys, "copies", F.col("best").alias("prediction")
-    )
+    return _scored(instances, sums, keys, left_out=True)
 
 
 def confusion(predicted: DataFrame) -> DataFrame:
-    return predicted.groupBy("klass", "prediction").agg(F.sum("copies").alias("n"))
+    return predicted.groupBy("size", "klass", "prediction").agg(F.sum("copies").alias("n"))
 
 
 def accuracy(matrix: DataFrame) -> DataFrame:
-    """(instances, correct, accuracy) from a confusion matrix."""
+    """(size, instances, correct, accuracy) from a confusion matrix."""
     right = F.coalesce(F.sum(F.when(F.col("klass") == F.col("prediction"), F.col("n"))), F.lit(0))
-    return matrix.agg(F.sum("n").alias("instances"), right.alias("correct")).withColumn(
+    return matrix.groupBy("size").agg(F.sum("n").alias("instances"), right.alias("correct")).withColumn(
         "accuracy", F.col("correct") / F.col("instances")
     )
+
+
+def class_metrics(matrix: DataFrame) -> DataFrame:
+    """(size, klass, instances, predicted, correct, precision, recall, f1): every class that occurs
+    or is predicted; a share of nothing is 0."""
+    same = F.when(F.col("klass") == F.col("prediction"), F.col("n")).otherwise(0)
+    by_class = matrix.select(
+        "size", "klass", F.col("n").alias("instances"), F.lit(0).alias("predicted"), same.alias("correct")
+    ).unionAll(matrix.select("size", "prediction", F.lit(0), "n", F.lit(0)))
+    counted = by_class.groupBy("size", "klass").agg(
+        *[F.sum(c).alias(c) for c in ("instances", "predicted", "correct")]
+    )
+
+    def share(a, b):
+        return F.when(b > 0, a / b).otherwise(0.0)
+
+    correct, instances, predicted = (F.col(c) for c in ("correct", "instances", "predicted"))
+    return counted.select(
+        "size", "klass", "instances", "predicted", "correct",
+        share(correct, predicted).alias("precision"),
+        share(correct, instances).alias("recall"),
+        share(2 * correct, instances + predicted).alias("f1"),
+    )

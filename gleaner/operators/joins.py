@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..workspace import stage
+
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 SALTS = 64
@@ -38,7 +40,10 @@ def fits_broadcast(
 
 
 class Dictionary:
-    """A lookup table whose size is measured once, so every join against it knows its form."""
+    """A lookup table, written once and measured, so every join against it knows its form.
+
+    Nothing of it is held by executors, so nothing needs to be released.
+    """
 
     def __init__(
         self,
@@ -46,19 +51,13 @@ class Dictionary:
         max_rows: int = BROADCAST_ROWS,
         max_bytes: int = BROADCAST_BYTES,
     ):
-        self.df = df.persist()
+        self.df = stage(df, "dictionary")
         self.rows, self.bytes = measure(self.df)
         self.small = self.rows <= max_rows and self.bytes <= max_bytes
-        if not self.small:
-            self.df.unpersist()
-            self.df = df
 
     def select(self, *cols) -> DataFrame:
         return self.df.select(*cols)
 
-    def unpersist(self) -> None:
-        self.df.unpersist()
-
 
 def lookup(
     left: DataFrame,
@@ -84,31 +83,26 @@ def lookup(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-# A key is hot when it holds more than this share of all rows, so at most 1 / share keys are.
-HOT_SHARE = 1 / 1000
-
-
-def hot_keys(counted: DataFrame, key: str, count: str, share: float = HOT_SHARE) -> DataFrame:
-    """(key) of the keys whose count exceeds the share of the total; at most 1 / share rows."""
-    total = counted.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
-    return counted.where(F.col(count) > F.lit(float(total * share))).select(key)
+#: Rows of one key that a task may get; a key of more is spread over several.
+TASK_ROWS = 1_000_000
 
 
 def semi_join_hot(
-    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, salts: int = SALTS
+    left: DataFrame, right: DataFrame, key: str, counted: DataFrame, rows: int = TASK_ROWS
 ) -> DataFrame:
-    """Left semi-join of two large tables whose left side is known to be hot on a few keys.
+    """Left semi-join of two large tables whose left side may be hot on some keys.
 
-    Rows of hot keys are spread over `salts` tasks, and only the right rows of those keys are
-    copied. `hot` is small by construction (see hot_keys) and is broadcast.
+    counted (key, n) has the left rows of a key. A key of more than `rows` rows is spread over
+    n / rows tasks, and its right row is copied as often; how many keys that are depends on the
+    left table alone, and they are broadcast only behind their measured size.
     """
-    flagged = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    spread = left.join(flagged, key, "left").withColumn("_salt", salt).drop("_hot")
-    copied = right.select(key).join(flagged, key, "left").select(
-        key, F.explode(copies).alias("_salt")
+    parts = F.ceil(F.col("n") / rows).cast("int")
+    hot = Dictionary(counted.where(F.col("n") > rows).select(key, parts.alias("_parts")))
+    marked = lookup(left, hot.df, [key], "left", small=hot.small)
+    salt = F.when(F.col("_parts").isNotNull(), F.pmod(F.monotonically_increasing_id(), "_parts"))
+    spread = marked.withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_parts")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+    copied = lookup(right.select(key), hot.df, [key], "left", small=hot.small).select(
+        key, F.explode(F.transform(copies, lambda i: i.cast("long"))).alias("_salt")
     )
     return spread.join(copied, [key, "_salt"], "left_semi").drop("_salt")

@@ -9,7 +9,7 @@ from ..functions import ngrams as G
 from ..functions.text import run_lengths
 from ..workspace import stage
 from .joins import Dictionary
-from .scoring import MARKER, ScoreTable, class_names, marked_terms, score, score_columns
+from .scoring import ScoreTable, class_index, in_blocks, score
 
 # Fixed value: added to every n-gram frequency before the logarithm.
 SMOOTHING = 0.5 / 10_000
@@ -49,52 +49,44 @@ def build_profiles(texts: DataFrame, text: str = "text", lang: str = "lang") ->
     return counts.join(per_n, "lang").select("lang", "ngram", "cnt", "n_words")
 
 
-def profile_table(profiles: DataFrame, languages: list[str] | None = None) -> ScoreTable:
-    """Profiles with one column of log frequencies per language."""
-    names = languages or class_names(profiles, "lang")
-    cols = score_columns(names)
-    share = F.col("cnt") / F.get("n_words", F.length("ngram") - 1)
-    wide = (
+def profile_table(profiles: DataFrame) -> ScoreTable:
+    """Log frequencies of n-grams by language."""
+    classes = stage(class_index(profiles, "lang"), "languages")
+    logs = (
         profiles.where(F.length("ngram").between(1, G.MAX_N))
-        .groupBy(F.col("ngram").alias("term"))
-        .pivot("lang", names)
-        .agg(F.sum(share))
+        .withColumnsRenamed({"lang": "klass", "ngram": "term"})
+        .withColumn("all", F.get("n_words", F.length("term") - 1))
+        .join(classes, "klass")
+        .groupBy("term", "class_idx")
+        .agg(F.log(F.sum(F.col("cnt") / F.col("all")) + F.lit(SMOOTHING)).alias("score"))
     )
-    logs = wide.select(
-        "term",
-        *[
-            F.log(F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) + F.lit(SMOOTHING)).alias(c)
-            for n, c in zip(names, cols)
-        ],
-    )
-    marker = profiles.sparkSession.range(1).select(
-        F.lit(MARKER).alias("term"), *[F.lit(0.0).alias(c) for c in cols]
-    )
-    return ScoreTable(Dictionary(logs.unionByName(marker)), ["term"], names)
+    absent = classes.select("class_idx", F.log(F.lit(SMOOTHING)).alias("score"))
+    return ScoreTable(Dictionary(in_blocks(logs, ["term"], absent, [])), ["term"], classes)
 
 
 def detect_language(
-    docs: DataFrame, table: ScoreTable, key: list[str], text: str = "text"
+    docs: DataFrame,
+    table: ScoreTable,
+    key: list[str],
+    text: str = "text",
+    copies: DataFrame | None = None,
 ) -> DataFrame:
     """(key, copies, lang) per distinct key; lang is null without any known n-gram.
 
-    Rows with the same key must hold the same text.
+    Rows with the same key must hold the same text. copies (key, copies) counts the rows of a key;
+    it is counted here when not given.
     """
-    words = docs.select(*key, F.inline(marked_terms(run_lengths(G.language_words(F.col(text))))))
-    # The marker has no characters to make a window of and passes through as it is.
-    is_marker = F.col("token") == MARKER
-    windows = F.when(is_marker, F.array(F.lit(MARKER))).otherwise(G.word_windows(F.col("token")))
-    terms = F.when(F.col("_w") == MARKER, F.array(F.lit(MARKER))).otherwise(
-        G.window_ngrams(F.col("_w"))
-    )
+    if copies is None:
+        copies = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    words = docs.select(*key, F.inline(run_lengths(G.language_words(F.col(text)))))
     weighted = (
-        words.select(*key, F.col("n").alias("weight"), F.explode(windows).alias("_w"))
-        .select(*key, "weight", F.explode(terms).alias("term"))
+        words.select(
+            *key, F.col("n").alias("weight"), F.explode(G.word_windows(F.col("token"))).alias("_w")
+        )
+        .select(*key, "weight", F.explode(G.window_ngrams(F.col("_w"))).alias("term"))
         .where(F.col("term").isNotNull())
     )
-    return score(weighted, key, table).select(
-        *key, "copies", F.when(F.col("known") > 0, F.col("best")).alias("lang")
-    )
+    return score(weighted, key, copies, table).withColumnRenamed("best", "lang")
 
 
 def language_counts(detected: DataFrame) -> DataFrame:

@@ -1,83 +1,118 @@
-"""Summed class scores of weighted terms, shared by language detection and naive Bayes."""
+"""Summed class scores of weighted terms, shared by language detection and naive Bayes.
+
+Classes are rows, put into blocks of BLOCK slots: a term has one row per block, so a few classes cost
+one row a term and there is no limit to their number.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import Dictionary, lookup
 
-# Term that every document carries once; it counts the copies of a document.
-MARKER = ""
+BLOCK = 16
+SLOTS = [f"s{i}" for i in range(BLOCK)]
 SCORE_DIGITS = 6
-MAX_CLASSES = 2_000
+
+
+def class_index(names: DataFrame, column: str) -> DataFrame:
+    """(class_idx, klass) of the distinct names in order; as many rows as there are classes."""
+    distinct = names.select(F.col(column).alias("klass")).where("klass is not null").distinct()
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("klass")) - 1
+    return distinct.select(number.cast("int").alias("class_idx"), "klass")
 
 
 @dataclass
 class ScoreTable:
-    """One row per key and term, one column per class, so a term of a document joins one row."""
+    """table: (on, groups, block, s0 …), a row for each term, group and block. classes: (groups,
+    class_idx, klass, …) with what `score` adds to a class's sum. Groups are scored apart."""
 
     table: Dictionary
     on: list[str]
-    classes: list[str]
-
-    @property
-    def columns(self) -> list[str]:
-        return score_columns(self.classes)
-
-
-def score_columns(classes: list[str]) -> list[str]:
-    return [f"c{i}" for i in range(len(classes))]
-
-
-def class_names(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct class names. They become columns, so their number is checked."""
-    names = df.select(column).where(F.col(column).isNotNull()).distinct()
-    rows = names.limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {column}")
-    return sorted(r[0] for r in rows)
+    classes: DataFrame
+    groups: list[str] = field(default_factory=list)
+
+
+def in_blocks(scores: DataFrame, keys: list[str], absent: DataFrame, groups: list[str]) -> DataFrame:
+    """(keys, block, s0 …) from rows (keys, class_idx, score); a class without a row for a key has
+    the score that `absent` (groups, class_idx, score) names. groups are among the keys."""
+    block = (F.col("class_idx") / BLOCK).cast("int")
+    slot = F.col("class_idx") % BLOCK
+    filled = [F.max(F.when(slot == i, F.col("score"))).alias(s) for i, s in enumerate(SLOTS)]
+    rest = absent.groupBy(*groups, block.alias("block")).agg(*filled)
+    rest = rest.withColumnsRenamed({s: f"_{s}" for s in SLOTS})
+    blocks = rest.select(*groups, "block")
+    every = scores.select(*keys).distinct()
+    # Each key once per block of its group: as many rows as the result has.
+    every = every.withColumn("_one", F.lit(1)).join(
+        F.broadcast(blocks.withColumn("_one", F.lit(1))), [*groups, "_one"]
+    )
+    dense = every.select(*keys, F.lit(None).cast("double").alias("score"),
+                         (F.col("block") * BLOCK).cast("int").alias("class_idx"))
+    both = dense.unionByName(scores.select(*keys, "score", "class_idx"))
+    wide = both.groupBy(*keys, block.alias("block")).agg(*filled)
+    return wide.join(F.broadcast(rest), [*groups, "block"]).select(
+        *keys, "block", *[F.coalesce(s, f"_{s}").alias(s) for s in SLOTS]
+    )
 
 
 def score(
     weighted: DataFrame,
     keys: list[str],
+    copies: DataFrame,
     table: ScoreTable,
-    priors: list[Column] | None = None,
+    prior: Column | None = None,
+    per_prior: list[str] | None = None,
 ) -> DataFrame:
-    """(keys, copies, known, best) from rows (keys, term, weight) that include the marker.
+    """(keys, groups, copies, best) from rows (keys, term, weight).
 
-    Terms missing from the table are ignored. Documents that are exact copies share their keys, so
-    all their sums grow alike and are divided by the number of copies. Sums combine on the map
-    side: what is shuffled is one row of class sums per document, never its terms.
+    copies (keys, copies) counts the documents of a key: exact copies share their keys, so their
+    sums grow alike and are divided by that number. Terms missing from the table are ignored; best
+    is null without any known term, unless classes have a prior (then the greatest prior wins). Sums
+    combine before the shuffle: what is shuffled are a document's class sums, never its terms. Among
+    equal scores the first class wins. per_prior: columns of keys that choose a class's prior.
     """
-    marked = F.col("term") == MARKER
-    sums = [F.sum(F.col("weight") * F.col(c)).alias(c) for c in table.columns]
-    totals = (
+    groups, per_prior = table.groups, per_prior or []
+    sums = (
         lookup(weighted, table.table.df, table.on, "inner", small=table.table.small)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.when(marked, 1)).alias("copies"),
-            F.count(F.when(~marked, 1)).alias("known"),
-            *sums,
-        )
+        .groupBy(*keys, *groups, "block")
+        .agg(*[F.sum(F.col("weight") * F.col(s)).alias(s) for s in SLOTS])
     )
-    priors = priors or [F.lit(0.0)] * len(table.columns)
-    final = [
-        F.round(p + F.col(c) / F.col("copies"), SCORE_DIGITS).alias(c)
-        for c, p in zip(table.columns, priors)
-    ]
-    scored = totals.select(*keys, "copies", "known", *final)
-    top = F.greatest(*table.columns) if len(table.columns) > 1 else F.col(table.columns[0])
-    best = F.coalesce(
-        *[F.when(F.col(c) == top, F.lit(n)) for c, n in zip(table.columns, table.classes)]
+    if prior is not None:
+        # Every document meets every block, whether or not one of its terms is known.
+        blocks = table.classes.select(*groups, (F.col("class_idx") / BLOCK).cast("int").alias("block"))
+        every = copies.withColumn("_one", F.lit(1)).join(
+            F.broadcast(blocks.distinct().withColumn("_one", F.lit(1))), "_one"
+        ).drop("_one")
+        sums = every.join(sums, [*keys, *groups, "block"], "left")
+    else:
+        sums = sums.join(copies, keys)
+    slot = (F.col("class_idx") % BLOCK).cast("int")
+    head = table.classes.select(
+        *groups, *per_prior, (F.col("class_idx") / BLOCK).cast("int").alias("block"),
+        F.struct(slot.alias("slot"), (F.lit(0.0) if prior is None else prior).alias("prior"),
+                 "klass", "class_idx").alias("k"),
+    ).groupBy(*groups, *per_prior, "block").agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    scored = F.transform(
+        "ks",
+        lambda k: F.struct(
+            F.round(
+                k["prior"]
+                + F.coalesce(F.get(F.array(*SLOTS), k["slot"]), F.lit(0.0)) / F.col("copies"),
+                SCORE_DIGITS,
+            ).alias("score"),
+            (-k["class_idx"]).alias("first"),
+            k["klass"].alias("klass"),
+        ),
     )
-    return scored.select(*keys, "copies", "known", best.alias("best"))
-
-
-def marked_terms(terms: Column) -> Column:
-    """Prepend the marker to ARRAY<STRUCT<token, n>>."""
-    marker = F.array(F.struct(F.lit(MARKER).alias("token"), F.lit(1).cast("long").alias("n")))
-    return F.concat(marker, terms)
+    # A row of `head` has at most BLOCK classes; there are as few as there are blocks of classes.
+    best = sums.join(F.broadcast(head), [*groups, *per_prior, "block"]).select(
+        *keys, *groups, F.array_max(scored).alias("best")
+    )
+    best = best.groupBy(*keys, *groups).agg(F.max("best")["klass"].alias("best"))
+    if groups:
+        return copies.join(best, keys).select(*keys, *groups, "copies", "best")
+    return copies.join(best, keys, "left").select(*keys, "copies", "best")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workspace import stage
 from .joins import Dictionary, lookup
 
 TRAIN_SHARE = 0.8
@@ -159,3 +160,19 @@ def _split_copies(on_cut: DataFrame, cuts: Dictionary, columns: list[str]) -> Da
     return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(
         *columns, "category", "split"
     )
+
+
+def split_by_page(rows: DataFrame, seed: str = "0") -> DataFrame:
+    """The same columns as stratified_split, with all rows of a URL in one part.
+
+    Pages are split exactly within each set of categories (a page's least one, if it has several);
+    its rows follow. A page of several categories counts in each, so a single category's shares are
+    near the nominal ones, not exact.
+    """
+    categories = F.replace(F.min("categories"), F.lit(","), F.lit(";"))
+    pages = rows.groupBy("url").agg(categories.alias("categories"))
+    blank = [F.lit("").alias(name) for name in ("title", "keywords")]
+    staged = stage(pages.select("url", *blank, "categories"), "pages")
+    parts = stratified_split(staged, seed).select(F.col("url").alias("_url"), "split")
+    each = per_category(rows)
+    return each.join(parts, each["url"].eqNullSafe(parts["_url"])).drop("_url")

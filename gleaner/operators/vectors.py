@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import MARKER, marked_terms
 
 # The vocabulary sizes trained by default.
 VOCABULARY_SIZES = (1500, 3000, 5000, 7500, 10000)
@@ -22,13 +21,13 @@ def with_terms(training: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def term_counts(instances: DataFrame) -> DataFrame:
-    """(term, total, df): occurrences and instances per term, and of the marker term.
+    """(term, total, df): occurrences and instances per term.
 
     Terms are already counted within an instance, so its rows are distinct and the document
-    frequency is a plain count. That of the marker is the number of instances.
+    frequency is a plain count.
     """
     return (
-        instances.select(F.inline(marked_terms(F.col("terms"))))
+        instances.select(F.inline("terms"))
         .groupBy(F.col("token").alias("term"))
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df"))
     )
@@ -44,19 +43,31 @@ class TermCounts:
 
 def count_terms(instances: DataFrame) -> TermCounts:
     """Count a corpus once; the counts are staged, as several passes read them."""
-    counts = stage(term_counts(instances), "terms")
-    marker = counts.where(F.col("term") == MARKER).first()
-    return TermCounts(counts.where(F.col("term") != MARKER), marker["df"] if marker else 0)
+    return TermCounts(stage(term_counts(instances), "terms"), instances.count())
 
 
-def top_terms(counts: TermCounts, size: int) -> DataFrame:
-    """The `size` most frequent terms and all ties with the last of them.
+def cuts(counts: TermCounts, sizes: tuple[int, ...]) -> list[tuple[int, int, int]]:
+    """(size, cut, terms) of each vocabulary size: the least total of a term that is in it, and how
+    many terms that makes (ties with the last are in).
 
-    The cut comes from a bounded top-k (each task sends at most `size` counts), not from a
-    global sort; with fewer terms than `size` all are kept.
+    The cut is read off the histogram of totals: few distinct values, whatever the vocabulary.
     """
-    top = counts.terms.select("total").orderBy(F.desc("total")).limit(size)
-    cut = top.agg(F.min("total")).first()[0]
+    histogram = counts.terms.groupBy("total").agg(F.count(F.lit(1)).alias("terms"))
+    # As many rows as there are different totals: about the root of twice the corpus's tokens.
+    above = F.sum("terms").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("total")))
+    reached = stage(histogram.select("total", "terms", above.alias("above")), "cuts")
+    found = []
+    for size in sizes:
+        row = reached.where(F.col("above") - F.col("terms") < size).agg(
+            F.min("total").alias("cut"), F.max("above").alias("terms")
+        ).first()
+        found.append((size, row["cut"] or 0, row["terms"] or 0))
+    return found
+
+
+def top_terms(counts: TermCounts, size: int) -> DataFrame:
+    """The `size` most frequent terms and all ties with the last of them."""
+    cut = cuts(counts, (size,))[0][1]
     return counts.terms.where(F.col("total") >= F.lit(cut))
 
 
@@ -66,26 +77,58 @@ def vocabulary(counts: TermCounts, size: int) -> Dictionary:
     return Dictionary(top_terms(counts, size).withColumn("idf", idf))
 
 
-def tfidf(instances: DataFrame, vocab: Dictionary, normalize: bool = False) -> DataFrame:
+def with_sizes(df: DataFrame, sizes: list[tuple[int, int, int]]) -> DataFrame:
+    """Rows with a term's total, once for each vocabulary size the term is in: adds size, terms.
+
+    Vocabularies are nested and idf does not depend on them, so all come out of the largest.
+    """
+    known = F.array(
+        *[
+            F.struct(F.lit(size).alias("size"), F.lit(cut).alias("cut"), F.lit(n).alias("terms"))
+            for size, cut, n in sizes
+        ]
+    )
+    fitting = F.filter(known, lambda s: s["cut"] <= F.col("total"))
+    columns = df.columns
+    return df.select("*", F.explode(fitting).alias("_s")).select(*columns, "_s.size", "_s.terms")
+
+
+def tfidf(
+    instances: DataFrame,
+    vocab: Dictionary,
+    normalize: bool = False,
+    sizes: list[tuple[int, int, int]] | None = None,
+) -> DataFrame:
     """Rows (…, term, weight) with weight ln(1 + tf) · idf, for terms of the vocabulary.
 
-    With normalize, each instance's weights are scaled to the average Euclidean length; this
-    groups by the remaining columns, which must then identify an instance.
+    With normalize, each instance's weights are scaled to the average Euclidean length of all
+    instances. Instances equal in all columns are copies: each keeps its own length. With sizes
+    (not together with normalize) rows come once for each vocabulary size, and carry it.
     """
     others = [c for c in instances.columns if c != "terms"]
-    rows = instances.select(*others, F.inline("terms")).withColumnRenamed("token", "term")
-    joined = lookup(rows, vocab.select("term", "idf"), ["term"], small=vocab.small)
-    weighted = joined.select(
-        *others, "term", (F.log1p(F.col("n")) * F.col("idf")).alias("weight")
-    )
     if not normalize:
-        return weighted
-    lengths = weighted.groupBy(*others).agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("_len"))
-    empty = instances.agg(F.count(F.lit(1))).scalar()
-    average = lengths.agg(F.sum("_len")).scalar() / empty
-    return (
-        weighted.join(lengths, others)
-        .withColumn("weight", F.when(F.col("_len") > 0, F.col("weight") * average / F.col("_len"))
-                    .otherwise(F.col("weight")))
-        .drop("_len")
+        rows = instances.select(*others, F.inline("terms")).withColumnRenamed("token", "term")
+        joined = lookup(rows, vocab.select("term", "idf", "total"), ["term"], small=vocab.small)
+        weight = (F.log1p(F.col("n")) * F.col("idf")).alias("weight")
+        if sizes is None:
+            return joined.select(*others, "term", weight)
+        return with_sizes(joined, sizes).select("size", *others, "term", weight)
+    digest = F.md5(F.to_json(F.struct(*others, "terms")))
+    keyed = instances.withColumn("_id", digest)
+    weighted = tfidf(keyed, vocab)
+    copies = keyed.groupBy("_id").agg(F.count(F.lit(1)).alias("copies"))
+    squares = weighted.groupBy("_id").agg(F.sum(F.pow("weight", F.lit(2))).alias("squares"))
+    # The squares of copies add up in one key, and are shared out among them.
+    length = F.sqrt(F.coalesce(F.col("squares"), F.lit(0.0)) / F.col("copies"))
+    lengths = stage(
+        copies.join(squares, "_id", "left").select("_id", "copies", length.alias("_len")), "lengths"
+    )
+    average = lengths.agg((F.sum(F.col("_len") * F.col("copies")) / F.sum("copies")).alias("a"))
+    scale = average.first()["a"] or 0.0
+    return weighted.join(lengths, "_id").select(
+        *others,
+        "term",
+        F.when(F.col("_len") > 0, F.col("weight") * scale / F.col("_len"))
+        .otherwise(F.col("weight"))
+        .alias("weight"),
     )

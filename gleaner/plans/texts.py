@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from ..operators.domains import URL_OK, SuffixRules, with_url_outcome
 from ..operators.histograms import count_bucket
-from ..operators.joins import Dictionary, hot_keys, lookup, semi_join_hot
+from ..operators.joins import Dictionary, lookup, semi_join_hot
 from ..operators.language import detect_language, language_counts
 from ..operators.scoring import ScoreTable
 from ..operators.words import StopWords, longest_bag, with_bag
 from ..sinks import bag_line, language_line, write_lines
+from ..workspace import stage
 
 LANGUAGE = "en"
 
@@ -33,12 +34,46 @@ def page_bags(
 
 
 def with_text_key(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("text_key", F.md5("text"))
+    return pages.withColumn("text_key", F.coalesce(F.md5("text"), F.lit("")))
 
 
-def detect_pages(pages: DataFrame, profiles: ScoreTable) -> DataFrame:
+def prepared_pages(
+    pages: DataFrame, whitelist: Dictionary, rules: SuffixRules, stop: StopWords
+) -> DataFrame:
+    """(url, text_key, url_outcome, domain, bag) of every page: all that is needed of its text but
+    its language. The bag is counted inside the row, for whitelisted pages only (else null)."""
+    resolved = with_url_outcome(with_text_key(pages), rules, check_prefix=False)
+    flagged = whitelist.df.select("domain").distinct().withColumn("_wanted", F.lit(True))
+    found = lookup(resolved, flagged, ["domain"], "left", small=whitelist.small)
+    kept = found.withColumn("text", F.when(F.col("_wanted"), F.col("text")))
+    bags = with_bag(kept, "text", stop, ["url", "domain"])
+    bag = F.when(F.col("_wanted"), F.coalesce("bag", F.lit("")))
+    return bags.select("url", "text_key", "url_outcome", "domain", bag.alias("bag"))
+
+
+def detect_pages(
+    pages: DataFrame, profiles: ScoreTable, copies: DataFrame | None = None
+) -> DataFrame:
     """(text_key, copies, lang) per distinct text."""
-    return detect_language(with_text_key(pages).select("text_key", "text"), profiles, ["text_key"])
+    keyed = with_text_key(pages).select("text_key", "text")
+    return detect_language(keyed, profiles, ["text_key"], copies=copies)
+
+
+def harvest_prepared(prepared: DataFrame, detected: DataFrame, language: str = LANGUAGE) -> DataFrame:
+    """(url, domain, bag, occurrences): the longest bag of each URL in the wanted language.
+
+    Only bags of whitelisted pages are shuffled, never raw text; of the detected texts only those of
+    whitelisted pages meet them. A text copied very often is a hot key, and is spread by its count.
+    Both tables are read several times and should be written ones.
+    """
+    bags = prepared.where(F.col("bag").isNotNull()).select("url", "text_key", "domain", "bag")
+    counted = bags.groupBy("text_key").agg(F.count(F.lit(1)).alias("n"))
+    wanted = (
+        detected.where(F.col("lang") == language)
+        .select("text_key")
+        .join(counted.select("text_key"), "text_key", "left_semi")
+    )
+    return longest_bag(semi_join_hot(bags, wanted, "text_key", counted))
 
 
 def harvest_texts(
@@ -49,16 +84,9 @@ def harvest_texts(
     stop: StopWords,
     language: str = LANGUAGE,
 ) -> DataFrame:
-    """(url, domain, bag, occurrences): the longest bag of each URL in the wanted language.
-
-    The whitelist and the in-row bag come before the language join, so only bags of whitelisted
-    pages are shuffled, never raw text. A text copied very often is a hot join key; its copies are
-    known from detection. `detected` is read several times and should be a written table.
-    """
-    bags = page_bags(with_text_key(pages), whitelist, rules, stop)
-    wanted = detected.where(F.col("lang") == language).select("text_key")
-    hot = hot_keys(detected, "text_key", "copies")
-    return longest_bag(semi_join_hot(bags, wanted, "text_key", hot))
+    """The longest bags of pages (url, text), whose text is read once."""
+    prepared = stage(prepared_pages(pages, whitelist, rules, stop), "prepared")
+    return harvest_prepared(prepared, detected, language)
 
 
 def harvest_labelled_texts(
@@ -74,19 +102,14 @@ def harvest_labelled_texts(
 
 
 def text_statistics(
-    pages: DataFrame,
-    detected: DataFrame,
-    harvested: DataFrame,
-    rules: SuffixRules,
-    language: str = LANGUAGE,
+    prepared: DataFrame, detected: DataFrame, harvested: DataFrame, language: str = LANGUAGE
 ) -> DataFrame:
     """(grp, name, n). URL errors count for pages of the wanted language only."""
     undetected = detected.where(F.col("lang").isNull()).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("n")
     )
     failed = (
-        with_url_outcome(with_text_key(pages).select("url", "text_key"), rules, check_prefix=False)
-        .where(F.col("url_outcome") != URL_OK)
+        prepared.where(F.col("url_outcome") != URL_OK)
         .groupBy("text_key", "url_outcome")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -122,16 +145,20 @@ def run_text_harvest(
     out: str,
     language: str = LANGUAGE,
 ) -> dict[str, str]:
-    """Write bags, language counts and statistics. Detection, the costly part, is staged once."""
-    names = ("detected", "bags", "bags_tsv", "languages", "languages_tsv", "statistics")
+    """Write bags, language counts and statistics. The text is read twice: for all that its row
+    alone gives, and for its language. Both results are written, and the outputs read those."""
+    names = ("prepared", "detected", "bags", "bags_tsv", "languages", "languages_tsv", "statistics")
     paths = {name: f"{out}/{name}" for name in names}
-    detect_pages(pages, profiles).write.parquet(paths["detected"])
+    prepared_pages(pages, whitelist, rules, stop).write.parquet(paths["prepared"])
+    prepared = spark.read.parquet(paths["prepared"])
+    copies = prepared.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    detect_pages(pages, profiles, copies).write.parquet(paths["detected"])
     detected = spark.read.parquet(paths["detected"])
-    harvest_texts(pages, detected, whitelist, rules, stop, language).write.parquet(paths["bags"])
+    harvest_prepared(prepared, detected, language).write.parquet(paths["bags"])
     bags = spark.read.parquet(paths["bags"])
     write_lines(bag_line(bags), paths["bags_tsv"])
     counts = language_counts(detected)
     counts.write.parquet(paths["languages"])
     write_lines(language_line(counts), paths["languages_tsv"])
-    text_statistics(pages, detected, bags, rules, language).write.parquet(paths["statistics"])
+    text_statistics(prepared, detected, bags, language).write.parquet(paths["statistics"])
     return paths

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -15,34 +16,51 @@ from ..operators.once import with_once
 from ..operators.words import StopWords, drop_stop_words
 from ..workspace import stage
 
-# Fixed value: regions whose titles and keywords are left for a later word segmenter.
+# Fixed value: regions whose titles and keywords have no spaces between words.
 UNSEGMENTED_REGIONS = ("zh-CN",)
 FIELDS = ["url", "title", "keywords"]
 
+#: From a text to its tokens: ARRAY<STRING>.
+Tokenizer = Callable[[Column], Column]
 
-def page_tokens(rows: DataFrame, stop: StopWords, region: str = "en-US") -> DataFrame:
-    """Rows (url, title, keywords, categories) with a token string; empty documents dropped."""
-    tokenised = FIELDS if region not in UNSEGMENTED_REGIONS else FIELDS[:1]
-    out = rows
+
+def page_tokens(
+    rows: DataFrame,
+    stop: StopWords,
+    region: str = "en-US",
+    tokenizer: Tokenizer | None = None,
+) -> DataFrame:
+    """Rows (url, title, keywords, categories) with a token string; empty documents dropped.
+
+    tokenizer applies to title and keywords; by default words of ASCII letters and digits. For an
+    unsegmented region without one, title and keywords are left whole in the token string, for a
+    word segmenter to come. A null field has no tokens.
+    """
+    whole = tokenizer is None and region in UNSEGMENTED_REGIONS
+    tokenised = FIELDS[:1] if whole else FIELDS
+    parts = []
     for name in tokenised:
-        out = out.withColumn(f"_{name}", X.training_tokens(F.col(name)))
-    parts = F.concat(*[F.col(f"_{name}") for name in tokenised])
+        own = X.training_tokens if name == "url" or tokenizer is None else tokenizer
+        parts.append(F.coalesce(own(F.col(name)), F.array().cast("array<string>")))
     filtered = drop_stop_words(
-        out.withColumn("_all", parts).drop(*[f"_{n}" for n in tokenised]),
-        "_all",
-        stop,
-        rows.columns,
+        with_once(rows, "_all", F.concat(*parts)), "_all", stop, rows.columns
     )
     words = F.col("_all")
-    if region in UNSEGMENTED_REGIONS:
-        words = F.concat(words, F.array("title", "keywords"))
+    if whole:
+        fields = [F.coalesce(name, F.lit("")) for name in FIELDS[1:]]
+        words = F.concat(words, F.array(*fields))
     text = F.replace(F.array_join(words, " "), F.lit("\\"), F.lit(""))
-    return with_once(filtered, "tokens", text).drop("_all").where(F.col("tokens") != "")
+    return with_once(filtered, "tokens", text).drop("_all").where(F.trim("tokens") != "")
 
 
-def training_rows(rows: DataFrame, stop: StopWords, region: str = "en-US") -> DataFrame:
+def training_rows(
+    rows: DataFrame,
+    stop: StopWords,
+    region: str = "en-US",
+    tokenizer: Tokenizer | None = None,
+) -> DataFrame:
     """(url, tokens, klass): one row per page and category."""
-    return page_tokens(rows, stop, region).select(
+    return page_tokens(rows, stop, region, tokenizer).select(
         "url", "tokens", F.explode(F.split("categories", ",")).alias("klass")
     )
 
@@ -51,28 +69,31 @@ def labels(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.split("categories", ",")).alias("label")).distinct()
 
 
+KEYS = ["url", "klass", "doc"]
+
+
 @dataclass
 class Classifier:
+    """Models of one or several vocabulary sizes, out of the sums of the largest."""
+
     instances: DataFrame
     vocabulary: Dictionary
     sums: B.ClassSums
 
     def priors(self) -> DataFrame:
-        return B.priors(self.instances.sparkSession, self.sums)
+        return B.priors(self.sums)
 
     def likelihoods(self) -> DataFrame:
         return B.likelihoods(self.sums)
 
     def predict(self, instances: DataFrame | None = None, keys: list[str] | None = None):
-        data = self.instances if instances is None else instances
-        return B.predict(data, self.vocabulary, self.sums, keys or ["url", "klass", "doc"])
+        return B.predict(self.instances if instances is None else instances, self.sums, keys or KEYS)
 
     def cross_validate(self) -> DataFrame:
-        keys = ["url", "klass", "doc", "fold"]
-        return B.cross_validate(self.instances, self.vocabulary, self.sums, keys)
+        return B.cross_validate(self.instances, self.sums, [*KEYS, "fold"])
 
-    def release(self) -> None:
-        self.vocabulary.unpersist()
+    def vectors(self) -> DataFrame:
+        return V.tfidf(self.instances, self.vocabulary, sizes=self.sums.sizes)
 
 
 def instances_of(pages: DataFrame, folds: int = B.FOLDS) -> DataFrame:
@@ -88,22 +109,17 @@ def instances_of(pages: DataFrame, folds: int = B.FOLDS) -> DataFrame:
 
 
 def train_classifier(
-    pages: DataFrame, vocabulary_size: int = V.VOCABULARY_SIZES[0], folds: int = B.FOLDS
+    pages: DataFrame,
+    sizes: tuple[int, ...] | int = V.VOCABULARY_SIZES,
+    folds: int = B.FOLDS,
 ) -> Classifier:
-    return train_all(pages, (vocabulary_size,), folds)[vocabulary_size]
-
-
-def train_all(
-    pages: DataFrame, sizes: tuple[int, ...] = V.VOCABULARY_SIZES, folds: int = B.FOLDS
-) -> dict[int, Classifier]:
-    """One classifier per vocabulary size from pages (url, tokens, categories).
+    """Models of all vocabulary sizes from pages (url, tokens, categories).
 
-    Text is tokenised once and its terms counted once for all sizes.
+    Text is tokenised once, its terms are counted once and summed once, for all sizes.
     """
+    sizes = (sizes,) if isinstance(sizes, int) else tuple(sizes)
     instances = stage(instances_of(pages, folds), "instances")
     counts = V.count_terms(instances)
-    models = {}
-    for size in sizes:
-        vocab = V.vocabulary(counts, size)
-        models[size] = Classifier(instances, vocab, B.class_sums(instances, vocab))
-    return models
+    vocab = V.vocabulary(counts, max(sizes))
+    sums = B.class_sums(instances, vocab, V.cuts(counts, sizes), folds)
+    return Classifier(instances, vocab, sums)

@@ -1,21 +1,15 @@
-"""Writers of the output formats."""
+"""Writers of the output formats.
+
+The *_json forms are one JSON value each, built in one task: for labels, indexes and models of a
+size that their readers hold in memory. Jobs write tables and *_entries (JSON lines, one object an
+entry, any number) always, and the one value only when asked to.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A document that must be one JSON value is built in one task, so its source is counted first.
-DOCUMENT_ROWS = 200_000
-
-
-def _checked(df: DataFrame) -> DataFrame:
-    n = df.count()
-    if n > DOCUMENT_ROWS:
-        raise ValueError(f"{n} rows are too many for one JSON document; write the table instead")
-    return df
-
-
 def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
     lines.write.option("compression", compression).text(path)
 
@@ -52,7 +46,7 @@ def write_key_ordered(lines: DataFrame, key: str, path: str) -> None:
 
 def labels_json(labels: DataFrame) -> DataFrame:
     """One row: the JSON list of labels, sorted."""
-    return _checked(labels).agg(F.to_json(F.sort_array(F.collect_list("label"))).alias("value"))
+    return labels.agg(F.to_json(F.sort_array(F.collect_list("label"))).alias("value"))
 
 
 def write_training(rows: DataFrame, path: str) -> None:
@@ -69,18 +63,18 @@ def write_split(rows: DataFrame, path: str) -> None:
 def model_json(priors: DataFrame, likelihoods: DataFrame) -> DataFrame:
     """One row: {classes, logPriors, logLikelihoods}."""
     by_class = F.sort_array(F.collect_list(F.struct("class_idx", "klass", "log_prior")))
-    head = _checked(priors).agg(by_class.alias("c")).select(
+    head = priors.agg(by_class.alias("c")).select(
         F.map_from_entries(
             F.transform("c", lambda e: F.struct(e["class_idx"].cast("string"), e["klass"]))
         ).alias("classes"),
         F.col("c.log_prior").alias("logPriors"),
     )
     entry = F.struct("token", "log_likelihood")
-    body = _checked(likelihoods).agg(
+    body = likelihoods.agg(
         F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("logLikelihoods")
     )
     one = F.lit(1).alias("_one")
-    both = head.select("*", one).join(F.broadcast(body.select("*", one)), "_one").drop("_one")
+    both = head.select("*", one).join(body.select("*", one), "_one").drop("_one")
     return both.select(
         F.to_json(F.struct("classes", "logPriors", "logLikelihoods")).alias("value")
     )
@@ -88,12 +82,28 @@ def model_json(priors: DataFrame, likelihoods: DataFrame) -> DataFrame:
 
 def whitelist_json(index: DataFrame) -> DataFrame:
     """One row: the JSON list of hosts, ascending."""
-    return _checked(index).agg(F.to_json(F.sort_array(F.collect_set("host"))).alias("value"))
+    return index.agg(F.to_json(F.sort_array(F.collect_set("host"))).alias("value"))
 
 
 def index_json(index: DataFrame) -> DataFrame:
     """One row: the JSON object host -> categories."""
     entry = F.struct("host", "categories")
-    return _checked(index).agg(
+    return index.agg(
         F.to_json(F.map_from_entries(F.sort_array(F.collect_list(entry)))).alias("value")
     )
+
+
+def labels_entries(labels: DataFrame) -> DataFrame:
+    return labels.select(F.to_json(F.struct("label")).alias("value"))
+
+
+def index_entries(index: DataFrame) -> DataFrame:
+    return index.select(F.to_json(F.struct("host", "categories")).alias("value"))
+
+
+def whitelist_entries(index: DataFrame) -> DataFrame:
+    return index.select("host").distinct().select(F.to_json(F.struct("host")).alias("value"))
+
+
+def model_entries(likelihoods: DataFrame) -> DataFrame:
+    return likelihoods.select(F.to_json(F.struct("*")).alias("value"))

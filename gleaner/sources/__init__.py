@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,6 @@ from ..functions.text import WHITESPACE
 TEXT_CLASS = "org.apache.hadoop.io.Text"
 SUFFIX_LIST_NAME = "public-suffix-list.txt"
 SUFFIX_LIST_OWNER = "org.apache.http.conn.util.PublicSuffixMatcherLoader"
-SPREAD_BYTES = 8 * 1024**3
 HARVEST_FIELDS = ("url", "title", "keywords", "categories")
 
 
@@ -22,26 +22,19 @@ def segment_paths(spark: SparkSession, list_path: str, template: str) -> list[st
     return [template.format(segment=r["value"]) for r in lines.collect()]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input that comes in fewer splits than the cluster has cores.
+def read_pages(
+    spark: SparkSession, paths: list[str], fmt: str, key: str, value: str,
+    partitions: int | None = None,
+) -> DataFrame:
+    """All segments as one (url, <value>) table; fmt is sequence, parquet, orc or json.
 
-    The work per row is heavy here, so a small file with one big row group must not run in one
-    task. Inputs beyond SPREAD_BYTES are left alone: they have splits enough, and are not worth
-    a shuffle.
+    partitions spreads an input that comes in fewer splits than the cluster has cores, by a shuffle.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if size > SPREAD_BYTES or df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores)
-
-
-def read_pages(spark: SparkSession, paths: list[str], fmt: str, key: str, value: str) -> DataFrame:
-    """All segments as one (url, <value>) table; fmt is sequence, parquet, orc or json."""
     if fmt == "sequence":
-        return read_sequence_files(spark, paths, value)
-    pages = spark.read.format(fmt).load(paths)
-    return spread(pages.select(F.col(key).alias("url"), F.col(value)))
+        pages = read_sequence_files(spark, paths, value)
+    else:
+        pages = spark.read.format(fmt).load(paths).select(F.col(key).alias("url"), F.col(value))
+    return pages.repartition(partitions) if partitions else pages
 
 
 def read_sequence_files(spark: SparkSession, paths: list[str], value: str) -> DataFrame:
@@ -126,11 +119,16 @@ def read_suffix_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def bundled_suffix_rules(spark: SparkSession) -> DataFrame:
     """(rule) from the public suffix list inside Spark's own HTTP client jar."""
-    owner = spark._jvm.java.lang.Class.forName(SUFFIX_LIST_OWNER)
-    jar = owner.getProtectionDomain().getCodeSource().getLocation().getPath()
-    with zipfile.ZipFile(jar) as files:
-        name = next(n for n in files.namelist() if n.endswith(SUFFIX_LIST_NAME))
-        text = files.read(name).decode("utf-8")
+    try:
+        owner = spark._jvm.java.lang.Class.forName(SUFFIX_LIST_OWNER)
+        jar = owner.getProtectionDomain().getCodeSource().getLocation().getPath()
+        with zipfile.ZipFile(jar) as files:
+            name = next(n for n in files.namelist() if n.endswith(SUFFIX_LIST_NAME))
+            text = files.read(name).decode("utf-8")
+    except (Py4JError, AttributeError, OSError, StopIteration, zipfile.BadZipFile) as error:
+        raise RuntimeError(
+            "this Spark brings no public suffix list; name one with --suffix-rules"
+        ) from error
     return _suffix_rules(spark.createDataFrame([(t,) for t in text.splitlines()], "value STRING"))
 
 

@@ -17,7 +17,7 @@ def test_all_jobs_chain(spark, tmp_path):
     out = lambda name: str(tmp_path / name)
     interests = {f"h{i}.com": {"__ANY": ["Sport" if i % 2 else "Food"]} for i in range(4)}
     main(["index", "--interests", put(tmp_path / "i.json", json.dumps(interests)),
-          "--out", out("index")], spark)
+          "--documents", "--out", out("index")], spark)
     assert json.loads(lines(spark, tmp_path / "index/whitelist")[0]) == sorted(interests)
 
     put(tmp_path / "cats/en-US.x.json", lines(spark, tmp_path / "index/index")[0])
@@ -44,17 +44,23 @@ def test_all_jobs_chain(spark, tmp_path):
     assert lines(spark, tmp_path / "x/bags_tsv")[0] == "http://www.h1.com/1\th1.com\tand:1 ball:1 goal:1"
     assert lines(spark, tmp_path / "x/languages_tsv") == ["0lang:en\t40"]
 
-    main(["training", "--harvest", harvest, "--stop-words", stop, "--out", out("tr")], spark)
+    assert len(lines(spark, tmp_path / "index/index_entries")) == 4
+    main(["training", "--harvest", harvest, "--stop-words", stop, "--documents", "--out", out("tr")],
+         spark)
     assert '"apple soup number0","Food"' in lines(spark, tmp_path / "tr/training")
     assert lines(spark, tmp_path / "tr/labels") == ['["Food","Sport"]']
 
     main(["classifier", "--harvest", harvest, "--stop-words", stop, "--sizes", "3", "5",
-          "--folds", "4", "--out", out("m")], spark)
+          "--folds", "4", "--documents", "--out", out("m")], spark)
     model = json.loads(lines(spark, tmp_path / "m/w5/model_json")[0])
     assert model["classes"] == {"0": "Food", "1": "Sport"}
-    matrix = {(r.klass, r.prediction): r.n for r in spark.read.parquet(out("m/w5/confusion")).collect()}
+    confusion = spark.read.parquet(out("m/confusion")).where("size = 5")
+    matrix = {(r.klass, r.prediction): r.n for r in confusion.collect()}
     assert matrix == {("Food", "Food"): 20, ("Sport", "Sport"): 20}
+    assert {r.f1 for r in spark.read.parquet(out("m/class_metrics")).where("size = 5").collect()} == {1.0}
 
     main(["split", "--harvest", harvest, "--seed", "1", "--out", out("s")], spark)
     sizes = {r.split: r["count"] for r in spark.read.text(out("s")).groupBy("split").count().collect()}
     assert sizes == {"train": 32, "validate": 4, "test": 4}
+    main(["split", "--harvest", harvest, "--by-page", "--out", out("p")], spark)
+    assert spark.read.text(out("p")).count() == 40

@@ -127,7 +127,9 @@ def test_model_document(spark):
     }
 
 
-def test_too_large_documents_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(sinks, "DOCUMENT_ROWS", 1)
-    with pytest.raises(ValueError):
-        sinks.labels_json(spark.createDataFrame([("a",), ("b",)], "label STRING"))
+def test_entries_have_no_limit(spark):
+    index = spark.range(3).selectExpr("concat('h', id) AS host", "array('X') AS categories")
+    assert {json.loads(r[0])["host"] for r in sinks.index_entries(index).collect()} == {"h0", "h1", "h2"}
+    assert sinks.whitelist_entries(index.union(index)).count() == 3
+    labels = spark.createDataFrame([("a",)], "label STRING")
+    assert sinks.labels_entries(labels).first()[0] == '{"label":"a"}'

@@ -7,8 +7,6 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-# No SQL: reads files that only Spark writes; covered by test_files.
-WITHOUT_SQL = {"sequence_file_scan"}
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +15,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

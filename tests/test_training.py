@@ -5,6 +5,7 @@ from math import log
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.functions import text as X
 from gleaner.operators import bayes as B
 from gleaner.operators import vectors as V
 from gleaner.operators.words import StopWords
@@ -185,19 +186,57 @@ def test_counts_agree_with_the_ml_library(spark, classifier):
     )
 
 
-def test_sizes_share_one_count(spark):
+def test_sizes_share_one_pass(spark, classifier):
     pages = spark.createDataFrame(DOCS, "url STRING, tokens STRING, categories STRING")
-    models = TR.train_all(pages, sizes=(3, SIZE), folds=3)
-    for size, model in models.items():
-        got = {r.term: r.idf for r in model.vocabulary.df.collect()}
-        assert got == pytest.approx(brute_vocabulary(size))
+    both = TR.train_classifier(pages, (3, SIZE), folds=3)
+    alone = {3: TR.train_classifier(pages, 3, folds=3), SIZE: classifier}
+    for size, model in alone.items():
+        for name in ("likelihoods", "predict", "cross_validate", "vectors"):
+            got = getattr(both, name)().where(F.col("size") == size)
+            assert sorted(map(str, got.collect())) == sorted(map(str, getattr(model, name)().collect()))
+
+
+def test_three_thousand_classes(spark):
+    pages = spark.createDataFrame(
+        [(f"u{i}", f"common word{i % 3000}", f"c{i % 3000:04}") for i in range(6000)],
+        "url STRING, tokens STRING, categories STRING",
+    )
+    model = TR.train_classifier(pages, 4000, folds=2)
+    assert model.priors().count() == 3000
+    assert B.accuracy(B.confusion(model.predict())).first().accuracy == 1.0
+    assert len(model.likelihoods().first().log_likelihood) == 3000
+
+
+def test_class_metrics(spark):
+    matrix = spark.createDataFrame(
+        [(5, "a", "a", 6), (5, "a", "b", 2), (5, "b", "a", 3), (5, "c", "c", 0)],
+        "size INT, klass STRING, prediction STRING, n BIGINT",
+    )
+    got = {r.klass: (r.precision, r.recall, r.f1) for r in B.class_metrics(matrix).collect()}
+    assert got["a"] == pytest.approx((6 / 9, 6 / 8, 12 / 17))
+    assert got["b"] == (0.0, 0.0, 0.0) and got["c"] == (0.0, 0.0, 0.0)
+
+
+def test_null_fields_do_not_lose_a_document(spark, stop):
+    df = spark.createDataFrame([("http://long.com/", None, "keyword", "A")], SCHEMA)
+    assert TR.training_rows(df, stop).first().tokens == "long keyword"
+    assert TR.training_rows(df, stop, "zh-CN").first().tokens == "long  keyword"
+
+
+def test_tokenizer_of_unsegmented_text(spark, stop):
+    df = spark.createDataFrame([("http://long.cn/", "汉字词典x 标 word", "键", "A")], SCHEMA)
+    got = TR.training_rows(df, stop, "zh-CN", X.han_bigrams).first().tokens
+    assert got == "long 汉字 字词 词典 标 word 键"
 
 
 def test_normalized_lengths(spark, classifier):
-    instances = classifier.instances.select("url", "klass", "doc", "terms").distinct()
-    rows = V.tfidf(instances, classifier.vocabulary, normalize=True)
-    lengths = [
-        r["l"] for r in rows.groupBy("url", "klass", "doc").agg(
-            F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("l")).collect()
-    ]
+    """Copies of an instance keep the length of one."""
+    instances = classifier.instances.select("url", "klass", "terms")
+    rows = V.tfidf(instances, classifier.vocabulary, normalize=True).collect()
+    copies = Counter((r.url, r.klass, r.term) for r in rows)
+    squares = defaultdict(float)
+    for r in rows:
+        squares[r.url, r.klass] += r.weight**2 / copies[r.url, r.klass, r.term]
+    lengths = [v**0.5 for v in squares.values()]
+    assert copies["copy", "food", "apple"] == 4
     assert max(lengths) == pytest.approx(min(lengths))
