@@ -21,9 +21,10 @@ other's by n / 4 of their own shingles at most, so n / 4 + 1 segments are alloca
 shingles that fewest of these sets have. A passage that many share is then in nobody's allocation
 that has a quarter of its own.
 
-Verification. Within a key every set is compared with the key's least; then, only where a key's sets
-are in different components, its sets are compared across components. Pairs already in one component
-add nothing. A pair is first held against parities: bit h mod B of a set's parity is the number of its
+Verification. ROUNDS times, each key picks a leader, and the sets of the key that are not yet in its
+component are compared with it; then, only where a key's sets are still in different components, its
+sets are compared across components. Pairs already in one component add nothing, so a large group of
+near copies costs a few comparisons a set, and only sets that miss it meet all of it. A pair is first held against parities: bit h mod B of a set's parity is the number of its
 shingles there, odd or even, so two parities never differ in more bits than the sets do in shingles,
 and pairs that differ in too many go. What is left is compared on the whole sets.
 
@@ -67,6 +68,8 @@ SHINGLE = 5
 COMMON = 40
 #: The low bits of a packed node hold how many of its keys may be common.
 RESERVE_BITS = 12
+#: Comparisons with a leader before those across components.
+ROUNDS = 3
 #: Ids up to this number (16 bytes each) are broadcast to pick texts; more are joined by shuffle.
 PICK_ROWS = 1_000_000
 
@@ -355,14 +358,17 @@ def needy(groups: DataFrame) -> DataFrame:
 
 
 def allotted(shingles: DataFrame) -> DataFrame:
-    """(key, rep, size) of the n / 4 + 1 shingles of a set that fewest sets have, out of (key, rep,
-    size, sets) of the shared ones; those it shares with nobody come first and are not there."""
+    """(key, rep, size, place) of the n / 4 + 1 shingles of a set that fewest sets have, out of (key,
+    rep, size, sets) of the shared ones; those it shares with nobody come first and are not there.
+
+    All sets have their shingles in the same order. Where two sets meet first, the shingles before
+    that place are the one's or the other's alone, so the two places bound their difference."""
     own = Window.partitionBy("rep")
     rank = F.row_number().over(own.orderBy("sets", "key"))
     alone = F.col("size") - F.count("*").over(own)
-    ranked = shingles.withColumn("rank", rank).withColumn("alone", alone)
-    return ranked.where(F.col("rank") + F.col("alone") <= F.floor(F.col("size") / 4) + 1).select(
-        "key", "rep", "size"
+    ranked = shingles.withColumn("place", rank + alone)
+    return ranked.where(F.col("place") <= F.floor(F.col("size") / 4) + 1).select(
+        "key", "rep", "size", "place"
     )
 
 
@@ -476,44 +482,50 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
         groups.where(F.col("sets") <= COMMON)
         .select("key", digest)
         .join(known, "digest")
-        .select("key", "rep", "size")
+        .select("key", "rep", "size", F.lit(1).cast("long").alias("place"))
         .unionAll(allotted(shingles.join(known, "digest").drop("digest").distinct()))
         .distinct()
     )
     members = stage(members, "members")
     by_key = Window.partitionBy("key")
-    least = F.min(F.struct("rep", "size")).over(by_key)
-    stars = (
-        members.select(F.col("rep").alias("b"), F.col("size").alias("size_b"), least.alias("l"))
-        .select(F.col("l.rep").alias("a"), F.col("l.size").alias("size_a"), "b", "size_b")
-        .where(_near_size("size_a", "size_b") & (F.col("a") != F.col("b")))
-        .select("a", "b")
-        .distinct()
-    )
-    tried = stage(stars, "stars")
-    likely = stage(plausible(tried, classes, at_least), "likely")
-    links = stage(verified(likely, rows, at_least), "links")
-    labels = components(links)
-    placed = members.join(labels, members["rep"] == labels["node"], "left").select(
-        "key", "rep", "size", F.coalesce("component", "rep").alias("component")
-    )
-    several = placed.withColumn("low", F.min("component").over(by_key)).withColumn(
-        "high", F.max("component").over(by_key)
-    )
-    several = stage(several.where("low != high").select("key", "rep", "size", "component"), "several")
-    x, y = several.alias("x"), several.alias("y")
-    across = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")))
-        .where(F.col("x.component") != F.col("y.component"))
-        .where(_near_size("x.size", "y.size"))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    likely = stage(plausible(across, classes, at_least), "likely")
-    more = stage(verified(likely, rows, at_least), "links")
-    if more.limit(1).count():
-        labels = components(links.unionAll(more))
+    tried = links = labels = None
+    for turn in range(ROUNDS + 1):
+        placed = members.withColumn("component", F.col("rep"))
+        if labels is not None:
+            placed = members.join(labels, members["rep"] == labels["node"], "left").select(
+                "key", "rep", "size", "place", F.coalesce("component", "rep").alias("component")
+            )
+        several = placed.withColumn("low", F.min("component").over(by_key)).withColumn(
+            "high", F.max("component").over(by_key)
+        )
+        several = several.where("low != high").select("key", "rep", "size", "place", "component")
+        if turn < ROUNDS:
+            # First the same leader wherever it can be, then another in each key.
+            chosen = F.xxhash64("rep", "key", F.lit(turn)) if turn else F.col("rep")
+            order = F.struct(chosen.alias("_"), "rep", "size", "place", "component")
+            columns = ["rep", "size", "place", "component"]
+            pairs = several.withColumn("l", F.min(order).over(by_key)).select(*columns, "l.*")
+            pairs = pairs.toDF(*columns, "_", *[f"x_{c}" for c in columns])
+        else:
+            several = stage(several, "several")
+            x = several.toDF("key", "x_rep", "x_size", "x_place", "x_component")
+            pairs = several.join(x, "key").where("rep < x_rep")
+        pairs = (
+            pairs.where("component != x_component")
+            .where(_near_size("size", "x_size"))
+            .where("7 * (place + x_place - 2) <= size + x_size")
+            .select(F.least("rep", "x_rep").alias("a"), F.greatest("rep", "x_rep").alias("b"))
+            .distinct()
+        )
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        likely = stage(plausible(pairs, classes, at_least), "likely")
+        new = stage(verified(likely, rows, at_least), "links")
+        links = new if links is None else links.unionAll(new)
+        if labels is None or new.limit(1).count():
+            labels = components(links)
     found = sets.join(classes.drop("parity"), ["n", "d1", "d2"], "left").select("doc_id", "n", "rep")
     return found.join(labels, found["rep"] == labels["node"], "left").select(
         "doc_id",
