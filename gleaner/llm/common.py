@@ -16,6 +16,8 @@ __all__ = ["BLOCK_BYTES", "NO_ID", "document_columns", "identified", "stage", "t
 
 #: Text handled at once inside a task; bounds numpy temporaries whatever the batch size.
 BLOCK_BYTES = 2 << 20
+#: Documents in an Arrow batch: a tenth of Spark's default, as texts are long.
+BATCH_ROWS = 1000
 #: Stands for a null doc_id inside an operator, so that joins and orders have a plain key.
 NO_ID = -(2**63)
 
@@ -70,6 +72,14 @@ def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The frame, with its session's Arrow batches held to BATCH_ROWS rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, BATCH_ROWS)
+    return df
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -80,7 +90,7 @@ def map_batches(
             if batch.num_rows:
                 yield from work(batch)
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

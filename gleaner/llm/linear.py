@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, raw_texts, word_hashes
+from .common import mixed, raw_texts, small_batches, word_hashes
 
 #: The documented bound of a fit: labelled rows it reads, with their texts.
 SAMPLE_ROWS = 12_000
@@ -112,7 +112,7 @@ def fitted(
             ["bucket", "weight"],
         )
 
-    made = sample.select("doc_id", "text", "grade").mapInArrow(
+    made = small_batches(sample.select("doc_id", "text", "grade")).mapInArrow(
         featurise, "doc_id long, grade int, features binary"
     )
     # The sample is bounded, so one task may hold its features; featurising stays spread.

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, map_batches, raw_texts, table
+from .common import blocks, map_batches, raw_texts, small_batches, table
 
 #: Bounds what is broadcast.
 MODEL_BYTES = 64 << 20
@@ -417,7 +417,7 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
                 )
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id long, ids array<int>")
+    return small_batches(source).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
