@@ -54,7 +54,7 @@ def test_next_documents(documents, nothing):
         assert r.next_text == wanted
     assert P.with_next(nothing).count() == 0
     alone = P.with_next(documents([(1, "a b c d"), (1, "a b c d")])).collect()
-    assert [r.next_text for r in alone] == ["a b ", "a b "]
+    assert [r.next_text for r in alone] == ["a b", "a b"]
 
 
 def test_equal_texts_have_equal_fingerprints(edges):
