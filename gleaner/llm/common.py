@@ -52,6 +52,17 @@ def real_id(column: str = "doc_id") -> Column:
     return F.nullif(F.col(column), F.lit(NO_ID)).alias(column)
 
 
+# ASCII letters and digits, lower-cased, and non-ASCII bytes are parts of words; all else parts them.
+PLAIN = bytes(
+    b + 32
+    if 0x41 <= b <= 0x5A
+    else b
+    if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
+    else 0x20
+    for b in range(256)
+)
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,14 +108,6 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def word_stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (split at ASCII white space) of several texts, and the bounds of each."""
-    split = [text.split() for text in texts]
-    bounds = np.zeros(len(split) + 1, np.int64)
-    np.cumsum([len(words) for words in split], out=bounds[1:])
-    return word_hashes([word for words in split for word in words]), bounds
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     values = values ^ (values >> np.uint64(33))
@@ -129,16 +132,3 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     for place, factor in enumerate(multipliers(width)):
         total += words[place : place + count] * factor
     return mixed(total)
-
-
-def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    """Arrow lists out of their concatenated values and lengths."""
-    offsets = np.zeros(len(counts) + 1, np.int32)
-    np.cumsum(counts, out=offsets[1:])
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
-
-
-def shared_rows(df: DataFrame, limit_rows: int) -> int | None:
-    """The number of rows, or None beyond the limit: the check before a broadcast."""
-    count = df.count()
-    return count if count <= limit_rows else None

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_SCHEMA, blocks, document_columns, map_batches, raw_texts, table
+from .common import DOCUMENT_SCHEMA, PLAIN, blocks, document_columns, map_batches, raw_texts, table
 
 WINDOW = 10
 #: Bounds one automaton: words of items (it has at most twice as many states).
@@ -37,19 +37,8 @@ AUTOMATON_WORDS = 100_000
 #: Longer items are cut into pieces that overlap by WINDOW - 1 words.
 PIECE_WORDS = 20_000
 
-# Lower-case letters, digits and non-ASCII bytes are parts of words; all else parts them.
-_FOLD = bytes(
-    b + 32
-    if 0x41 <= b <= 0x5A
-    else b
-    if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
-    else 0x20
-    for b in range(256)
-)
-
-
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
+    return text.translate(PLAIN).split()
 
 
 @dataclass

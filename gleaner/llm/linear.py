@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, raw_texts, small_batches, word_hashes
+from .common import PLAIN, mixed, raw_texts, small_batches, word_hashes
 
 #: The documented bound of a fit: labelled rows it reads, with their texts.
 SAMPLE_ROWS = 12_000
@@ -22,16 +22,6 @@ BITS = 20
 #: A feature must be in at least so many sampled texts; rarer ones cannot pass the L1 threshold.
 LEAST_TEXTS = 3
 
-# ASCII letters and digits, lower-cased, and non-ASCII bytes are parts of words; all else parts them.
-PLAIN = bytes(
-    b + 32
-    if 0x41 <= b <= 0x5A
-    else b
-    if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80
-    else 0x20
-    for b in range(256)
-)
-
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 

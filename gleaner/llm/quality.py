@@ -21,8 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import DOCUMENT_SCHEMA, document_columns, map_batches, raw_texts, table, word_hashes
-from .linear import BITS, PLAIN, SAMPLE_ROWS, dense, fitted, sampled, sigmoid, to_buckets
+from .common import (
+    DOCUMENT_SCHEMA,
+    PLAIN,
+    document_columns,
+    map_batches,
+    raw_texts,
+    table,
+    word_hashes,
+)
+from .linear import BITS, SAMPLE_ROWS, dense, fitted, sampled, sigmoid, to_buckets
 
 #: Thresholds are the weights of keys -1, -2, ... in order.
 AT_LEAST = 1
