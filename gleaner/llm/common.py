@@ -15,7 +15,7 @@ from gleaner.workspace import stage
 __all__ = ["BLOCK_BYTES", "NO_ID", "document_columns", "identified", "stage", "table"]
 
 #: Text handled at once inside a task; bounds numpy temporaries whatever the batch size.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 #: Documents in an Arrow batch: a tenth of Spark's default, as texts are long.
 BATCH_ROWS = 1000
 #: Stands for a null doc_id inside an operator, so that joins and orders have a plain key.

@@ -408,7 +408,7 @@ def encode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
         encoder = vocabulary.encoder = vocabulary.encoder or Encoder(vocabulary)
         for batch in batches:
             texts = raw_texts(batch.column(1))
-            for start, end in blocks(texts, 4 << 20):
+            for start, end in blocks(texts, 1 << 20):
                 ids, counts = encoder.encode(texts[start:end])
                 offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
