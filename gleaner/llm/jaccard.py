@@ -31,9 +31,13 @@ and pairs that differ in too many go. What is left is compared on the whole sets
 Equal sets are one class from the start, so copies cost one row a batch. Results: a document's set
 size and the smallest doc_id of its component.
 
+Rows are told apart by a 64-bit hash of their columns, not by doc_id, and links are between classes
+of rows with equal sets; only what is returned as a document's component unites rows by doc_id.
+
 Defined results: null and empty texts have size 0 and link with nothing; a null doc_id counts as the
-smallest; rows that share a doc_id are one document, whose links are united; further columns are
-ignored; an empty table has no rows.
+smallest; rows that share a doc_id are one document, whose links are united (`join_near`), or each
+its own (`one_of_each`); rows without a doc_id are each their own; further columns are ignored; an
+empty table has no rows.
 """
 
 from __future__ import annotations
@@ -207,7 +211,7 @@ def weighed(tokens: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], li
 
 
 def described(rows: DataFrame) -> DataFrame:
-    """doc_id, n, digests, and for each option what the set needs and costs."""
+    """row, doc_id, n, digests, and for each option what the set needs and costs, of (row, text, doc_id)."""
     options = range(len(_OPTIONS))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -219,6 +223,7 @@ def described(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(start, end - start),
+                    batch.column(2).slice(start, end - start),
                     pa.array(sizes),
                     pa.array(one),
                     pa.array(two),
@@ -226,11 +231,11 @@ def described(rows: DataFrame) -> DataFrame:
                     *(pa.array(x) for x in needed),
                     *(pa.array(x.astype(np.float64)) for x in costs),
                 ],
-                ["doc_id", "n", "d1", "d2", "parity", *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
+                ["row", "doc_id", "n", "d1", "d2", "parity", *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
             )
 
     names = [f"need{i} long" for i in options] + [f"cost{i} double" for i in options]
-    return map_batches(rows, work, ", ".join(["doc_id long, n long, d1 long, d2 long, parity binary", *names]))
+    return map_batches(rows, work, ", ".join(["row long, doc_id long, n long, d1 long, d2 long, parity binary", *names]))
 
 
 def allocated(sets: DataFrame) -> dict[int, Scheme]:
@@ -373,9 +378,9 @@ def allotted(shingles: DataFrame) -> DataFrame:
 
 
 def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of some documents: ids (a written table) are broadcast if they are few enough."""
+    """Some rows: ids (a written table) are broadcast if they are few enough."""
     few = ids.count() <= PICK_ROWS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id")
+    return rows.join(F.broadcast(ids) if few else ids, "row")
 
 
 def shared_keys(index: DataFrame) -> DataFrame:
@@ -389,7 +394,7 @@ def shared_keys(index: DataFrame) -> DataFrame:
 
 
 def plausible(pairs: DataFrame, classes: DataFrame, at_least: int) -> DataFrame:
-    """The pairs (a, b) of classes' doc_ids that sizes and parities do not rule out."""
+    """The pairs (a, b) of classes' rows that sizes and parities do not rule out."""
 
     def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(i).to_pylist() for i in range(2, 6)]
@@ -415,9 +420,9 @@ def plausible(pairs: DataFrame, classes: DataFrame, at_least: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose sets link; pairs come once each."""
+    """The pairs (a, b) of rows whose sets link; pairs come once each."""
     ids = stage(
-        pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), "ids"
+        pairs.select(F.col("a").alias("row")).unionAll(pairs.select("b")).distinct(), "ids"
     )
 
     def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -430,10 +435,10 @@ def verified(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
                     batch.column(0).slice(start, end - start),
                     pa.array([x.tobytes() for x in cut], pa.binary()),
                 ],
-                ["doc_id", "tokens"],
+                ["row", "tokens"],
             )
 
-    sets = stage(map_batches(picked(rows, ids), hashed, "doc_id long, tokens binary").distinct(), "sets")
+    sets = stage(map_batches(picked(rows, ids), hashed, "row long, tokens binary").distinct(), "sets")
 
     def compared(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         first, second = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -449,25 +454,29 @@ def verified(pairs: DataFrame, rows: DataFrame, at_least: int) -> DataFrame:
             keep[i] = 100 * common >= at_least * (len(x) + len(y) - common)
         yield batch.select([0, 1]).filter(pa.array(keep))
 
-    a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b"))
+    a = sets.select(F.col("row").alias("a"), F.col("tokens").alias("tokens_a"))
+    b = sets.select(F.col("row").alias("b"), F.col("tokens").alias("tokens_b"))
     joined = pairs.join(b, "b").join(a, "a").select("a", "b", "tokens_a", "tokens_b")
     return map_batches(joined, compared, "a long, b long")
 
 
-def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document; doc_id and component_id may be NO_ID.
+def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
+    """(row, doc_id, n, component, least) of all rows (row, text, doc_id): the component of the row's
+    class and its smallest doc_id. row tells rows apart, and a row without shingles is a component.
 
     at_least is the similarity in hundredths, from 75 (for which the bounds are made) to 100."""
     if not 75 <= at_least <= 100:
         raise ValueError("at_least must be from 75 to 100")
-    rows = identified(docs)
     sets = stage(described(rows), "sets")
     schemes = allocated(sets)
     classes = stage(
         sets.where("n > 0")
         .groupBy("n", "d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.min("parity").alias("parity")),
+        .agg(
+            F.min("row").alias("rep"),
+            F.min("doc_id").alias("doc"),
+            F.min("parity").alias("parity"),
+        ),
         "classes",
     )
     known = classes.select(
@@ -475,7 +484,7 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
     )
     groups = stage(shared_keys(indexed(rows, schemes)), "groups")
     digest = F.shiftright("node", RESERVE_BITS).alias("digest")
-    again = needy(groups).select(digest).join(known, "digest").select(F.col("rep").alias("doc_id"))
+    again = needy(groups).select(digest).join(known, "digest").select(F.col("rep").alias("row"))
     again = stage(again.distinct(), "needy")
     shingles = shared_keys(by_shingle(picked(rows, again))).select("key", digest, "sets")
     members = (
@@ -526,11 +535,48 @@ def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
         links = new if links is None else links.unionAll(new)
         if labels is None or new.limit(1).count():
             labels = components(links)
-    found = sets.join(classes.drop("parity"), ["n", "d1", "d2"], "left").select("doc_id", "n", "rep")
-    return found.join(labels, found["rep"] == labels["node"], "left").select(
+    own = labels.join(classes.select(F.col("rep").alias("node"), "doc"), "node")
+    least = own.groupBy("component").agg(F.min("doc").alias("least"))
+    named = labels.join(least, "component").select("node", "component", "least")
+    found = sets.select("row", "doc_id", "n", "d1", "d2").join(
+        classes.drop("parity"), ["n", "d1", "d2"], "left"
+    )
+    return found.join(named, found["rep"] == named["node"], "left").select(
+        "row",
         "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "rep", "doc_id").alias("component_id"),
+        "n",
+        F.coalesce("component", "rep", "row").alias("component"),
+        F.coalesce("least", "doc", "doc_id").alias("least"),
+    )
+
+
+def join_near(docs: DataFrame, at_least: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document; doc_id and component_id may be NO_ID.
+
+    at_least is as in `linked`."""
+    rows = identified(docs).select(F.xxhash64("doc_id", "text").alias("row"), "text", "doc_id")
+    found = stage(linked(rows, at_least), "linked")
+    # Components that a repeated doc_id unites; those of a null one have the same least already.
+    repeated = stage(
+        found.where(F.col("doc_id") != NO_ID)
+        .groupBy("doc_id")
+        .agg(F.min("component").alias("a"), F.max("component").alias("z"))
+        .where("a != z")
+        .drop("z"),
+        "repeated",
+    )
+    if repeated.limit(1).count():
+        meet = found.join(repeated, "doc_id").where(F.col("component") != F.col("a"))
+        united = components(meet.select("a", F.col("component").alias("b")).distinct())
+        known = found.groupBy("component").agg(F.min("least").alias("least"))
+        known = known.join(united.toDF("component", "whole"), "component")
+        least = known.groupBy("whole").agg(F.min("least").alias("smallest"))
+        least = known.join(least, "whole").select("component", "smallest")
+        found = found.join(least, "component", "left").withColumn(
+            "least", F.coalesce("smallest", "least")
+        )
+    return found.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id")
     )
 
 
@@ -540,19 +586,30 @@ def _near_size(a: str, b: str):
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """documents less all but one of each component: the row of the smallest doc_id stays, and of
-    rows that repeat it the one of the least hash of its columns. Unlinked documents stay."""
+    """documents less all but one row of each component: the one of the smallest doc_id, and of rows
+    that repeat it the one of the least hash of its columns. Unlinked texts stay, whatever their
+    doc_id, and so do all rows without shingles."""
     source = document_columns(docs)
-    found = join_near(source)
-    stays = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    ranked = Window.partitionBy("_id").orderBy(F.xxhash64(*source.columns))
-    return (
-        source.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID)))
-        .join(stays.withColumnRenamed("doc_id", "_id"), "_id")
-        .withColumn("_rank", F.row_number().over(ranked))
-        .where("_rank = 1")
-        .select(*source.columns)
+    doc_id = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id")
+    others = [F.col(c).isNull() for c in source.columns]
+    source = source.withColumn("row", F.xxhash64(*source.columns, *others))
+    found = linked(source.select("row", "text", doc_id))
+    kept = (
+        found.where("n > 0")
+        .groupBy("component", "doc_id", "row")
+        .agg(F.count("*").alias("copies"))
+        .groupBy("component")
+        .agg(F.min(F.struct("doc_id", "row", "copies")).alias("_"))
+        .select("_.row", "_.copies")
     )
+    kept = stage(kept, "kept")
+    # Only of rows that are equal in all columns is one to be chosen by shuffle.
+    single, several = (kept.where(c).select("row") for c in ("copies = 1", "copies > 1"))
+    blank = source.where(~F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False)))
+    stays = picked(source, single).unionByName(blank)
+    if several.limit(1).count():
+        stays = stays.unionByName(picked(source, several).dropDuplicates(["row"]))
+    return stays.drop("row")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

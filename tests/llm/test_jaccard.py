@@ -71,3 +71,49 @@ def test_edges(edges, nothing, documents):
     assert J.join_near(edges).count() == 9
     kept = J.one_of_each(documents([(3, "x y"), (1, "X y"), (1, "X y"), (2, None), (None, "other")]))
     assert sorted([r.doc_id for r in kept.collect()], key=str) == [1, 2, None]
+
+
+def kept(documents, rows):
+    return sorted(((r.doc_id, r.text) for r in J.one_of_each(documents(rows)).collect()), key=str)
+
+
+def test_unlike_texts_of_one_doc_id_stay(documents):
+    one, two, three = ("alpha beta gamma", "other words here", "a third text")
+    assert kept(documents, [(None, one), (None, two), (None, three), (None, "")]) == sorted(
+        [(None, one), (None, two), (None, three), (None, "")], key=str
+    )
+    assert kept(documents, [(None, one), (None, two), (5, one)]) == [(None, one), (None, two)]
+    assert kept(documents, [(1, one), (5, one), (5, two)]) == [(1, one), (5, two)]
+    assert kept(documents, [(7, one), (7, one), (7, None), (7, None), (7, " \n")]) == sorted(
+        [(7, one), (7, None), (7, None), (7, " \n")], key=str
+    )
+
+
+def test_repeated_and_null_ids_lose_no_class(documents):
+    rng = random.Random(7)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for _ in range(40):
+        base = line(rng.choice([3, 20, 80]))
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            rows.append((rng.choice([None, *range(15)]), edited(rng, base, rng.choice([0, 0.02]))))
+    sets = [(i, t) for i, (_, t) in enumerate(rows)]
+    root = {i: c for i, _, c in brute(sets)}
+    got = J.one_of_each(documents(rows)).collect()
+    groups = {}
+    for i, (d, t) in enumerate(rows):
+        groups.setdefault(root[i], []).append((-1 if d is None else d, t))
+    left = {}
+    for r in got:
+        d = -1 if r.doc_id is None else r.doc_id
+        own = [g for g, members in groups.items() if (d, r.text) in members]
+        assert len(own) == 1 and d == min(groups[own[0]])[0]
+        left[own[0]] = left.get(own[0], 0) + 1
+    assert left == dict.fromkeys(groups, 1)
+
+
+def test_rows_of_one_doc_id_have_one_component(documents):
+    rows = [(1, "t one"), (5, "t one"), (5, "t two"), (9, "t two"), (5, None), (8, "t three")]
+    got = J.join_near(documents(rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 5: 1, 9: 1, 8: 8}
+    assert all(r.component_id == (8 if r.doc_id == 8 else 1) for r in got)
