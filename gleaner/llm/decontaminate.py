@@ -4,8 +4,8 @@ The items' words (A-Z lower-cased, runs of letters, digits and non-ASCII charact
 automaton. A document's words are streamed through it: after each word the automaton knows the
 longest item substring that ends there. Wherever that length reaches the window (10 words, or the
 whole of a shorter item) the words of the window are hit. Runs of hit words are spans; spans of
-`max_length` words or fewer stay, longer ones are cut out of the text, and a document of which
-more than `max_coverage` is hit goes.
+`max_length` words or fewer stay unless they hold a whole item, all others are cut out of the text,
+and a document of which more than `max_coverage` is hit goes.
 
 Streaming starts at the root wherever two neighbouring words never follow each other in an item,
 so most text is passed over by one vectorised look-up of word pairs.
@@ -36,6 +36,9 @@ WINDOW = 10
 AUTOMATON_WORDS = 100_000
 #: Longer items are cut into pieces that overlap by WINDOW - 1 words.
 PIECE_WORDS = 20_000
+#: Flags of a document's word: it is hit; a whole item ends with it.
+HIT, END = np.uint8(1), np.uint8(2)
+
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(PLAIN).split()
@@ -53,6 +56,8 @@ class Automaton:
     items: dict[tuple[int, ...], set[str]] = field(default_factory=dict)
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     shorter: list[int] = field(default_factory=list)
+    whole: set[int] = field(default_factory=set)
+    above: set[int] = field(default_factory=set)
 
     def _extend(self, last: int, word: int) -> int:
         if word in self.step[last]:
@@ -87,13 +92,15 @@ class Automaton:
             at = self.link[at]
         return clone
 
-    def add(self, item: str | None, words: list[bytes]) -> None:
+    def add(self, item: str | None, words: list[bytes], whole: bool = True) -> None:
         if not words:
             return
         numbers = [self.ids.setdefault(word, len(self.ids)) for word in words]
         last = 0
         for number in numbers:
             last = self._extend(last, number)
+        if whole:
+            self.whole.add(last)
         width = min(self.window, len(numbers))
         for i in range(len(numbers) - width + 1):
             self.items.setdefault(tuple(numbers[i : i + width]), set()).add(item)
@@ -103,6 +110,10 @@ class Automaton:
         size = len(self.ids) + 1
         found = {a * size + b for a, step in enumerate(self._firsts()) for b in step}
         self.pairs = np.array(sorted(found), np.int64)
+        # States with a whole item among their shorter suffixes; links lead to lesser lengths.
+        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            if self.link[state] in self.whole or self.link[state] in self.above:
+                self.above.add(state)
         self.shorter = sorted({len(key) for key in self.items if len(key) < self.window})
         return self
 
@@ -114,8 +125,8 @@ class Automaton:
         return self.shorter[0] if self.shorter else self.window
 
     def stream(self, numbers: list[int]) -> tuple[np.ndarray, set[str], int]:
-        """Hit flags, items and longest match of words among which all neighbours are known."""
-        hit = np.zeros(len(numbers), bool)
+        """Flags, items and longest match of words among which all neighbours are known."""
+        hit = np.zeros(len(numbers), np.uint8)
         items: set[str] = set()
         state = length = longest = 0
         for i, number in enumerate(numbers):
@@ -131,8 +142,10 @@ class Automaton:
                     break
                 key = tuple(numbers[i - width + 1 : i + 1])
                 if key in self.items:
-                    hit[i - width + 1 : i + 1] = True
+                    hit[i - width + 1 : i + 1] |= HIT
                     items |= self.items[key]
+            if state in self.above or (state in self.whole and length == self.length[state]):
+                hit[i] |= END
         return hit, items, longest
 
     def scan(self, documents: list[list[bytes]]) -> dict[int, tuple[np.ndarray, set[str], int]]:
@@ -163,7 +176,7 @@ class Automaton:
                 continue
             d = int(np.searchsorted(bounds, start, "right")) - 1
             flags, known_items, most = found.get(d) or (
-                np.zeros(len(documents[d]), bool),
+                np.zeros(len(documents[d]), np.uint8),
                 set(),
                 0,
             )
@@ -173,27 +186,28 @@ class Automaton:
 
 
 def pieces(benchmark: DataFrame, size: int = PIECE_WORDS) -> DataFrame:
-    """(item, words, n_words): the items' normalised words, long items in overlapping pieces."""
+    """(item, words, n_words, whole): the items' normalised words, long items in overlapping pieces."""
 
     def work(batch: pa.RecordBatch):
-        out: list[tuple[str | None, str, int]] = []
+        out: list[tuple[str | None, str, int, bool]] = []
         items = batch.column(0).to_pylist()
         for item, text in zip(items, raw_texts(batch.column(1)), strict=True):
             words = words_of(text)
             for i in range(0, max(len(words) - WINDOW + 1, 1 if words else 0), size):
                 part = words[i : i + size + WINDOW - 1]
-                out.append((item, b" ".join(part).decode(), len(part)))
+                out.append((item, b" ".join(part).decode(), len(part), len(part) == len(words)))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([o[0] for o in out], pa.string()),
                 pa.array([o[1] for o in out], pa.string()),
                 pa.array([o[2] for o in out], pa.int64()),
+                pa.array([o[3] for o in out], pa.bool_()),
             ],
-            ["item", "words", "n_words"],
+            ["item", "words", "n_words", "whole"],
         )
 
     source = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    return map_batches(source, work, "item string, words string, n_words long").distinct()
+    return map_batches(source, work, "item string, words string, n_words long, whole boolean").distinct()
 
 
 def automata(benchmark: DataFrame, limit: int = AUTOMATON_WORDS) -> list:
@@ -206,15 +220,15 @@ def automata(benchmark: DataFrame, limit: int = AUTOMATON_WORDS) -> list:
     built = []
     for k in range(count):
         automaton = Automaton()
-        rows = parts.where(part == k).select("item", "words").collect()
+        rows = parts.where(part == k).select("item", "words", "whole").collect()
         for row in sorted(rows, key=lambda r: (r["item"] or "", r["words"])):
-            automaton.add(row["item"], row["words"].encode().split())
+            automaton.add(row["item"], row["words"].encode().split(), row["whole"])
         built.append(spark.sparkContext.broadcast(automaton.close()))
     return built
 
 
 def _judged(texts: list[bytes], built: list):
-    """For each text: its words' number, hit flags (None without hits), items, longest match."""
+    """For each text: its words' number, flags (None without hits), items, longest match."""
     for start, end in blocks(texts):
         documents = [words_of(text) for text in texts[start:end]]
         found: dict[int, tuple[np.ndarray, set[str], int]] = {}
@@ -234,7 +248,7 @@ def spans_of(flags: np.ndarray | None) -> list[tuple[int, int]]:
     """Runs of hit words, as (first word, word after the last)."""
     if flags is None:
         return []
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], (flags & HIT).view(np.int8), [0]))))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
@@ -290,8 +304,9 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, max_length: int = WINDOW - 1, max_coverage: float = 0.8
 ) -> DataFrame:
-    """documents less the spans of over `max_length` hit words, and less documents of which over
-    `max_coverage` of the words are hit. Untouched documents stay as they are; n_chars follows."""
+    """documents less the spans of over `max_length` hit words or with a whole item in them (of up to
+    PIECE_WORDS words), and less documents of which over `max_coverage` of the words are hit.
+    Untouched documents stay as they are; n_chars follows."""
     built = automata(benchmark)
 
     def work(batch: pa.RecordBatch):
@@ -302,8 +317,10 @@ def decontaminate(
         for i, (n_words, flags, _, _) in enumerate(judged):
             if flags is None:
                 continue
-            keep[i] = flags.sum() <= max_coverage * n_words
-            spans = [(a, b) for a, b in spans_of(flags) if b - a > max_length]
+            keep[i] = np.count_nonzero(flags & HIT) <= max_coverage * n_words
+            spans = [
+                (a, b) for a, b in spans_of(flags) if b - a > max_length or (flags[a:b] & END).any()
+            ]
             if spans and keep[i]:
                 texts[i] = without_spans(texts[i], spans)
                 sizes[i] = len(texts[i])

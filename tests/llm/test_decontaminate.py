@@ -60,3 +60,18 @@ def test_spans_go_and_clean_documents_stay(spark, documents, edges, nothing):
     assert D.contamination(nothing, table).count() == 0
     empty = table.limit(0)
     assert all(not r.starts for r in D.contamination(docs, empty).collect())
+
+
+def test_whole_items_go_however_short(spark, documents):
+    long = " ".join(f"t{i}" for i in range(14))
+    items = [(1, "What is two"), (2, "lone"), (3, long), (4, f"more {' '.join(f't{i}' for i in range(11))}")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    clean = " ".join(f"c{i}" for i in range(30))
+    part = " ".join(f"t{i}" for i in range(1, 13))
+    docs = [(1, f"{clean} what IS two? {clean}"), (2, f"{clean} is two what lone, {clean}")]
+    docs += [(3, f"{clean} {long} {clean} {part} {clean}"), (4, f"{clean} two is what {clean}")]
+    got = {r.doc_id: r.text for r in D.decontaminate(documents(docs), table).collect()}
+    assert got[1] == f"{clean} ? {clean}" and got[2] == f"{clean} is two what , {clean}"
+    assert got[3] == f"{clean}  {clean}  {clean}" and got[4] == docs[3][1]
+    got = {r.doc_id: r.text for r in D.decontaminate(documents(docs), table, max_length=20).collect()}
+    assert got[1] == f"{clean} ? {clean}" and got[3] == f"{clean}  {clean} {part} {clean}"
