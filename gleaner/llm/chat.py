@@ -197,7 +197,7 @@ def packed(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
 
 def ends(blocks: DataFrame) -> DataFrame:
-    """conv_id, part, block, entry, leave, last of the blocks of conversations that have several."""
+    """conv_id, part, block, entry, leave, last, before (turns in earlier ones) of the blocks of conversations that have several."""
 
     def chain(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values(["part", "block"], kind="stable")
@@ -216,23 +216,28 @@ def ends(blocks: DataFrame) -> DataFrame:
             entry.append(state)
         done = blocks[["conv_id", "part", "block"]].copy()
         done["entry"], done["leave"] = entry[::-1], leave[::-1]
+        done["before"] = blocks["held"].cumsum() - blocks["held"]
         done["last"] = [False] * (len(done) - 1) + [True]
         return done
 
-    several = blocks.select("conv_id", "part", "block", "costs").withColumn(
+    held = F.size("turns").cast("long").alias("held")
+    several = blocks.select("conv_id", "part", "block", "costs", held).withColumn(
         "n", F.count("*").over(Window.partitionBy("conv_id"))
     )
     return (
         several.where("n > 1")
         .drop("n")
         .groupBy("conv_id")
-        .applyInPandas(chain, "conv_id long, part int, block int, entry int, leave int, last boolean")
+        .applyInPandas(
+            chain,
+            "conv_id long, part int, block int, entry int, leave int, before long, last boolean",
+        )
     )
 
 
 def format_chats(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """One row a turn: conv_id, position (its place in the conversation's part of the order: part,
-    block, place), turn, role, new_role, action (turn, merge, insert), inserted, rendered."""
+    """One row a turn: conv_id, position (running number in the conversation, from 0: in this order its
+    pieces are its text), part, block, place (where it was handled, in the same order), turn, role, new_role, action (turn, merge, insert), inserted, rendered."""
     blocks = stage(packed(turns, block_turns), "turns")
     known = ends(blocks)
     joined = blocks.join(
@@ -242,10 +247,11 @@ def format_chats(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
         & (blocks["block"] == known["block"]),
         "left",
     ).select(
-        blocks["conv_id"], blocks["part"], blocks["block"], "turns", "entry", "leave", "last"
+        blocks["conv_id"], blocks["part"], blocks["block"], "turns", "entry", "leave", "before", "last"
     )
     fields = (
         ("conv_id", pa.int64()),
+        ("position", pa.int64()),
         ("part", pa.int32()),
         ("block", pa.int32()),
         ("place", pa.int32()),
@@ -272,8 +278,8 @@ def format_chats(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
                         piece = rendered(turn["text"] or "", state, role, action, empty, last)
                         out.append(
                             (
-                                row["conv_id"], row["part"], row["block"], i, turn["turn"],
-                                turn["role"], ROLES[role - 1], action,
+                                row["conv_id"], (row["before"] or 0) + i, row["part"], row["block"],
+                                i, turn["turn"], turn["role"], ROLES[role - 1], action,
                                 ROLES[empty - 1] if empty else None, piece,
                             )
                         )
@@ -286,11 +292,11 @@ def format_chats(turns: DataFrame, block_turns: int = BLOCK_TURNS) -> DataFrame:
 
     return joined.mapInArrow(
         run,
-        "conv_id long, part int, block int, place int, turn long, role string, new_role string,"
-        " action string, inserted string, rendered string",
+        "conv_id long, position long, part int, block int, place int, turn long, role string,"
+        " new_role string, action string, inserted string, rendered string",
     )
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """op9: every turn of every conversation, repaired and rendered."""
+    """op9: every turn of every conversation, repaired and rendered, with its place in the text."""
     return format_chats(table(spark, folder, "conversations")).drop("part", "block", "place")

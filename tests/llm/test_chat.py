@@ -86,3 +86,23 @@ def test_legal_conversations_stay_and_edges(spark):
     odd = [(None, None, None, None), (None, None, None, None), (2, 0, "assistant", None)]
     assert C.format_chats(spark.createDataFrame(odd, SCHEMA)).count() == 3
     assert C.format_chats(df.limit(0)).count() == 0
+
+
+def test_query_gives_the_order_of_pieces(spark, tmp_path):
+    turns = [(1, t, r, x) for t, r, x in ((None, "user", "b"), (None, "user", "a"), (3, "assistant", "c"),
+                                          (3, "assistant", "d"), (1, "system", "e"), (2, "user", "f"))]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    rows = C.query(spark, str(tmp_path)).collect()
+    assert sorted(r.position for r in rows) == list(range(6))
+    text = "".join(r.rendered for r in sorted(rows, key=lambda r: r.position))
+    places = [text.index(x) for x in ("\ne", "\nf", "\nc", "\nd", "\na", "\nb")]
+    assert places == sorted(places)
+
+
+def test_positions_run_over_blocks(spark):
+    rows = [(c, None, "user", f"{t:02}") for c in (1, None) for t in range(20)]
+    got = C.format_chats(spark.createDataFrame(rows, SCHEMA).repartition(5), 3).collect()
+    for conv in (1, None):
+        own = sorted((r for r in got if r.conv_id == conv), key=lambda r: (r.part, r.block, r.place))
+        assert [r.position for r in own] == list(range(20))
