@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, fingerprints, jaccard, licenses, pieces, quality, repeats, secrets, toxicity
+from . import (
+    chat,
+    decontaminate,
+    fingerprints,
+    jaccard,
+    licenses,
+    lines,
+    pieces,
+    quality,
+    repeats,
+    secrets,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.query,
@@ -19,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": licenses.query,
     "op9_chat": chat.query,
     "op10_jaccard_join": jaccard.query,
+    "op11_line_dedup": lines.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -27,4 +40,5 @@ ORACLE: dict[str, str] = {
     "op6_decontamination": decontaminate.ORACLE,
     "op8_licenses": licenses.ORACLE,
     "op10_jaccard_join": jaccard.ORACLE,
+    "op11_line_dedup": lines.ORACLE,
 }

@@ -24,6 +24,11 @@ EDGES = [(None, None), (1, None), (2, ""), (3, " \n\t"), (4, "word"), (4, "word"
          (5, "long " * 60_000), (6, "ß€😀 \x00 x")]
 
 
+@pytest.fixture
+def edge_rows():
+    return list(EDGES)
+
+
 @pytest.fixture
 def edges(documents):
     """Nulls, empty, white and very long texts, repeated rows, odd characters."""
