@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     chat,
     decontaminate,
+    fim,
     fingerprints,
     jaccard,
     licenses,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": chat.query,
     "op10_jaccard_join": jaccard.query,
     "op11_line_dedup": lines.query,
+    "op12_fill_in_middle": fim.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -41,4 +43,5 @@ ORACLE: dict[str, str] = {
     "op8_licenses": licenses.ORACLE,
     "op10_jaccard_join": jaccard.ORACLE,
     "op11_line_dedup": lines.ORACLE,
+    "op12_fill_in_middle": fim.ORACLE,
 }
