@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     chat,
     decontaminate,
     fim,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": jaccard.query,
     "op11_line_dedup": lines.query,
     "op12_fill_in_middle": fim.query,
+    "op13_tokenizer_alignment": alignment.query,
 }
 
 ORACLE: dict[str, str] = {
