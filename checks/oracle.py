@@ -482,7 +482,13 @@ SELECT doc_id, d.lang FROM documents LEFT JOIN detected d USING (doc_id)"""),
     "language_count_file": _with(GRAMS, body="""
 SELECT '0lang:' || lang || chr(9) || count(*) AS value FROM detected GROUP BY lang"""),
     "sequence_file_scan": _with(CRAWL, body="""
-SELECT url, status, title, keywords FROM crawl WHERE doc = 'ok' AND page_id % 3 <> 2"""),
+SELECT url, status, title, keywords FROM crawl WHERE doc = 'ok'"""),
+    "segment_files": _with(CRAWL, body="""
+SELECT CASE page_id % 2 WHEN 1 THEN '7' ELSE '8' END AS segment, count(*) AS pages,
+  false AS unreadable FROM crawl GROUP BY 1
+UNION ALL SELECT 'broken', 0, true"""),
+    "segment_pages": _with(CRAWL, body="""
+SELECT url, count(*) AS n, count(*) FILTER (doc = 'blank') AS blank FROM crawl GROUP BY url"""),
     "training_terms_bigrams": _with(CORPUS, f"""
 hanzi AS (SELECT url, title || ' ' || chr((26376 + doc % 7)::INT) || chr(26085) || chr((26412 + doc % 5)::INT)
     || 'word' AS title, keywords, categories

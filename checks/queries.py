@@ -507,15 +507,26 @@ def harvest_file_rejects(spark, sf):
     return sources.read_harvest_rejects(spark, path)
 
 
-@query
-def sequence_file_scan(spark, sf):
-    """Page metadata through key/value SequenceFiles: two listed segments, a third is not read."""
+def _segments(spark, sf) -> str:
+    """A list of segments 7 and 8 and their files; all pages are in them. Segment 9 is not listed."""
     base = work_path(spark, "segments")
     pages = stage(VW.crawl(spark, sf), "crawl")
-    for part, segment in enumerate(("7", "8", "unlisted")):
-        rows = pages.where(F.col("page_id") % 3 == part).select("url", "metadata")
-        rows.rdd.map(tuple).saveAsSequenceFile(f"{base}/segment/{segment}/metadata")
+    unlisted = pages.where(F.col("page_id") % 5 == 0)
+    for rows, segment in (
+        (pages.where(F.col("page_id") % 2 == 1), "7"),
+        (pages.where(F.col("page_id") % 2 == 0), "8"),
+        (unlisted, "9"),
+    ):
+        pairs = rows.select("url", "metadata").rdd.map(tuple)
+        pairs.saveAsSequenceFile(f"{base}/segment/{segment}/metadata")
     sinks.write_lines(spark.createDataFrame([("7",), ("8",)], "value STRING"), f"{base}/list")
+    return base
+
+
+@query
+def sequence_file_scan(spark, sf):
+    """Page metadata through key/value SequenceFiles, each read in several byte ranges."""
+    base = _segments(spark, sf)
     paths = sources.segment_paths(spark, f"{base}/list", base + "/segment/{segment}/metadata*")
     read = sources.read_pages(spark, paths, "sequence", "url", "metadata")
     parsed = read.withColumn("_m", F.explode(F.array(M.parse_metadata(F.col("metadata")))))
@@ -526,6 +537,34 @@ def sequence_file_scan(spark, sf):
     )
 
 
+def _damaged(spark, sf) -> sources.Segments:
+    """The listed segments and a segment of pages whose only file breaks off."""
+    base = _segments(spark, sf)
+    whole = VW.crawl(spark, sf).select("url", "metadata").coalesce(1)
+    whole.rdd.map(tuple).saveAsSequenceFile(f"{base}/whole")
+    VW.broken_copy(spark, f"{base}/whole", f"{base}/segment/broken/metadata-0")
+    paths = [f"{base}/segment/{s}/metadata*" for s in ("7", "8", "broken")]
+    return sources.read_segments(spark, paths, "sequence", "url", "metadata", 0.5)
+
+
+@query
+def segment_pages(spark, sf):
+    """The pages of all segments but the unreadable one."""
+    blank = F.count(F.when(X.is_blank(F.col("metadata")), 1)).alias("blank")
+    return _damaged(spark, sf).pages.groupBy("url").agg(F.count(F.lit(1)).alias("n"), blank)
+
+
+@query
+def segment_files(spark, sf):
+    """What the listed segments gave: pages, and whether they are set aside."""
+    segment = F.regexp_extract("file", "/segment/([^/]+)/", 1).alias("segment")
+    rows = F.sum(F.when(F.col("error").isNull(), F.col("rows")))
+    return _damaged(spark, sf).files.groupBy(segment).agg(
+        F.coalesce(rows, F.lit(0)).alias("pages"),
+        F.max(F.col("error").isNotNull()).alias("unreadable"),
+    )
+
+
 @query
 def stop_list_file(spark, sf):
     """Bags with a stop list read from a file with a byte-order mark and other line ends."""

@@ -9,6 +9,7 @@ from gleaner.functions.urls import url_host
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
 from gleaner.operators.words import StopWords
+from gleaner.sources import sequence
 
 SUFFIX_RULES = (
     "com", "net", "org", "example.com", "example.net", "example.org", "uk", "*.uk", "!city.uk",
@@ -114,6 +115,25 @@ def crawl(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def broken_copy(spark: SparkSession, folder: str, path: str) -> None:
+    """The first two thirds of a folder's only data file, copied by a task."""
+
+    def copied(batches):
+        for batch in batches:
+            (source, size), = sequence.listed_files(folder)
+            files, local = sequence.filesystem(source)
+            to, target = sequence.filesystem(path)
+            to.create_dir(target.rpartition("/")[0], recursive=True)
+            with files.open_input_stream(local) as file, to.open_output_stream(target) as out:
+                left = size * 2 // 3
+                while left and (data := file.read(min(left, 1 << 20))):
+                    out.write(data)
+                    left -= len(data)
+            yield batch
+
+    spark.range(1).mapInArrow(copied, "id long").collect()
+
+
 def hosts(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct hosts of the pages without a leading www label, and a number for each."""
     host = F.regexp_replace(url_host(F.col("url")), r"^www[a-z0-9_]*\.", "")

@@ -23,9 +23,9 @@ TOKENIZERS = {"words": text.training_tokens, "han-bigrams": text.han_bigrams}
 
 def _pages(spark: SparkSession, args, value: str):
     paths = sources.segment_paths(spark, args.segments, args.template)
-    pages = sources.read_pages(spark, paths, args.format, args.key, value, args.partitions)
-    # SequenceFile rows pass through Python: once, whatever the number of passes over them.
-    return stage(pages, "pages") if args.format == "sequence" else pages
+    read = sources.read_segments(spark, paths, args.format, args.key, value, args.tolerance)
+    read.quarantined().write.parquet(f"{args.out}/unreadable")
+    return read.pages.repartition(args.partitions) if args.partitions else read.pages
 
 
 def _rules(spark: SparkSession, args) -> SuffixRules:
@@ -137,6 +137,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--format", default="sequence")
         sub.add_argument("--key", default="url")
         sub.add_argument("--partitions", type=int, help="spread an input of few splits")
+        sub.add_argument(
+            "--tolerance", type=float, default=sources.TOLERANCE,
+            help="share of the files that may be unreadable; they are listed in OUT/unreadable",
+        )
         sub.add_argument("--value", help="value column of a columnar input")
         sub.add_argument("--suffix-rules", help="default: the list shipped with Spark")
         if name == "titles":

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import zipfile
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
+from ..operators.joins import Dictionary, lookup
+from ..workspace import stage
+from .sequence import SequenceFileSource, listed_files
 
 TEXT_CLASS = "org.apache.hadoop.io.Text"
 SUFFIX_LIST_NAME = "public-suffix-list.txt"
 SUFFIX_LIST_OWNER = "org.apache.http.conn.util.PublicSuffixMatcherLoader"
+#: Share of the listed files that may be unreadable.
+TOLERANCE = 0.5
 HARVEST_FIELDS = ("url", "title", "keywords", "categories")
 
 
@@ -37,16 +44,89 @@ def read_pages(
     return pages.repartition(partitions) if partitions else pages
 
 
+def _sequence_rows(spark: SparkSession, paths: list[str], **options: str) -> DataFrame:
+    spark.dataSource.register(SequenceFileSource)
+    reader = spark.read.format("sequencefile").option("paths", json.dumps(paths))
+    return reader.options(**options).load()
+
+
 def read_sequence_files(spark: SparkSession, paths: list[str], value: str) -> DataFrame:
-    """(url, <value>) from key/value text SequenceFiles.
+    """(url, <value>) from key/value text SequenceFiles, read in byte ranges as Arrow batches."""
+    rows = _sequence_rows(spark, paths)
+    return rows.select(F.col("key").alias("url"), F.col("value").alias(value))
 
-    Spark has no DataFrame reader that keeps the keys of these files, so rows pass through
-    Python once; land them as Parquet before running several jobs.
-    """
+
+def read_sequence_rdd(spark: SparkSession, paths: list[str], value: str) -> DataFrame:
+    """The same through Hadoop's own reader, for stores that only that reaches; a row at a time."""
     pairs = spark.sparkContext.sequenceFile(",".join(paths), TEXT_CLASS, TEXT_CLASS)
     return spark.createDataFrame(pairs, f"url STRING, `{value}` STRING", verifySchema=False)
 
 
+class TooManyUnreadable(RuntimeError):
+    """More of the listed files than tolerated cannot be read."""
+
+
+@dataclass(frozen=True)
+class Segments:
+    """pages (url, <value>) of the readable files; files (file, rows, error), one row a listed file."""
+
+    pages: DataFrame
+    files: DataFrame
+
+    def quarantined(self) -> DataFrame:
+        return self.files.where(F.col("error").isNotNull()).select("file", "error")
+
+
+def read_segments(
+    spark: SparkSession, paths: list[str], fmt: str, key: str, value: str, tolerance: float
+) -> Segments:
+    """All segments as one table, without the files that cannot be read.
+
+    Every listed file is accounted for: its rows, and why it was set aside. A file is taken whole or
+    not at all. If more than `tolerance` of the files are unreadable, TooManyUnreadable is raised.
+
+    SequenceFiles tell their errors and are landed, as they are needed more than once. Of columnar
+    files those are unreadable from which no row arrives (an empty one counts as such); their count
+    needs no column, only the files' footers.
+    """
+    if fmt == "sequence":
+        rows = stage(_sequence_rows(spark, paths, errors="report"), "pages")
+        names = [F.col("key").alias("url"), F.col("value").alias(value)]
+        good = rows.where(F.col("error").isNull())
+        arrived = rows.groupBy("file").agg(
+            F.count("key").alias("rows"), F.min("error").alias("error")
+        )
+        files = stage(_sequence_files(spark, paths).join(arrived, "file", "left"), "files")
+    else:
+        reader = spark.read.format(fmt).schema(f"`{key}` STRING, `{value}` STRING")
+        rows = reader.option("ignoreCorruptFiles", "true").load(paths)
+        names = [F.col(key).alias("url"), F.col(value)]
+        good = rows.withColumn("file", F.col("_metadata.file_path"))
+        arrived = good.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+        error = F.when(F.col("rows").isNull(), F.lit("no row could be read")).alias("error")
+        listed = _listed(spark, paths).join(arrived, "file", "left")
+        files = stage(listed.select("file", "rows", error), "files")
+    files = files.fillna(0, ["rows"])
+    bad, total = files.agg(F.count("error"), F.count(F.lit(1))).first()
+    if bad > tolerance * total:
+        raise TooManyUnreadable(f"{bad} of {total} files cannot be read")
+    if bad:
+        aside = Dictionary(files.where(F.col("error").isNotNull()).select("file"))
+        good = lookup(good, aside.df, ["file"], "left_anti", small=aside.small)
+    return Segments(good.select(*names), files)
+
+
+def _listed(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file) of all files at the paths; their contents are not read."""
+    return spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
+
+
+def _sequence_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file) as the SequenceFile source names them, files without records included."""
+    listed = [(path,) for pattern in paths for path, _ in listed_files(pattern)]
+    return spark.createDataFrame(listed, "file STRING").distinct()
+
+
 def land_pages(pages: DataFrame, path: str) -> DataFrame:
     """Write pages as Parquet and read them back."""
     pages.write.parquet(path)
