@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from .views import STOP_WORDS, SUFFIX_RULES, TRAINING_STOP_WORDS
+from .views import (
+    SPELT_LABELS,
+    SPELT_SUFFIXES,
+    STOP_WORDS,
+    SUFFIX_RULES,
+    TRAINING_STOP_WORDS,
+)
 
 VOCABULARY = 1500
 SIZES = (1500, 3000, 5000, 7500, 10000)
@@ -127,6 +133,19 @@ resolved AS (
     FROM split_urls u LEFT JOIN domains d ON d.bare = u.bare) r)"""
 
 
+def _pairs(pairs) -> str:
+    rows = (f"({k}, {i}, '{name}')" for k, pair in enumerate(pairs) for i, name in enumerate(pair))
+    return ", ".join(rows)
+
+
+SPELT = f"""
+labels_spelt(kind, spelling, label) AS (VALUES {_pairs(SPELT_LABELS)}),
+suffixes_spelt(kind, spelling, suffix) AS (VALUES {_pairs(SPELT_SUFFIXES)}),
+spelt AS (
+  SELECT page_id, label || '.' || suffix AS domain, l.kind AS label_kind, s.kind AS suffix_kind
+  FROM pages JOIN labels_spelt l ON l.kind = page_id % 3 AND l.spelling = page_id // 3 % 2
+  JOIN suffixes_spelt s ON s.kind = page_id // 6 % 2 AND s.spelling = page_id // 12 % 2)"""
+
 _PAGE_COLUMNS = "page_id, crawl, status, kind, title, keywords, doc"
 URLS = [CRAWL, _hosts("crawl", _PAGE_COLUMNS), DOMAINS, _resolved(_PAGE_COLUMNS)]
 
@@ -483,6 +502,9 @@ SELECT doc_id, d.lang FROM documents LEFT JOIN detected d USING (doc_id)"""),
 SELECT '0lang:' || lang || chr(9) || count(*) AS value FROM detected GROUP BY lang"""),
     "sequence_file_scan": _with(CRAWL, body="""
 SELECT url, status, title, keywords FROM crawl WHERE doc = 'ok'"""),
+    "spelt_domains": _with(SPELT, body="SELECT page_id, domain FROM spelt"),
+    "spelt_whitelisted": _with(SPELT, body="""
+SELECT page_id, domain FROM spelt WHERE label_kind = suffix_kind"""),
     "segment_files": _with(CRAWL, body="""
 SELECT CASE page_id % 2 WHEN 1 THEN '7' ELSE '8' END AS segment, count(*) AS pages,
   false AS unreadable FROM crawl GROUP BY 1

@@ -69,6 +69,25 @@ def canonical_host(spark, sf):
     return D.with_canonical_host(resolved).select("page_id", "crawl", "canonical_host")
 
 
+def _spelt(spark, sf) -> tuple[DataFrame, D.SuffixRules]:
+    rules = spark.createDataFrame([(r,) for r in VW.SPELT_RULES], "rule STRING")
+    return VW.spelt_pages(spark, sf), D.SuffixRules(rules)
+
+
+@query
+def spelt_domains(spark, sf):
+    """Domains of hosts with letters beyond ASCII, spelt either way, by rules spelt one way."""
+    pages, rules = _spelt(spark, sf)
+    return D.with_url_outcome(pages, rules).select("page_id", "domain")
+
+
+@query
+def spelt_whitelisted(spark, sf):
+    """Pages of whitelisted domains, whichever way page and whitelist spell them."""
+    pages, rules = _spelt(spark, sf)
+    return TX.whitelisted(pages, VW.spelt_whitelist(spark), rules).select("page_id", "domain")
+
+
 # Title harvest --------------------------------------------------------------------------------
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.urls import url_host
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
+from gleaner.operators.spellings import with_spellings
 from gleaner.operators.words import StopWords
 from gleaner.sources import sequence
 
@@ -115,6 +116,32 @@ def crawl(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Labels and suffixes in both spellings; rules and whitelist have one or mix them.
+SPELT_LABELS = (("bücher", "xn--bcher-kva"), ("пример", "xn--e1afmkfd"), ("例え", "xn--r8jz45g"))
+SPELT_SUFFIXES = (("рф", "xn--p1ai"), ("公司.cn", "xn--55qx5d.cn"))
+SPELT_RULES = ("рф", "cn", "xn--55qx5d.cn")
+SPELT_WHITELIST = ("bücher.xn--p1ai", "xn--e1afmkfd.xn--55qx5d.cn")
+
+
+def spelt_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, url): every page under a host in one of the spellings of its label and suffix."""
+    pid = F.col("page_id")
+
+    def pick(pairs, kind, spelling):
+        flat = F.array(*[F.lit(name) for pair in pairs for name in pair])
+        return F.get(flat, (2 * (kind % len(pairs)) + spelling % 2).cast("int"))
+
+    label = pick(SPELT_LABELS, pid, F.floor(pid / 3))
+    suffix = pick(SPELT_SUFFIXES, F.floor(pid / 6), F.floor(pid / 12))
+    url = F.concat(F.lit("http://www."), label, F.lit("."), suffix, F.lit("/"), pid)
+    return table(spark, sf, "pages", "page_id").select("page_id", url.alias("url"))
+
+
+def spelt_whitelist(spark: SparkSession) -> Dictionary:
+    names = spark.createDataFrame([(name,) for name in SPELT_WHITELIST], "domain STRING")
+    return Dictionary(with_spellings(names, "domain"))
+
+
 def broken_copy(spark: SparkSession, folder: str, path: str) -> None:
     """The first two thirds of a folder's only data file, copied by a task."""
 

@@ -12,6 +12,7 @@ from gleaner.functions import text
 from gleaner.operators import bayes, language, split, vectors
 from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
+from gleaner.operators.spellings import with_spellings
 from gleaner.operators.words import StopWords
 from gleaner.plans import index, texts, titles, training
 from gleaner.session import build_session
@@ -40,7 +41,7 @@ def _stop_words(spark: SparkSession, args) -> StopWords:
 
 def run_titles(spark: SparkSession, args) -> None:
     path = sources.category_index_path(args.index_dir, args.region, args.variation)
-    categories = Dictionary(sources.read_category_index(spark, path))
+    categories = Dictionary(with_spellings(sources.read_category_index(spark, path), "host"))
     pages = _pages(spark, args, args.value or "metadata").toDF("url", "metadata")
     titles.run_title_harvest(spark, pages, categories, _rules(spark, args), args.out)
 
@@ -48,7 +49,7 @@ def run_titles(spark: SparkSession, args) -> None:
 def run_texts(spark: SparkSession, args) -> None:
     pages = _pages(spark, args, args.value or "text").toDF("url", "text")
     profiles = language.profile_table(sources.read_profiles(spark, args.profiles))
-    white = Dictionary(sources.read_whitelist(spark, args.whitelist))
+    white = Dictionary(with_spellings(sources.read_whitelist(spark, args.whitelist), "domain"))
     texts.run_text_harvest(
         spark, pages, profiles, white, _rules(spark, args), _stop_words(spark, args), args.out,
         args.language,

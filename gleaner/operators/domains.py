@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from .joins import Dictionary, lookup
+from .spellings import other_spellings
 
 URL_OK = "OK"
 
@@ -14,7 +15,8 @@ URL_OK = "OK"
 class SuffixRules:
     """Public-suffix rules keyed by the suffix text they are found under.
 
-    `*.x` is stored under `x` with the flag `below`, `!x` under `x` with the flag `except`.
+    `*.x` is stored under `x` with the flag `below`, `!x` under `x` with the flag `except`. Rules are
+    stored under all spellings of their suffix, with letters and with xn-- labels.
     """
 
     def __init__(self, rules: DataFrame):
@@ -24,6 +26,7 @@ class SuffixRules:
             rule.startswith("*.").alias("is_below"),
             rule.startswith("!").alias("is_except"),
         )
+        keyed = keyed.unionByName(other_spellings(keyed, "suffix"))
         table = keyed.groupBy("suffix").agg(
             F.max(~F.col("is_below") & ~F.col("is_except")).alias("plain"),
             F.max("is_below").alias("below"),
