@@ -28,8 +28,9 @@ def label_spellings(label: str) -> tuple[str, str]:
         except (UnicodeError, ValueError, OverflowError):
             return label, label
         back = PREFIX + letters.encode("punycode", "replace").decode()
-        plain = letters == unicodedata.normalize("NFKC", letters).lower() and letters.isprintable()
-        return (label, letters) if plain and back == label else (label, label)
+        same = letters == unicodedata.normalize("NFKC", letters).lower() and back == label
+        fine = same and letters.isprintable() and not letters.isascii()
+        return (label, letters) if fine else (label, label)
     if label.isascii() or label.startswith(PREFIX):
         return label, label
     letters = unicodedata.normalize("NFKC", label).lower()
