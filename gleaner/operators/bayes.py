@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import SLOTS, ScoreTable, class_index, in_blocks, score
+from .scoring import ScoreTable, block_width, class_index, in_blocks, score, slots
 from .vectors import with_sizes
 
 FOLDS = 10
@@ -35,6 +35,7 @@ class ClassSums:
     counts: DataFrame
     totals: DataFrame
     classes: DataFrame
+    width: int
     sizes: list[tuple[int, int, int]]
     folds: int
 
@@ -59,7 +60,7 @@ def class_sums(
         "totals",
     )
     classes = stage(class_index(counts, "klass"), "classes")
-    return ClassSums(weights, counts, totals, classes, sizes, folds)
+    return ClassSums(weights, counts, totals, classes, block_width(classes), sizes, folds)
 
 
 def _each_fold(folds: int):
@@ -129,13 +130,13 @@ def _log_likelihoods(sums: ClassSums, left_out: bool) -> tuple[DataFrame, list[s
         F.log((F.col("weight") + 1.0) / F.col("below")).alias("score"),
     )
     absent = total.select(*groups, "class_idx", F.log(1.0 / F.col("below")).alias("score"))
-    return in_blocks(scored, [*groups, "term", "idf"], absent, groups), groups
+    return in_blocks(scored, [*groups, "term", "idf"], absent, groups, sums.width), groups
 
 
 def likelihoods(sums: ClassSums) -> DataFrame:
     """(size, token, log_likelihood ARRAY<DOUBLE>) in class_idx order."""
     table, _ = _log_likelihoods(sums, left_out=False)
-    block = F.struct("block", F.array(*SLOTS).alias("s"))
+    block = F.struct("block", F.array(*slots(sums.width)).alias("s"))
     joined = F.flatten(F.transform(F.sort_array(F.collect_list(block)), lambda b: b["s"]))
     return table.groupBy("size", F.col("term").alias("token")).agg(
         F.slice(joined, 1, max(1, sums.classes.count())).alias("log_likelihood")
@@ -145,11 +146,11 @@ def likelihoods(sums: ClassSums) -> DataFrame:
 def _model(sums: ClassSums, left_out: bool) -> ScoreTable:
     """Log likelihoods times idf, so that scoring multiplies ln(1 + tf) only."""
     table, groups = _log_likelihoods(sums, left_out)
-    table = table.select(*groups, "term", "block", *[(F.col(s) * F.col("idf")).alias(s) for s in SLOTS])
+    table = table.select(*groups, "term", "block", *[(F.col(s) * F.col("idf")).alias(s) for s in slots(sums.width)])
     sizes = F.explode(F.array(*[F.lit(s) for s, _, _ in sums.sizes])).alias("size")
     classes = stage(_log_priors(sums, left_out).select("*", sizes), "priors")
     on = ["fold", "term"] if left_out else ["term"]
-    return ScoreTable(Dictionary(table), on, classes, ["size"])
+    return ScoreTable(Dictionary(table), on, classes, sums.width, ["size"])
 
 
 def _scored(instances: DataFrame, sums: ClassSums, keys: list[str], left_out: bool) -> DataFrame:

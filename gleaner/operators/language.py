@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import ngrams as G
 from ..functions.text import run_lengths
 from ..workspace import stage
-from .joins import Dictionary
-from .scoring import ScoreTable, class_index, in_blocks, score
+from .joins import Dictionary, lookup
+from .scoring import ScoreTable, block_width, class_index, in_blocks, score, slots
 
 # Fixed value: added to every n-gram frequency before the logarithm.
 SMOOTHING = 0.5 / 10_000
+#: Share of the texts whose frequent words are scored whole, and how many rows these may take.
+WORD_SAMPLE = 0.05
+WORDS = 200_000
 
 
 def build_profiles(texts: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -61,7 +64,36 @@ def profile_table(profiles: DataFrame) -> ScoreTable:
         .agg(F.log(F.sum(F.col("cnt") / F.col("all")) + F.lit(SMOOTHING)).alias("score"))
     )
     absent = classes.select("class_idx", F.log(F.lit(SMOOTHING)).alias("score"))
-    return ScoreTable(Dictionary(in_blocks(logs, ["term"], absent, [])), ["term"], classes)
+    width = block_width(classes)
+    rows = Dictionary(in_blocks(logs, ["term"], absent, [], width))
+    return ScoreTable(rows, ["term"], classes, width)
+
+
+def _ngram_rows(words: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, term) of the n-grams of (columns, token)."""
+    windows = words.select(*columns, F.explode(G.word_windows(F.col("token"))).alias("_w"))
+    grams = windows.select(*columns, F.explode(G.window_ngrams(F.col("_w"))).alias("term"))
+    return grams.where(F.col("term").isNotNull())
+
+
+def word_scores(docs: DataFrame, text: str, table: ScoreTable) -> Dictionary | None:
+    """(token, block, s0 …): the sums of whole words that are frequent in a share of the texts.
+
+    Which words are in it changes how much work detection is, not what it finds. It holds at most
+    WORDS rows; null if the n-grams themselves cannot be broadcast.
+    """
+    if not table.table.small:
+        return None
+    blocks = -(-table.classes.count() // table.width)
+    some = docs.select(text).sample(WORD_SAMPLE, seed=0)
+    seen = some.select(F.inline(run_lengths(G.language_words(F.col(text)))))
+    common = (
+        seen.groupBy("token").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "token").limit(max(1, WORDS // blocks)).select("token")
+    )
+    sums = [F.sum(s).alias(s) for s in slots(table.width)]
+    grams = lookup(_ngram_rows(common, ["token"]), table.table.df, ["term"], small=True)
+    return Dictionary(grams.groupBy("token", "block").agg(*sums))
 
 
 def detect_language(
@@ -74,19 +106,30 @@ def detect_language(
     """(key, copies, lang) per distinct key; lang is null without any known n-gram.
 
     Rows with the same key must hold the same text. copies (key, copies) counts the rows of a key;
-    it is counted here when not given.
+    it is counted here when not given. A frequent word is looked up whole, with the sum of its
+    n-grams; only the others are taken apart.
     """
     if copies is None:
         copies = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
     words = docs.select(*key, F.inline(run_lengths(G.language_words(F.col(text)))))
-    weighted = (
-        words.select(
-            *key, F.col("n").alias("weight"), F.explode(G.word_windows(F.col("token"))).alias("_w")
-        )
-        .select(*key, "weight", F.explode(G.window_ngrams(F.col("_w"))).alias("term"))
-        .where(F.col("term").isNotNull())
+    words = words.withColumnRenamed("n", "weight")
+    whole = word_scores(docs, text, table)
+    if whole is None or not whole.small:
+        weighted = _ngram_rows(words, [*key, "weight"])
+        return score(weighted, key, copies, table).withColumnRenamed("best", "lang")
+    names = slots(table.width)
+    known = words.join(F.broadcast(whole.df), "token", "left")
+    columns = [*key, "weight", "block", *names]
+    windows = F.when(F.col("block").isNull(), G.word_windows(F.col("token")))
+    cut = known.select(*columns, F.explode_outer(windows).alias("_w"))
+    grams = F.when(F.col("_w").isNotNull(), G.window_ngrams(F.col("_w")))
+    terms = cut.select(*columns, F.explode_outer(grams).alias("term"))
+    single = table.table.df.withColumnsRenamed({c: f"_{c}" for c in ("block", *names)})
+    both = terms.join(F.broadcast(single), "term", "left").select(
+        *key, "weight", *[F.coalesce(c, f"_{c}").alias(c) for c in ("block", *names)]
     )
-    return score(weighted, key, copies, table).withColumnRenamed("best", "lang")
+    found = score(both.where(F.col("block").isNotNull()), key, copies, table, met=True)
+    return found.withColumnRenamed("best", "lang")
 
 
 def language_counts(detected: DataFrame) -> DataFrame:

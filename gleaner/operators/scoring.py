@@ -1,7 +1,8 @@
 """Summed class scores of weighted terms, shared by language detection and naive Bayes.
 
-Classes are rows, put into blocks of BLOCK slots: a term has one row per block, so a few classes cost
-one row a term and there is no limit to their number.
+Classes are rows, put into blocks of at most BLOCK slots, and of no more than there are classes: a
+term has one row per block, so a few classes cost one row a term and as many sums as there are
+classes, and there is no limit to their number.
 """
 
 from __future__ import annotations
@@ -14,10 +15,18 @@ from pyspark.sql import functions as F
 from .joins import Dictionary, lookup
 
 BLOCK = 16
-SLOTS = [f"s{i}" for i in range(BLOCK)]
 SCORE_DIGITS = 6
 
 
+def slots(width: int) -> list[str]:
+    return [f"s{i}" for i in range(width)]
+
+
+def block_width(classes: DataFrame) -> int:
+    """Slots of a block for so many classes."""
+    return max(1, min(BLOCK, classes.count()))
+
+
 def class_index(names: DataFrame, column: str) -> DataFrame:
     """(class_idx, klass) of the distinct names in order; as many rows as there are classes."""
     distinct = names.select(F.col(column).alias("klass")).where("klass is not null").distinct()
@@ -27,23 +36,28 @@ def class_index(names: DataFrame, column: str) -> DataFrame:
 
 @dataclass
 class ScoreTable:
-    """table: (on, groups, block, s0 …), a row for each term, group and block. classes: (groups,
-    class_idx, klass, …) with what `score` adds to a class's sum. Groups are scored apart."""
+    """table: (on, groups, block, s0 …), a row for each term, group and block of `width` slots.
+    classes: (groups, class_idx, klass, …) with what `score` adds to a class's sum. Groups are scored
+    apart."""
 
     table: Dictionary
     on: list[str]
     classes: DataFrame
+    width: int
     groups: list[str] = field(default_factory=list)
 
 
-def in_blocks(scores: DataFrame, keys: list[str], absent: DataFrame, groups: list[str]) -> DataFrame:
+def in_blocks(
+    scores: DataFrame, keys: list[str], absent: DataFrame, groups: list[str], width: int
+) -> DataFrame:
     """(keys, block, s0 …) from rows (keys, class_idx, score); a class without a row for a key has
     the score that `absent` (groups, class_idx, score) names. groups are among the keys."""
-    block = (F.col("class_idx") / BLOCK).cast("int")
-    slot = F.col("class_idx") % BLOCK
-    filled = [F.max(F.when(slot == i, F.col("score"))).alias(s) for i, s in enumerate(SLOTS)]
+    block = (F.col("class_idx") / width).cast("int")
+    slot = F.col("class_idx") % width
+    names = slots(width)
+    filled = [F.max(F.when(slot == i, F.col("score"))).alias(s) for i, s in enumerate(names)]
     rest = absent.groupBy(*groups, block.alias("block")).agg(*filled)
-    rest = rest.withColumnsRenamed({s: f"_{s}" for s in SLOTS})
+    rest = rest.withColumnsRenamed({s: f"_{s}" for s in names})
     blocks = rest.select(*groups, "block")
     every = scores.select(*keys).distinct()
     # Each key once per block of its group: as many rows as the result has.
@@ -51,11 +65,11 @@ def in_blocks(scores: DataFrame, keys: list[str], absent: DataFrame, groups: lis
         F.broadcast(blocks.withColumn("_one", F.lit(1))), [*groups, "_one"]
     )
     dense = every.select(*keys, F.lit(None).cast("double").alias("score"),
-                         (F.col("block") * BLOCK).cast("int").alias("class_idx"))
+                         (F.col("block") * width).cast("int").alias("class_idx"))
     both = dense.unionByName(scores.select(*keys, "score", "class_idx"))
     wide = both.groupBy(*keys, block.alias("block")).agg(*filled)
     return wide.join(F.broadcast(rest), [*groups, "block"]).select(
-        *keys, "block", *[F.coalesce(s, f"_{s}").alias(s) for s in SLOTS]
+        *keys, "block", *[F.coalesce(s, f"_{s}").alias(s) for s in names]
     )
 
 
@@ -66,8 +80,10 @@ def score(
     table: ScoreTable,
     prior: Column | None = None,
     per_prior: list[str] | None = None,
+    met: bool = False,
 ) -> DataFrame:
-    """(keys, groups, copies, best) from rows (keys, term, weight).
+    """(keys, groups, copies, best) from rows (keys, term, weight); with met, from rows that have
+    met their scores: (keys, weight, block, s0 …).
 
     copies (keys, copies) counts the documents of a key: exact copies share their keys, so their
     sums grow alike and are divided by that number. Terms missing from the table are ignored; best
@@ -75,24 +91,25 @@ def score(
     combine before the shuffle: what is shuffled are a document's class sums, never its terms. Among
     equal scores the first class wins. per_prior: columns of keys that choose a class's prior.
     """
-    groups, per_prior = table.groups, per_prior or []
+    groups, per_prior, names = table.groups, per_prior or [], slots(table.width)
+    if not met:
+        weighted = lookup(weighted, table.table.df, table.on, "inner", small=table.table.small)
     sums = (
-        lookup(weighted, table.table.df, table.on, "inner", small=table.table.small)
-        .groupBy(*keys, *groups, "block")
-        .agg(*[F.sum(F.col("weight") * F.col(s)).alias(s) for s in SLOTS])
+        weighted.groupBy(*keys, *groups, "block")
+        .agg(*[F.sum(F.col("weight") * F.col(s)).alias(s) for s in names])
     )
     if prior is not None:
         # Every document meets every block, whether or not one of its terms is known.
-        blocks = table.classes.select(*groups, (F.col("class_idx") / BLOCK).cast("int").alias("block"))
+        blocks = table.classes.select(*groups, (F.col("class_idx") / table.width).cast("int").alias("block"))
         every = copies.withColumn("_one", F.lit(1)).join(
             F.broadcast(blocks.distinct().withColumn("_one", F.lit(1))), "_one"
         ).drop("_one")
         sums = every.join(sums, [*keys, *groups, "block"], "left")
     else:
         sums = sums.join(copies, keys)
-    slot = (F.col("class_idx") % BLOCK).cast("int")
+    slot = (F.col("class_idx") % table.width).cast("int")
     head = table.classes.select(
-        *groups, *per_prior, (F.col("class_idx") / BLOCK).cast("int").alias("block"),
+        *groups, *per_prior, (F.col("class_idx") / table.width).cast("int").alias("block"),
         F.struct(slot.alias("slot"), (F.lit(0.0) if prior is None else prior).alias("prior"),
                  "klass", "class_idx").alias("k"),
     ).groupBy(*groups, *per_prior, "block").agg(F.sort_array(F.collect_list("k")).alias("ks"))
@@ -101,7 +118,7 @@ def score(
         lambda k: F.struct(
             F.round(
                 k["prior"]
-                + F.coalesce(F.get(F.array(*SLOTS), k["slot"]), F.lit(0.0)) / F.col("copies"),
+                + F.coalesce(F.get(F.array(*names), k["slot"]), F.lit(0.0)) / F.col("copies"),
                 SCORE_DIGITS,
             ).alias("score"),
             (-k["class_idx"]).alias("first"),
