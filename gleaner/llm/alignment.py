@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, raw_texts, small_batches, stage, table
-from .pieces import MODEL_BYTES, decode_table, read_pieces
+from .pieces import MODEL, MODEL_BYTES, Spelling, decode_table, model_path, read_pieces
 
 #: Text of a block; its documents are at most those of an Arrow batch.
 BLOCK = 1 << 21
@@ -96,21 +96,6 @@ def read_byte_level(data: bytes) -> dict[bytes, int]:
     }
 
 
-class Spelling:
-    """The bytes of a vocabulary's ids, one behind the other."""
-
-    def __init__(self, spelt: list[bytes]) -> None:
-        self.sizes = np.array([len(s) for s in spelt], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.data = np.frombuffer(b"".join(spelt), np.uint8)
-
-    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
-        sizes = self.sizes[ids]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.data[np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(total)]
-
-
 @dataclass
 class TokenizerPair:
     """Both models; the encoders are built once in each process."""
@@ -692,13 +677,10 @@ def aligned_groups(docs: DataFrame, pair: TokenizerPair) -> DataFrame:
     return map_batches(source, work, "doc_id long, groups string")
 
 
-#: Where the models lie unless the session's TOKENIZERS setting names another folder.
-FOLDER, TOKENIZERS = "file:///opt/tokenizers", "spark.gleaner.tokenizers"
-MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+MODEL_A = "byte_bpe_50k.json"
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """op13: every document's tokens, groups and links under two tokenizers."""
-    models = spark.conf.get(TOKENIZERS, FOLDER)
-    pair = load_pair(spark, f"{models}/{MODEL_A}", f"{models}/{MODEL_B}")
+    pair = load_pair(spark, model_path(spark, MODEL_A), model_path(spark, MODEL))
     return align(table(spark, folder, "documents"), pair)[0]

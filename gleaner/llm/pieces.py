@@ -13,17 +13,24 @@ encoding, and there is exactly one, so the search gives the library's ids (a tes
 Whether two pieces may stand side by side is found by undoing their merges from the last to the
 first and looking for a better-ranked merge across the border (vectorised over all pairs at once).
 
-Characters without a piece become byte pieces. Decoding joins the pieces, bytes and spaces restored.
+A process remembers pairs it has judged (MET_PAIRS of them, by hash) and words it has encoded. Words
+of over LONG_WORD characters, unbroken runs, go through the same lattice one by one.
+
+Characters without a piece become byte pieces. Decoding gathers the bytes of all ids of a block out of
+the pieces' bytes at once, bytes and spaces restored. `recode` does both in one pass.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; U+2581 in a text
 decodes to a space, as in the library; ids outside the vocabulary raise an error; repeated rows
-encode alike; further columns are ignored. No shuffle. The model file (at most MODEL_BYTES) is read
-by Spark from a path the caller gives and broadcast.
+encode alike; a null doc_id stays null; texts of any length are encoded whole, in blocks of texts; an
+empty table gives an empty one; further columns are ignored. No shuffle. The model file (at most
+MODEL_BYTES; a merge model that leaves texts as they are, others are refused) is read by Spark from a
+path the caller gives and broadcast.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,8 +43,14 @@ from .common import blocks, map_batches, raw_texts, small_batches, table
 
 #: Bounds what is broadcast.
 MODEL_BYTES = 64 << 20
-#: Words whose ids a task remembers; the store is emptied when full.
+#: Words whose ids a process remembers; the store is emptied when full.
 KNOWN_WORDS = 1 << 20
+#: Pairs of tokens whose verdict a process remembers; a power of two.
+MET_PAIRS = 1 << 20
+#: Longer words are not batched.
+LONG_WORD = 512
+#: Texts encoded at once, in bytes.
+TEXT_BYTES = 1 << 20
 _SPACE = 0x2581
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MASK = (1 << 64) - 1
@@ -73,6 +86,11 @@ def read_pieces(data: bytes) -> list[tuple[str, float, int]]:
     """(text, score, type) of each piece of a model file; types: 1 normal, 2 unknown, 6 byte."""
     found = []
     for number, value in _fields(data):
+        if number == 2 and dict(_fields(value)).get(3, 1) != 2:
+            raise ValueError("only merge models are supported")
+        changes = dict(_fields(value)) if number == 3 else {}
+        if number == 3 and (changes.get(2) or changes.get(4, 1) or not changes.get(3, 1)):
+            raise ValueError("a model that changes texts before it encodes them is not supported")
         if number == 1:
             piece = dict(_fields(value))
             score = struct.unpack("<f", piece[2])[0] if 2 in piece else 0.0
@@ -123,6 +141,9 @@ class Vocabulary:
     char_tokens: dict[str, int]
     tried: dict[tuple[int, int], bool]
     encoder: Encoder | None = None  # of this process, kept from task to task
+    met_pairs: np.ndarray | None = None
+    met_verdicts: np.ndarray | None = None
+    by_text: dict[str, int] | None = None
 
     @classmethod
     def of(cls, pieces: list[tuple[str, float, int]]) -> Vocabulary:
@@ -179,7 +200,22 @@ class Vocabulary:
         )
 
     def admitted(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Whether merging the joined texts of two tokens gives back the two (vectorised)."""
+        """Whether merging the joined texts of two tokens gives back the two; remembered by hash."""
+        if self.met_pairs is None:
+            self.met_pairs = np.full(MET_PAIRS, -1, np.int64)
+            self.met_verdicts = np.zeros(MET_PAIRS, bool)
+        pairs = first * len(self.scores) + second
+        slots = (pairs.astype(np.uint64) * _BASE >> np.uint64(64 - MET_PAIRS.bit_length() + 1)).astype(np.int64)
+        good = self.met_verdicts[slots]
+        new = np.flatnonzero(self.met_pairs[slots] != pairs)
+        if len(new):
+            good[new] = self._judged(first[new], second[new])
+            chosen = new[np.unique(slots[new], return_index=True)[1]]  # one pair a slot
+            self.met_pairs[slots[chosen]] = pairs[chosen]
+            self.met_verdicts[slots[chosen]] = good[chosen]
+        return good
+
+    def _judged(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         keys, back = np.unique(first * len(self.scores) + second, return_inverse=True)
         a, b = np.divmod(keys, len(self.scores))
         good = np.ones(len(keys), bool)
@@ -217,6 +253,35 @@ class Vocabulary:
                 self.tried = {(a, b): self.tried[a, b]}
         return self.tried[a, b]
 
+    def one_by_one(self, chars: np.ndarray) -> np.ndarray:
+        """`viterbi` of one long word."""
+        if self.by_text is None:
+            self.by_text = {self.token_texts[t]: t for t in self.key_tokens.tolist()}
+        word = chars.astype("<u4").tobytes().decode("utf-32-le")
+        tokens, lengths, verdicts = [-1], [0], {}
+        for end in range(1, len(word) + 1):
+            for length in range(min(end, self.longest), 0, -1):
+                token = self.by_text.get(word[end - length : end])
+                if token is None:
+                    continue
+                before = tokens[end - length]
+                if end > length:
+                    if (before, token) not in verdicts:
+                        pair = np.array([before]), np.array([token])
+                        verdicts[before, token] = bool(self.admitted(*pair)[0])
+                    if not verdicts[before, token]:
+                        continue
+                break
+            else:
+                token, length = -1, 1
+            tokens.append(token)
+            lengths.append(length)
+        out, place = [], len(word)
+        while place:
+            out.append(tokens[place])
+            place -= lengths[place]
+        return np.array(out[::-1])
+
     def token_at(self, hashes: np.ndarray) -> np.ndarray:
         """Tokens by hash, -1 for none."""
         place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
@@ -329,6 +394,14 @@ class Encoder:
         new_ids, new_counts, order = [], [], []
         for size in np.unique(sizes):
             rows = np.flatnonzero(sizes == size)
+            if size > LONG_WORD:
+                found = [self.vocabulary.one_by_one(chars[begins[r] : begins[r] + size]) for r in rows]
+                counts = np.array([len(tokens) for tokens in found], np.int64)
+                ids = self._known(np.concatenate(found))
+                new_ids.append(ids[0])
+                new_counts.append(np.add.reduceat(ids[1], np.cumsum(counts) - counts))
+                order.append(rows)
+                continue
             words = chars[begins[rows][:, None] + np.arange(size)]
             tokens = self.vocabulary.viterbi(words) if size > 1 else self._single(words)
             ids, counts = self._spelt(tokens, words)
@@ -345,6 +418,20 @@ class Encoder:
         self.counts = np.concatenate((self.counts, counts))[by]
         self.ids = np.concatenate((self.ids, *new_ids))
 
+    def _known(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of tokens, and how many each has: a character that is no piece has its bytes."""
+        known = len(self.vocabulary.texts)
+        if (tokens < known).all():
+            return tokens.astype(np.int32), np.ones(len(tokens), np.int64)
+        spelt = [
+            [token]
+            if token < known
+            else self.vocabulary.bytes_of[list(self.vocabulary.token_texts[token].encode())].tolist()
+            for token in tokens.tolist()
+        ]
+        ids = np.array([i for own in spelt for i in own], np.int32)
+        return ids, np.array([len(own) for own in spelt], np.int64)
+
     def _single(self, words: np.ndarray) -> np.ndarray:
         tokens = self.vocabulary.token_at(_mixed_char(words[:, 0]))
         return np.where(tokens < 0, len(self.vocabulary.scores), tokens)[:, None]
@@ -385,10 +472,41 @@ def decode_table(pieces: list[tuple[str, float, int]]) -> list[bytes]:
     return out
 
 
-def decoded(ids: list[int], spelling: list[bytes]) -> str:
-    """The text of ids, less the space that encoding put in front."""
-    text = b"".join([spelling[i] for i in ids])
-    return text.removeprefix(b" ").decode("utf-8", "replace")
+class Spelling:
+    """The bytes of a vocabulary's ids, one behind the other."""
+
+    def __init__(self, spelt: list[bytes]) -> None:
+        self.sizes = np.array([len(s) for s in spelt], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(spelt), np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.data[np.repeat(self.starts[ids] - (ends - sizes), sizes) + np.arange(total)]
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The text of each list of ids, less the space that encoding put in front."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.sizes)):
+            raise ValueError("an id is not in the vocabulary")
+        data = self.bytes_of(ids)
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.sizes[ids])))
+        last = np.cumsum(counts)
+        bounds = np.concatenate((np.zeros(1, np.int64), ends[last]))
+        starts = bounds[:-1]
+        full = np.flatnonzero(bounds[1:] > starts)
+        leading = full[data[starts[full]] == 0x20]
+        gone = np.zeros(len(counts), np.int64)
+        gone[leading] = 1
+        data = np.delete(data, starts[leading])
+        bounds[1:] -= np.cumsum(gone)
+        buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
+        spelt = pa.Array.from_buffers(pa.large_binary(), len(counts), buffers)
+        try:
+            return spelt.cast(pa.large_string()).cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([t.decode("utf-8", "replace") for t in spelt.to_pylist()], pa.string())
 
 
 def load_model(spark: SparkSession, path: str) -> list[tuple[str, float, int]]:
@@ -399,38 +517,66 @@ def load_model(spark: SparkSession, path: str) -> list[tuple[str, float, int]]:
     return read_pieces(bytes(row["content"]))
 
 
-def encode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
-    """(doc_id, ids) of every whole text."""
-    model = docs.sparkSession.sparkContext.broadcast(Vocabulary.of(pieces))
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+
+
+def slices(batch: pa.RecordBatch, limit: int = 8 * TEXT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most so many bytes, or of one row."""
+    if batch.num_rows <= 1 or batch.nbytes <= limit:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from slices(batch.slice(0, half), limit)
+    yield from slices(batch.slice(half), limit)
+
+
+def _coded(docs: DataFrame, pieces: list[tuple[str, float, int]], texts: bool) -> DataFrame:
+    """(doc_id, ids), with texts also the text that the ids decode to."""
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast((Vocabulary.of(pieces), Spelling(decode_table(pieces))))
+    names = ["doc_id", "ids", "text"] if texts else ["doc_id", "ids"]
 
     def run(batches):
-        vocabulary = model.value
+        vocabulary, spelling = model.value
         encoder = vocabulary.encoder = vocabulary.encoder or Encoder(vocabulary)
         for batch in batches:
-            texts = raw_texts(batch.column(1))
-            for start, end in blocks(texts, 1 << 20):
-                ids, counts = encoder.encode(texts[start:end])
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), lists], ["doc_id", "ids"]
-                )
+            for part in slices(batch):
+                own = raw_texts(part.column(1))
+                for start, end in blocks(own, TEXT_BYTES):
+                    ids, counts = encoder.encode(own[start:end])
+                    columns = [part.column(0).slice(start, end - start), _lists(ids, counts)]
+                    if texts:
+                        columns.append(spelling.texts(ids, counts))
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return small_batches(source).mapInArrow(run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + ", text string" * texts
+    return small_batches(source).mapInArrow(run, schema)
+
+
+def encode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
+    """(doc_id, ids) of every whole text."""
+    return _coded(docs, pieces, texts=False)
+
+
+def recode(docs: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
+    """(doc_id, ids, text): `encode`, and what the ids decode to, in one pass."""
+    return _coded(docs, pieces, texts=True)
 
 
 def decode(encoded: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFrame:
     """(doc_id, ids, text) of encoded rows; null ids have an empty text."""
-    model = encoded.sparkSession.sparkContext.broadcast(decode_table(pieces))
+    model = encoded.sparkSession.sparkContext.broadcast(Spelling(decode_table(pieces)))
 
     def work(batch: pa.RecordBatch):
-        spelling = model.value
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            texts = [decoded(ids or [], spelling) for ids in part.column(1).to_pylist()]
+        for part in slices(batch):
+            lists = part.column(1)
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(texts, pa.string())],
+                [part.column(0), lists, model.value.texts(ids, counts.astype(np.int64))],
                 ["doc_id", "ids", "text"],
             )
 
@@ -438,11 +584,13 @@ def decode(encoded: DataFrame, pieces: list[tuple[str, float, int]]) -> DataFram
     return map_batches(source, work, "doc_id long, ids array<int>, text string")
 
 
+#: Where the models lie unless the session's TOKENIZERS setting names another folder.
+FOLDER, TOKENIZERS = "file:///opt/tokenizers", "spark.gleaner.tokenizers"
 MODEL = "piece_bpe_32k.model"
 
 
-def model_path(folder: str = "/opt/tokenizers", name: str = MODEL) -> str:
-    return f"file://{folder}/{name}"
+def model_path(spark: SparkSession, name: str = MODEL) -> str:
+    return f"{spark.conf.get(TOKENIZERS, FOLDER)}/{name}"
 
 
 def checked(coded: DataFrame) -> list[Column]:
@@ -457,6 +605,6 @@ def checked(coded: DataFrame) -> list[Column]:
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """op2: ids of every document, and the digest of the text they decode to."""
-    pieces = load_model(spark, model_path())
-    coded = decode(encode(table(spark, folder, "documents"), pieces), pieces)
+    pieces = load_model(spark, model_path(spark))
+    coded = recode(table(spark, folder, "documents"), pieces)
     return coded.select(*checked(coded))

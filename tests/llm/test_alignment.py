@@ -8,20 +8,21 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from gleaner.llm import alignment as G
+from gleaner.llm import pieces
 
-FOLDER = G.FOLDER.removeprefix("file://")
+FOLDER = pieces.FOLDER.removeprefix("file://")
 
 
 @pytest.fixture(scope="module")
 def pair(spark):
-    return G.load_pair(spark, f"{G.FOLDER}/{G.MODEL_A}", f"{G.FOLDER}/{G.MODEL_B}")
+    return G.load_pair(spark, pieces.model_path(spark, G.MODEL_A), pieces.model_path(spark))
 
 
 @pytest.fixture(scope="module")
 def models():
     a = Tokenizer.from_file(f"{FOLDER}/{G.MODEL_A}")
     a.encode_special_tokens = True
-    return a, sentencepiece.SentencePieceProcessor(model_file=f"{FOLDER}/{G.MODEL_B}")
+    return a, sentencepiece.SentencePieceProcessor(model_file=f"{FOLDER}/{pieces.MODEL}")
 
 
 def groups_of(text, models):
