@@ -7,7 +7,10 @@ secrets          masks secrets
 tokens           encodes the texts; its rows are doc_id, ids, n_ids and the digest of what ids decode to
 
 Each stage is written as Parquet in the shared folder and read again by the next. All but the last
-return the columns of documents. Nulls, empty and repeated rows are as the operators' modules say.
+return the columns of documents, by name; further columns are left out, clashing names with them.
+Nulls, empty and repeated rows and very long texts are as the operators' modules say; an empty table
+goes through all stages and gives an empty one. The tokenizer's folder is the session's
+`spark.gleaner.tokenizers`.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = pieces.load_model(spark, pieces.model_path())
-    coded = pieces.decode(pieces.encode(docs, model), model)
+    model = pieces.load_model(spark, pieces.model_path(spark))
+    coded = pieces.recode(docs, model)
     return coded.select(*pieces.checked(coded))
 
 
