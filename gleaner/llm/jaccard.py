@@ -65,7 +65,7 @@ from .common import (
     window_hashes,
     word_hashes,
 )
-from .components import components
+from .components import components, with_edges
 
 SHINGLE = 5
 #: A key of more sets is common.
@@ -497,7 +497,7 @@ def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
     )
     members = stage(members, "members")
     by_key = Window.partitionBy("key")
-    tried = links = labels = None
+    tried = labels = None
     for turn in range(ROUNDS + 1):
         placed = members.withColumn("component", F.col("rep"))
         if labels is not None:
@@ -532,9 +532,8 @@ def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
         tried = pairs if tried is None else tried.unionAll(pairs)
         likely = stage(plausible(pairs, classes, at_least), "likely")
         new = stage(verified(likely, rows, at_least), "links")
-        links = new if links is None else links.unionAll(new)
         if labels is None or new.limit(1).count():
-            labels = components(links)
+            labels = with_edges(labels, new)
     own = labels.join(classes.select(F.col("rep").alias("node"), "doc"), "node")
     least = own.groupBy("component").agg(F.min("doc").alias("least"))
     named = labels.join(least, "component").select("node", "component", "least")
