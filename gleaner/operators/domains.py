@@ -42,8 +42,17 @@ def with_registrable_domain(
     """Add the registrable domain of a host: the longest matching suffix plus one label.
 
     One left join per rule depth against the rules of that depth. The joins are on the row's own
-    host, so nothing is grouped, and with the rules broadcast nothing is shuffled.
+    host, so nothing is grouped, and with the rules broadcast nothing is shuffled. Rules too large
+    for that meet the distinct hosts only, and rows meet these once.
     """
+    if not rules.table.small:
+        names = df.select(host).where(F.col(host).isNotNull()).distinct()
+        known = Dictionary(_resolved(names, rules, host, out))
+        return lookup(df, known.df, [host], "left", small=known.small).select(*df.columns, out)
+    return _resolved(df, rules, host, out)
+
+
+def _resolved(df: DataFrame, rules: SuffixRules, host: str, out: str) -> DataFrame:
     labels = U.label_count(F.col(host))
     found = df
     for d in rules.depths:

@@ -44,7 +44,9 @@ def prepared_pages(
     its language. The bag is counted inside the row, for whitelisted pages only (else null)."""
     resolved = with_url_outcome(with_text_key(pages), rules, check_prefix=False)
     flagged = whitelist.df.select("domain").distinct().withColumn("_wanted", F.lit(True))
-    found = lookup(resolved, flagged, ["domain"], "left", small=whitelist.small)
+    found = lookup(
+        resolved, flagged, ["domain"], "left", small=whitelist.small, payload=["text"]
+    )
     kept = found.withColumn("text", F.when(F.col("_wanted"), F.col("text")))
     bags = with_bag(kept, "text", stop, ["url", "domain"])
     bag = F.when(F.col("_wanted"), F.coalesce("bag", F.lit("")))

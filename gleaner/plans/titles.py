@@ -39,12 +39,18 @@ PARSE_OUTCOMES = (
 
 
 def with_categories(pages: DataFrame, index: Dictionary, rules: SuffixRules) -> DataFrame:
-    """Add the page's categories (null without any) and gate, the outcome so far or null."""
+    """Add the page's categories (null without any) and gate, the outcome so far or null.
+
+    Metadata of pages without categories may become null: nothing reads it.
+    """
     hosts = with_canonical_host(with_url_outcome(pages, rules))
     entries = index.df.where(F.size("categories") > 0).select(
         F.col("host").alias("canonical_host"), "categories"
     )
-    found = lookup(hosts, entries, ["canonical_host"], "left", small=index.small)
+    payload = [c for c in ("metadata",) if c in pages.columns]
+    found = lookup(
+        hosts, entries, ["canonical_host"], "left", small=index.small, payload=payload
+    )
     gate = F.when(F.col("url_outcome") != URL_OK, F.col("url_outcome")).when(
         F.col("categories").isNull(), "PAGE_NO_CATEGORY"
     )

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.operators import joins as J
 from gleaner.operators.joins import (
     Dictionary,
     fits_broadcast,
@@ -63,3 +64,42 @@ def test_semi_join_with_hot_keys(spark, sides):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_filter_knows_all_keys_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(J, "FILTER_BITS", 1 << 14)
+    right = spark.range(1000).selectExpr("concat('k', id) AS key", "id").union(
+        spark.createDataFrame([(None, 5)], "key STRING, id LONG"))
+    left = spark.range(5000).selectExpr("IF(id = 4999, NULL, concat('k', id)) AS key", "id AS v")
+    marked = {r.v: r.m for r in left.select("v", J.may_be_in(right, ["key"]).alias("m")).collect()}
+    assert all(marked[v] for v in range(1000)) and marked[4999] is False
+    assert sum(marked[v] for v in range(1000, 4999)) < 400
+    both = left.select("v", J.may_be_in(right.select("key", "id"), ["key"]).alias("m"))
+    assert "BroadcastNestedLoop" not in both._jdf.queryExecution().executedPlan().toString()
+    none = right.limit(0)
+    assert left.where(J.may_be_in(none, ["key"])).count() == 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_only_rows_that_pass_the_filter_are_shuffled(spark, monkeypatch, how):
+    monkeypatch.setattr(J, "FILTER_BITS", 1 << 16)
+    left = spark.range(2000).selectExpr("concat('k', id) AS key", "repeat('x', 100) AS text")
+    right = spark.range(10).selectExpr("concat('k', id) AS key", "id AS label")
+    seen = left.where(J.may_be_in(right, ["key"])).count()
+    assert 10 <= seen < 20
+    got = lookup(left, right, ["key"], how, small=False)
+    assert got.count() == 10
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+
+
+def test_left_join_leaves_payload_behind(spark, monkeypatch):
+    monkeypatch.setattr(J, "FILTER_BITS", 1 << 16)
+    left = spark.range(2000).selectExpr("concat('k', id) AS key", "id AS v", "'x' AS text")
+    right = spark.range(10).selectExpr("concat('k', id) AS key", "id AS label")
+    rows = lookup(left, right, ["key"], "left", small=False, payload=["text"]).collect()
+    assert len(rows) == 2000
+    assert all(r.text == "x" for r in rows if r.label is not None)
+    assert 10 <= sum(r.text is not None for r in rows) < 20
+    small = lookup(left, right, ["key"], "left", small=True, payload=["text"])
+    assert small.where("text IS NULL").count() == 0
