@@ -24,9 +24,11 @@ that has a quarter of its own.
 Verification. ROUNDS times, each key picks a leader, and the sets of the key that are not yet in its
 component are compared with it; then, only where a key's sets are still in different components, its
 sets are compared across components. Pairs already in one component add nothing, so a large group of
-near copies costs a few comparisons a set, and only sets that miss it meet all of it. A pair is first held against parities: bit h mod B of a set's parity is the number of its
-shingles there, odd or even, so two parities never differ in more bits than the sets do in shingles,
-and pairs that differ in too many go. What is left is compared on the whole sets.
+near copies costs a few comparisons a set, and only sets that miss it meet all of it. A pair is first
+held against parities: bit h mod B of a set's parity is the number of its shingles there, odd or even,
+so two parities never differ in more bits than the sets do in shingles, and pairs that differ in too
+many go: by SHORT_BITS bits as part of the join across components, so that such pairs are not even
+made, then by the whole parities. What is left is compared on the whole sets.
 
 Equal sets are one class from the start, so copies cost one row a batch. Results: a document's set
 size and the smallest doc_id of its component.
@@ -150,6 +152,28 @@ def parities(tokens: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return out
 
 
+#: Short parities of SHORT_BITS bits, in numbers of 64, that the engine compares by itself.
+SHORT_BITS = 256
+SHORT = [f"p{i}" for i in range(SHORT_BITS // 64)]
+
+
+def short_parities(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each set SHORT_BITS bits, as a row of numbers."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = row * SHORT_BITS + (tokens & np.uint64(SHORT_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(sizes) * SHORT_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).reshape(len(sizes), len(SHORT))
+
+
+def _not_apart(at_least: int):
+    """Whether short parities and sizes leave it open that (size, p0 …) and (x_size, x_p0 …) link."""
+    apart = F.lit(0)
+    for name in SHORT:
+        apart = apart + F.bit_count(F.col(name).bitwiseXOR(F.col(f"x_{name}")))
+    both = F.col("size") + F.col("x_size")
+    return 100 * (both - apart) >= at_least * (both + apart)
+
+
 def parity_apart(x: bytes, y: bytes) -> int:
     """In how many bits two parities differ; the longer is folded to the shorter's length."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -220,6 +244,7 @@ def described(rows: DataFrame) -> DataFrame:
             tokens, sizes = token_sets(texts[start:end])
             one, two = digests(tokens, sizes)
             needed, costs = weighed(tokens, sizes)
+            short = short_parities(tokens, sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(start, end - start),
@@ -228,13 +253,15 @@ def described(rows: DataFrame) -> DataFrame:
                     pa.array(one),
                     pa.array(two),
                     pa.array(parities(tokens, sizes), pa.binary()),
+                    *(pa.array(short[:, i]) for i in range(len(SHORT))),
                     *(pa.array(x) for x in needed),
                     *(pa.array(x.astype(np.float64)) for x in costs),
                 ],
-                ["row", "doc_id", "n", "d1", "d2", "parity", *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
+                ["row", "doc_id", "n", "d1", "d2", "parity", *SHORT, *(f"need{i}" for i in options), *(f"cost{i}" for i in options)],
             )
 
-    names = [f"need{i} long" for i in options] + [f"cost{i} double" for i in options]
+    names = [f"{name} long" for name in SHORT]
+    names += [f"need{i} long" for i in options] + [f"cost{i} double" for i in options]
     return map_batches(rows, work, ", ".join(["row long, doc_id long, n long, d1 long, d2 long, parity binary", *names]))
 
 
@@ -476,6 +503,7 @@ def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
             F.min("row").alias("rep"),
             F.min("doc_id").alias("doc"),
             F.min("parity").alias("parity"),
+            *[F.min(name).alias(name) for name in SHORT],
         ),
         "classes",
     )
@@ -516,9 +544,13 @@ def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
             pairs = several.withColumn("l", F.min(order).over(by_key)).select(*columns, "l.*")
             pairs = pairs.toDF(*columns, "_", *[f"x_{c}" for c in columns])
         else:
+            # All conditions are part of the join, so pairs that they rule out are never made.
+            several = several.join(classes.select("rep", *SHORT), "rep").select(
+                "key", "rep", "size", "place", "component", *SHORT
+            )
             several = stage(several, "several")
-            x = several.toDF("key", "x_rep", "x_size", "x_place", "x_component")
-            pairs = several.join(x, "key").where("rep < x_rep")
+            x = several.toDF("key", *[f"x_{c}" for c in several.columns[1:]])
+            pairs = several.join(x, "key").where("rep < x_rep").where(_not_apart(at_least))
         pairs = (
             pairs.where("component != x_component")
             .where(_near_size("size", "x_size"))
@@ -538,7 +570,7 @@ def linked(rows: DataFrame, at_least: int = 75) -> DataFrame:
     least = own.groupBy("component").agg(F.min("doc").alias("least"))
     named = labels.join(least, "component").select("node", "component", "least")
     found = sets.select("row", "doc_id", "n", "d1", "d2").join(
-        classes.drop("parity"), ["n", "d1", "d2"], "left"
+        classes.drop("parity", *SHORT), ["n", "d1", "d2"], "left"
     )
     return found.join(named, found["rep"] == named["node"], "left").select(
         "row",

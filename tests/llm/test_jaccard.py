@@ -117,3 +117,14 @@ def test_rows_of_one_doc_id_have_one_component(documents):
     got = J.join_near(documents(rows)).collect()
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 5: 1, 9: 1, 8: 8}
     assert all(r.component_id == (8 if r.doc_id == 8 else 1) for r in got)
+
+
+def test_short_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        sets = [np.unique(rng.integers(0, 400, rng.integers(0, 300)).astype(np.uint64)) for _ in range(2)]
+        sizes = np.array([len(x) for x in sets])
+        short = J.short_parities(np.concatenate(sets), sizes)
+        apart = int(np.bitwise_count((short[0] ^ short[1]).view(np.uint64)).sum())
+        assert apart <= len(np.setxor1d(*sets))
+        assert (len(np.setxor1d(*sets)) - apart) % 2 == 0
