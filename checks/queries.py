@@ -333,7 +333,10 @@ def labels(spark, sf):
 
 @query
 def labels_json(spark, sf):
-    return sinks.labels_json(TR.labels(_harvested(spark, sf)))
+    """The list of labels through its JSON document."""
+    path = work_path(spark, "labels")
+    sinks.write_labels(TR.labels(_harvested(spark, sf)), path)
+    return sources.read_labels(spark, path)
 
 
 @query
@@ -452,19 +455,14 @@ def nb_vocabulary_sweep(spark, sf):
 def nb_model_json(spark, sf):
     """The exported JSON document, read back as rows."""
     model = _classifier(spark, sf)
-    document = sinks.model_json(model.priors(), model.likelihoods())
-    schema = (
-        "classes MAP<STRING, STRING>, logPriors ARRAY<DOUBLE>, "
-        "logLikelihoods MAP<STRING, ARRAY<DOUBLE>>"
+    path = work_path(spark, "model")
+    sinks.write_model(model.priors(), model.likelihoods(), path)
+    classes, terms = sources.read_model(spark, path)
+    cells = terms.select(
+        F.col("token").alias("term"), F.posexplode("log_likelihood").alias("class_idx", "ll")
     )
-    parsed = document.select(F.from_json("value", schema).alias("m"))
-    return parsed.select(
-        "m.classes", "m.logPriors", F.explode("m.logLikelihoods").alias("term", "lls")
-    ).select(
-        "term", F.posexplode("lls").alias("class_idx", "ll"), "classes", "logPriors"
-    ).select(
-        "term", F.element_at("classes", F.col("class_idx").cast("string")).alias("klass"),
-        F.round(F.get("logPriors", F.col("class_idx")), DIGITS).alias("log_prior"),
+    return cells.join(classes, "class_idx").select(
+        "term", "klass", F.round("log_prior", DIGITS).alias("log_prior"),
         F.round("ll", DIGITS).alias("ll"),
     )
 
@@ -485,14 +483,12 @@ def whitelist_sorted(spark, sf):
 
 @query
 def index_files(spark, sf):
-    """Nested interests and the built index, each through its JSON file."""
-    nested = VW.interests(spark, sf)
+    """Nested interests and the built index, each through its JSON document of several files."""
     path = work_path(spark, "interests")
-    entries = F.map_from_entries(F.collect_list(F.struct("host", "rules")))
-    sinks.write_lines(nested.agg(F.to_json(entries).alias("value")), path)
+    sinks.write_interests(VW.interests(spark, sf), path)
     built = I.build_index(sources.read_interests(spark, path))
     out = work_path(spark, "index")
-    sinks.write_lines(sinks.index_json(built), out)
+    sinks.write_index(built, out)
     return sources.read_category_index(spark, out).select(
         "host", F.array_join("categories", ",").alias("categories")
     )
@@ -501,7 +497,7 @@ def index_files(spark, sf):
 @query
 def whitelist_files(spark, sf):
     path = work_path(spark, "whitelist")
-    sinks.write_lines(sinks.whitelist_json(VW.category_index(spark, sf)), path)
+    sinks.write_whitelist(VW.category_index(spark, sf), path)
     return sources.read_whitelist(spark, path)
 
 

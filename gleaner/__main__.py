@@ -40,7 +40,7 @@ def _stop_words(spark: SparkSession, args) -> StopWords:
 
 
 def run_titles(spark: SparkSession, args) -> None:
-    path = sources.category_index_path(args.index_dir, args.region, args.variation)
+    path = args.index or sources.category_index_path(args.index_dir, args.region, args.variation)
     categories = Dictionary(with_spellings(sources.read_category_index(spark, path), "host"))
     pages = _pages(spark, args, args.value or "metadata").toDF("url", "metadata")
     titles.run_title_harvest(spark, pages, categories, _rules(spark, args), args.out)
@@ -145,7 +145,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--value", help="value column of a columnar input")
         sub.add_argument("--suffix-rules", help="default: the list shipped with Spark")
         if name == "titles":
-            sub.add_argument("--index-dir", required=True)
+            where = sub.add_mutually_exclusive_group(required=True)
+            where.add_argument("--index-dir", help="folder of REGION[.VARIATION].json")
+            where.add_argument("--index", help="an index, also as the index job writes it")
             sub.add_argument("--region", "--region-code", default="en-US")
             sub.add_argument("--variation", default="")
         else:

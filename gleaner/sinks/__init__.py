@@ -1,15 +1,19 @@
 """Writers of the output formats.
 
-The *_json forms are one JSON value each, built in one task: for labels, indexes and models of a
-size that their readers hold in memory. Jobs write tables and *_entries (JSON lines, one object an
-entry, any number) always, and the one value only when asked to.
+write_labels, write_index, write_whitelist, write_interests and write_model write one JSON document
+of any size as ordered part files, each by its own task: put behind each other they are the document,
+and a line is an entry. The *_json forms are one JSON value each, built in one task: for readers that
+want it in one row. *_entries are JSON lines, one object an entry.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import stage
+
+
 def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
     lines.write.option("compression", compression).text(path)
 
@@ -107,3 +111,71 @@ def whitelist_entries(index: DataFrame) -> DataFrame:
 
 def model_entries(likelihoods: DataFrame) -> DataFrame:
     return likelihoods.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def json_string(text: Column) -> Column:
+    quoted = F.to_json(F.array(text))
+    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+
+
+def write_document(
+    entries: DataFrame, path: str, opening: str, closing: str, compression: str = "none"
+) -> None:
+    """One JSON document of entries (key, value), in the order of their keys, which are distinct.
+
+    Ranges of keys are written by different tasks. The opening has a line to itself in the first
+    file, the closing follows the last entry, and every entry but the first begins with a comma.
+    """
+    entries = stage(entries.select("key", "value"), "entries")
+    least, most = entries.agg(F.min("key"), F.max("key")).first()
+    value = F.concat(
+        F.when(F.col("key") == least, "").otherwise(","),
+        F.col("value"),
+        F.when(F.col("key") == most, closing).otherwise(""),
+    )
+    head = opening if least is not None else opening + closing
+    first = entries.sparkSession.createDataFrame([(None, head)], "key STRING, value STRING")
+    lines = entries.select("key", value.alias("value")).unionByName(first)
+    ordered = lines.repartitionByRange("key").sortWithinPartitions("key").select("value")
+    write_lines(ordered, path, compression)
+
+
+def write_labels(labels: DataFrame, path: str) -> None:
+    """The JSON list of labels, sorted."""
+    text = labels.select(F.col("label").alias("key"), json_string(F.col("label")).alias("value"))
+    write_document(text, path, "[", "]")
+
+
+def write_whitelist(index: DataFrame, path: str) -> None:
+    """The JSON list of hosts, ascending."""
+    hosts = index.where(F.col("host").isNotNull()).select("host").distinct()
+    text = hosts.select(F.col("host").alias("key"), json_string(F.col("host")).alias("value"))
+    write_document(text, path, "[", "]")
+
+
+def _write_map(rows: DataFrame, key: str, value: str, path: str, opening: str, closing: str) -> None:
+    entry = F.concat(json_string(F.col(key)), F.lit(":"), F.to_json(value)).alias("value")
+    write_document(rows.select(F.col(key).alias("key"), entry), path, opening, closing)
+
+
+def write_index(index: DataFrame, path: str) -> None:
+    """The JSON object host -> categories."""
+    _write_map(index, "host", "categories", path, "{", "}")
+
+
+def write_interests(interests: DataFrame, path: str) -> None:
+    """The JSON object host -> rule -> categories."""
+    _write_map(interests, "host", "rules", path, "{", "}")
+
+
+def write_model(priors: DataFrame, likelihoods: DataFrame, path: str) -> None:
+    """{classes, logPriors, logLikelihoods}. Classes make the opening, terms are the entries."""
+    by_class = F.sort_array(F.collect_list(F.struct("class_idx", "klass", "log_prior")))
+    classes = F.map_from_entries(
+        F.transform("c", lambda e: F.struct(e["class_idx"].cast("string"), e["klass"]))
+    ).alias("classes")
+    head = priors.agg(by_class.alias("c")).select(
+        F.to_json(F.struct(classes, F.col("c.log_prior").alias("logPriors")))
+    )
+    opening = head.first()[0][:-1] + ',"logLikelihoods":{'
+    _write_map(likelihoods, "token", "log_likelihood", path, opening, "}}")

@@ -138,9 +138,43 @@ def _whole_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("json"))
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    line = F.btrim(F.col("value"), F.lit(WHITESPACE)).alias("line")
+    return spark.read.text(path).select(line).where(F.col("line") != "")
+
+
+def _json_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(json) of a JSON document: a value of `schema`, a map or an array, for each of its lines.
+
+    A document whose entries do not break over lines, however many files it comes in, is read line
+    by line by many tasks. Any other is read whole by one.
+    """
+    array = schema.startswith("array")
+    opening, closing = "[]" if array else "{}"
+    inner = F.regexp_replace("line", r"^[\[{,]", "")
+    inner = F.regexp_replace(inner, r"[\],]$" if array else ",$", "")
+    value = F.from_json(F.concat(F.lit(opening), inner, F.lit(closing)), schema)
+    rows = _lines(spark, path).select(value.alias("json"))
+    parts = F.col("json") if array else F.map_values("json")
+    wrong = F.col("json").isNull() | F.exists(parts, lambda v: v.isNull())
+    return _whole_json(spark, path, schema) if rows.where(wrong).limit(1).count() else rows
+
+
+def _json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """The rows of JSON lines; null if a line is no object with all fields of the schema."""
+    lines = _lines(spark, path)
+    rows = lines.select(F.from_json("line", schema).alias("json")).select("json.*")
+    wrong = F.greatest(*[F.col(c).isNull() for c in [*rows.columns, rows.columns[0]]])
+    return None if rows.where(wrong).limit(1).count() or not lines.limit(1).count() else rows
+
+
 def read_category_index(spark: SparkSession, path: str) -> DataFrame:
-    """(host, categories) from one JSON object host -> categories."""
-    return _whole_json(spark, path, "map<string,array<string>>").select(
+    """(host, categories) from a JSON object host -> categories, in one or many files, or from JSON
+    lines with these fields."""
+    rows = _json_lines(spark, path, "host STRING, categories ARRAY<STRING>")
+    if rows is not None:
+        return rows
+    return _json_parts(spark, path, "map<string,array<string>>").select(
         F.explode("json").alias("host", "categories")
     )
 
@@ -150,21 +184,47 @@ def category_index_path(directory: str, region: str = "en-US", variation: str =
 
 
 def read_whitelist(spark: SparkSession, path: str) -> DataFrame:
-    """(domain) from one JSON array."""
-    return (
-        _whole_json(spark, path, "array<string>")
-        .select(F.explode("json").alias("domain"))
-        .distinct()
-    )
+    """(domain) from a JSON list, in one or many files, or from JSON lines with the field host."""
+    rows = _json_lines(spark, path, "host STRING")
+    if rows is None:
+        rows = _json_parts(spark, path, "array<string>").select(F.explode("json"))
+    return rows.toDF("domain").distinct()
+
+
+def read_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(label) from a JSON list."""
+    return _json_parts(spark, path, "array<string>").select(F.explode("json").alias("label"))
 
 
 def read_interests(spark: SparkSession, path: str) -> DataFrame:
-    """(host, rules) from one JSON object host -> rule -> categories."""
-    return _whole_json(spark, path, "map<string,map<string,array<string>>>").select(
+    """(host, rules) from a JSON object host -> rule -> categories."""
+    return _json_parts(spark, path, "map<string,map<string,array<string>>>").select(
         F.explode("json").alias("host", "rules")
     )
 
 
+def read_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(class_idx, klass, log_prior) and (token, log_likelihood) of a model that write_model wrote."""
+    lines = _lines(spark, path)
+    head = F.col("line").startswith('{"classes":')
+    shape = "classes MAP<STRING, STRING>, logPriors ARRAY<DOUBLE>"
+    opened = F.from_json(F.concat("line", F.lit("}}")), shape, {"mode": "FAILFAST"})
+    priors = (
+        lines.where(head)
+        .select(opened.alias("m"))
+        .select("m.classes", F.posexplode("m.logPriors").alias("class_idx", "log_prior"))
+        .select(
+            "class_idx",
+            F.element_at("classes", F.col("class_idx").cast("string")).alias("klass"),
+            "log_prior",
+        )
+    )
+    entry = F.concat(F.lit("{"), F.regexp_replace("line", "^,", ""), F.lit("}"))
+    parsed = F.from_json(entry, "map<string,array<double>>", {"mode": "FAILFAST"})
+    terms = lines.where(~head).select(F.explode(parsed).alias("token", "log_likelihood"))
+    return priors, terms
+
+
 def read_words(spark: SparkSession, path: str) -> DataFrame:
     """(word) from one word per line; byte-order mark and line-end characters removed."""
     word = F.regexp_replace(F.col("value"), "^﻿", "")

@@ -30,7 +30,9 @@ def test_all_jobs_chain(spark, tmp_path):
     common = ["--segments", listing, "--template", out("seg") + "/{segment}", "--format", "parquet"]
     main(["titles", *common, "--index-dir", out("cats"), "--variation", "x", "--out", out("t")],
          spark)
+    main(["titles", *common, "--index", out("index/index_entries"), "--out", out("t2")], spark)
     harvest = str(tmp_path / "t/titles_tsv")
+    assert lines(spark, tmp_path / "t2/titles_tsv") == lines(spark, harvest)
     assert len(lines(spark, harvest)) == 40
 
     stop = put(tmp_path / "stop.txt", "the\nhttp\n")

@@ -1,5 +1,6 @@
 import bz2
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,66 @@ def test_entries_have_no_limit(spark):
     assert sinks.whitelist_entries(index.union(index)).count() == 3
     labels = spark.createDataFrame([("a",)], "label STRING")
     assert sinks.labels_entries(labels).first()[0] == '{"label":"a"}'
+
+
+def whole(spark, path):
+    """The part files, in the order of their names, as one text."""
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    return "".join(open(os.path.join(path, f), encoding="utf-8").read() for f in files), len(files)
+
+
+def test_documents_of_several_files(spark, tmp_path):
+    rows = [(f"h{i}.com", ["X", f'q"{i}\\']) for i in range(500)] + [("é,{}[].com", [])]
+    index = spark.createDataFrame(rows, "host STRING, categories ARRAY<STRING>").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_index(index, f"{tmp_path}/index")
+        sinks.write_whitelist(index.union(index), f"{tmp_path}/white")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    text, files = whole(spark, f"{tmp_path}/index")
+    assert files > 1 and json.loads(text) == dict(rows)
+    assert list(json.loads(text)) == sorted(h for h, _ in rows)
+    back = {(r.host, tuple(r.categories)) for r in sources.read_category_index(spark, f"{tmp_path}/index").collect()}
+    assert back == {(h, tuple(c)) for h, c in rows}
+    assert json.loads(whole(spark, f"{tmp_path}/white")[0]) == sorted(h for h, _ in rows)
+    assert sources.read_whitelist(spark, f"{tmp_path}/white").count() == 501
+    nested = index.selectExpr("host", "map('__ANY', categories, 'p', array('Z')) AS rules")
+    sinks.write_interests(nested, f"{tmp_path}/nested")
+    read = sources.read_interests(spark, f"{tmp_path}/nested").collect()
+    assert {r.host: r.rules for r in read} == {h: {"__ANY": c, "p": ["Z"]} for h, c in rows}
+
+
+def test_empty_and_single_documents(spark, tmp_path):
+    index = spark.createDataFrame([("a.com", ["X"])], "host STRING, categories ARRAY<STRING>")
+    for name, rows in (("none", index.limit(0)), ("one", index)):
+        sinks.write_index(rows, f"{tmp_path}/{name}")
+        assert json.loads(whole(spark, f"{tmp_path}/{name}")[0]) == {r.host: r.categories for r in rows.collect()}
+        assert sources.read_category_index(spark, f"{tmp_path}/{name}").count() == rows.count()
+        sinks.write_labels(rows.selectExpr("host AS label"), f"{tmp_path}/{name}-labels")
+        assert sources.read_labels(spark, f"{tmp_path}/{name}-labels").count() == rows.count()
+
+
+def test_other_forms_of_an_index(spark, tmp_path):
+    want = {"a.com": ["X"], "b.com": ["X", "Y"]}
+    forms = {"one line": json.dumps(want), "indented": json.dumps(want, indent=2),
+             "an entry a line": '{"a.com": ["X"],\n"b.com": ["X", "Y"]}\n',
+             "lines": "".join(json.dumps({"host": h, "categories": c}) + "\n" for h, c in want.items())}
+    for name, text in forms.items():
+        path = write(tmp_path / f"{name}.json", text)
+        assert {r.host: r.categories for r in sources.read_category_index(spark, path).collect()} == want, name
+    for name, text in (("a", '["b.com", "a.com"]'), ("b", '["b.com",\n"a.com"\n]'), ("c", '{"host":"b.com"}\n{"host":"a.com"}')):
+        path = write(tmp_path / f"white-{name}.json", text)
+        assert {r.domain for r in sources.read_whitelist(spark, path).collect()} == {"a.com", "b.com"}, name
+
+
+def test_model_of_several_files(spark, tmp_path):
+    priors = spark.createDataFrame([(1, "b", -2.0), (0, 'a"', -1.0)], "class_idx INT, klass STRING, log_prior DOUBLE")
+    terms = [(f"t{i}", [-float(i), -4.5]) for i in range(300)]
+    rows = spark.createDataFrame(terms, "token STRING, log_likelihood ARRAY<DOUBLE>")
+    sinks.write_model(priors, rows, f"{tmp_path}/m")
+    document = json.loads(whole(spark, f"{tmp_path}/m")[0])
+    assert document == {"classes": {"0": 'a"', "1": "b"}, "logPriors": [-1.0, -2.0], "logLikelihoods": dict(terms)}
+    classes, back = sources.read_model(spark, f"{tmp_path}/m")
+    assert sorted(map(tuple, classes.collect())) == [(0, 'a"', -1.0), (1, "b", -2.0)]
+    assert {r.token: r.log_likelihood for r in back.collect()} == dict(terms)
