@@ -15,10 +15,12 @@ document. Words that any repeated window covers are removed. Windows are judged
 
 Defined results: a null or empty text has no words; a text of fewer than WIDTH words stays; a null
 doc_id counts as the smallest; rows equal in doc_id and text are one document and get equal rows;
-texts that share a doc_id are told apart by a hash and ordered by start; further columns are ignored.
+texts that share a doc_id are documents of their own, told apart by a 64-bit hash of the text, and
+ordered by start, then by that hash; an empty table gives none; a text of any length is taken whole,
+in one task; further columns are ignored.
 
-Scale: anchors (24 bytes) are shuffled once by hash, whole texts once by doc_id (both joins reuse
-that exchange). Before a shuffle each batch keeps one occurrence of a class and knows the others to
+Scale: anchors (40 bytes) are shuffled once by hash, whole texts once by doc_id and text hash (both
+joins reuse that exchange), so that many rows without a doc_id are spread, each with its own places. Before a shuffle each batch keeps one occurrence of a class and knows the others to
 be repeats, so a run that a third of the documents share meets with one row a batch, not a document.
 """
 
@@ -30,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from .common import (
     blocks,
@@ -46,6 +47,9 @@ from .common import (
 )
 
 WIDTH = 20
+#: Bits of a place that hold the number of windows; the width stays below it.
+COUNT_BITS = 20
+_COUNT = (1 << COUNT_BITS) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -54,14 +58,15 @@ def anchor_size(width: int) -> int:
     return max(1, width * 2 // 5)
 
 
-def text_mark(text: bytes) -> int:
-    """28 bits that tell apart texts of one doc_id."""
-    return xxh3_64_intdigest(text) >> 36
+def marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark, text): doc_id and mark, a hash of the text, say which document it is."""
+    mark = F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
+    return identified(docs).select("doc_id", mark, "text")
 
 
-def places(start: np.ndarray, mark: np.ndarray, count: np.ndarray | int) -> np.ndarray:
-    """Start, text and number of windows in one number that sorts by start."""
-    return (start.astype(np.int64) << 32) | (mark.astype(np.int64) << 4) | count
+def places(start: np.ndarray, count: np.ndarray | int) -> np.ndarray:
+    """Start and number of windows in one number that sorts by start."""
+    return (start.astype(np.int64) << COUNT_BITS) | count
 
 
 def run_sums(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,22 +98,21 @@ def anchors(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarr
     begin, anchor = starts[first], at[first]
     sums, back = run_sums(words)
     reach = (sums[begin + windows + width - 1] - sums[begin]) * back[begin]
-    shape = ((anchor - begin) * 32 + windows).astype(np.uint64)
+    shape = places(anchor - begin, windows).astype(np.uint64)
     reach = mixed(reach + mixed(shape)) | np.uint64(1)
     return grams[anchor], reach, document[begin], begin - bounds[document[begin]], windows
 
 
-def first_only(keys: list[np.ndarray], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+def first_only(keys: list[np.ndarray], place: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Among rows of equal keys: which is the first, and which are later ones (repeats)."""
-    order = np.lexsort((at, doc, *keys))
+    order = np.lexsort((*place[::-1], *keys))
     same = np.ones(len(order), bool)
     for key in keys:
         same[1:] &= key[order][1:] == key[order][:-1]
     if len(same):
         same[0] = False
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    leader = order[head]
-    equal = (doc[leader] == doc[order]) & (at[leader] == at[order])
+    leader = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    equal = np.logical_and.reduce([column[leader] == column[order] for column in place])
     first, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
     first[order] = ~same
     later[order] = ~equal
@@ -121,38 +125,35 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes([word for words in split for word in words]), bounds
 
 
-def _occurrences(key: np.ndarray, sub: np.ndarray, doc: np.ndarray, at: np.ndarray):
+def _occurrences(
+    key: np.ndarray, sub: np.ndarray, doc: np.ndarray, at: np.ndarray, mark: np.ndarray
+) -> pa.RecordBatch:
     """Rows for the shuffle: firsts of the batch by key; later ones, whose sub-key is 0, anywhere."""
-    first, later = first_only([sub, key], doc, at)
-    key = np.where(later, mixed(doc.view(np.uint64) + at.view(np.uint64)), key)
+    first, later = first_only([sub, key], [doc, at, mark])
+    anywhere = mixed(doc.view(np.uint64) + at.view(np.uint64) + mark.view(np.uint64))
+    key = np.where(later, anywhere, key)
     sub = np.where(later, np.uint64(0), sub)
     kept = first | later
+    columns = (key.view(np.int64), sub.view(np.int64), doc, at, mark)
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(key[kept].view(np.int64)),
-            pa.array(sub[kept].view(np.int64)),
-            pa.array(doc[kept]),
-            pa.array(at[kept]),
-        ],
-        ["key", "sub", "doc_id", "at"],
+        [pa.array(column[kept]) for column in columns], ["key", "sub", "doc_id", "at", "mark"]
     )
 
 
-_OCCURRENCE = "key long, sub long, doc_id long, at long"
+_OCCURRENCE = "key long, sub long, doc_id long, at long, mark long"
 
 
 def seeds(rows: DataFrame, width: int) -> DataFrame:
-    """Anchors of every text: key (anchor), sub (reach), doc_id, at."""
+    """Anchors of every text: key (anchor), sub (reach), doc_id, at, mark."""
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0).to_numpy()
-        texts = raw_texts(batch.column(1))
+        ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        texts = raw_texts(batch.column(2))
         parts = []
         for start, end in blocks(texts):
             words, bounds = _stream(texts[start:end])
             key, reach, doc, begin, windows = anchors(words, bounds, width)
-            marks = np.array([text_mark(text) for text in texts[start:end]], np.int64)
-            parts.append((key, reach, ids[start + doc], places(begin, marks[doc], windows)))
+            parts.append((key, reach, ids[start + doc], places(begin, windows), marks[start + doc]))
         if parts:
             yield _occurrences(*(np.concatenate(column) for column in zip(*parts, strict=True)))
 
@@ -160,32 +161,29 @@ def seeds(rows: DataFrame, width: int) -> DataFrame:
 
 
 def border_windows(rows: DataFrame, width: int) -> DataFrame:
-    """Single windows of the listed reaches (doc_id, text, at ARRAY): key, sub are window, anchor."""
+    """Single windows of the listed reaches (doc_id, mark, text, at ARRAY): key, sub are window, anchor."""
     size = anchor_size(width)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts = []
-        columns = (batch.column(0).to_pylist(), raw_texts(batch.column(1)), batch.column(2))
-        for doc_id, text, listed in zip(columns[0], columns[1], columns[2], strict=True):
+        ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        texts = raw_texts(batch.column(2))
+        for doc_id, mark, text, listed in zip(ids, marks, texts, batch.column(3), strict=True):
             at = np.array(listed.as_py(), np.int64)
-            mark = text_mark(text)
-            at = at[((at >> 4) & 0xFFFFFFF) == mark]
-            if not len(at):
-                continue
             words = word_hashes(text.split())
-            windows = at & 15
-            begins = np.repeat(at >> 32, windows)
+            windows = at & _COUNT
+            begins = np.repeat(at >> COUNT_BITS, windows)
             begins += np.arange(len(begins)) - np.repeat(np.cumsum(windows) - windows, windows)
             begins = np.unique(begins)
             grams = window_hashes(words, size)
             span = np.lib.stride_tricks.sliding_window_view(grams, width - size + 1)
-            marks = np.full(len(begins), mark)
             parts.append(
                 (
                     window_hashes(words, width)[begins],
                     span[begins].min(axis=1) | np.uint64(1),
                     np.full(len(begins), doc_id),
-                    places(begins, marks, 1),
+                    places(begins, 1),
+                    np.full(len(begins), mark),
                 )
             )
         if parts:
@@ -195,38 +193,40 @@ def border_windows(rows: DataFrame, width: int) -> DataFrame:
 
 
 def judged(occurrences: DataFrame) -> DataFrame:
-    """doc_id, at, repeat: whether an equal occurrence comes earlier; and split: whether the key has
-    several sub-keys. Rows that are neither are left out."""
-    klass = Window.partitionBy("key", "sub").orderBy("doc_id", "at")
+    """doc_id, mark, at, repeat: whether an equal occurrence comes earlier; and split: whether the key
+    has several sub-keys. Rows that are neither are left out."""
+    place = F.struct("doc_id", "at", "mark")
+    klass = Window.partitionBy("key", "sub").orderBy("doc_id", "at", "mark")
     key = Window.partitionBy("key")
-    first = F.first(F.struct("doc_id", "at")).over(klass)
     found = occurrences.select(
         "doc_id",
+        "mark",
         "at",
-        ((F.col("sub") == 0) | (first != F.struct("doc_id", "at"))).alias("repeat"),
+        ((F.col("sub") == 0) | (F.first(place).over(klass) != place)).alias("repeat"),
         (F.min("sub").over(key) != F.max("sub").over(key)).alias("split"),
     )
     return found.where(F.col("repeat") | F.col("split"))
 
 
 def _listed(found: DataFrame) -> DataFrame:
-    """doc_id with all its places: a document's own, so never more than its words."""
-    return found.groupBy("doc_id").agg(F.collect_list("at").alias("at")).hint("shuffle_hash")
+    """doc_id and mark with the places of that document: never more than its words."""
+    return found.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("at")).hint("shuffle_hash")
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, starts, ends): the kept words joined by one space, and the
     maximal repeats as runs of words (first, after the last)."""
-    if not 2 <= width <= 24:  # an anchor has at most 15 windows
-        raise ValueError("width must be from 2 to 24 words")
-    rows = identified(docs)
+    if not 2 <= width <= _COUNT:
+        raise ValueError(f"width must be from 2 to {_COUNT} words")
+    rows = marked(docs)
     seeded = stage(judged(seeds(rows, width)), "repeats")
-    borders = _listed(seeded.where(~F.col("repeat")).select("doc_id", "at"))
-    windows = judged(border_windows(rows.join(borders, "doc_id"), width))
+    same = ["doc_id", "mark"]
+    borders = _listed(seeded.where(~F.col("repeat")))
+    windows = judged(border_windows(rows.join(borders, same), width))
     repeats = (
         seeded.where("repeat")
-        .select("doc_id", "at")
-        .unionAll(windows.where("repeat").select("doc_id", "at"))
+        .select(*same, "at")
+        .unionAll(windows.where("repeat").select(*same, "at"))
     )
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -240,9 +240,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 covered = np.zeros(len(words) + 1, np.int32)
                 if listed.is_valid:
                     at = np.array(listed.as_py(), np.int64)
-                    at = at[((at >> 4) & 0xFFFFFFF) == text_mark(text)]
-                    np.add.at(covered, at >> 32, 1)
-                    np.add.at(covered, (at >> 32) + (at & 15) + width - 1, -1)
+                    np.add.at(covered, at >> COUNT_BITS, 1)
+                    np.add.at(covered, (at >> COUNT_BITS) + (at & _COUNT) + width - 1, -1)
                 gone = np.cumsum(covered)[:-1] > 0
                 if gone.any():
                     kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
@@ -266,7 +265,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             )
 
     done = map_batches(
-        rows.join(_listed(repeats), "doc_id", "left").select("doc_id", "text", "at"),
+        rows.join(_listed(repeats), same, "left").select("doc_id", "text", "at"),
         work,
         "doc_id long, n_words long, n_removed long, kept string, starts array<int>, ends array<int>",
     )

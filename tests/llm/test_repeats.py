@@ -23,7 +23,7 @@ def brute(docs, width):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("width", [20, 5])
+@pytest.mark.parametrize("width", [20, 5, 40])
 def test_against_brute_force(documents, width):
     rng = random.Random(width)
     line = lambda n, v=2000: " ".join(f"w{rng.randrange(v)}" for _ in range(n))
@@ -53,3 +53,17 @@ def test_edges(documents, edges, nothing):
     text = " ".join(f"w{i}" for i in range(40))
     twice = R.remove_repeats(documents([(7, text), (7, text)])).collect()
     assert [r.n_removed for r in twice] == [0, 0]  # one document, given twice
+
+
+def test_texts_without_an_id_are_documents_of_their_own(documents):
+    """Each row carries its own places only: the first stays whole, all others lose the passage."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    docs = [(None, f"{' '.join(f'x{n}y{i}' for i in range(n % 7))} {passage} z{n}") for n in range(600)]
+    docs += [(9, f"{passage} nine"), (9, f"other words {passage}")]
+    got = R.remove_repeats(documents(docs)).collect()
+    assert len(got) == len(docs)
+    whole = [r for r in got if r.n_removed == 0]
+    assert len(whole) == 1 and whole[0].doc_id is None and whole[0].starts == []
+    for r in got:
+        if r.n_removed:
+            assert r.n_removed == 25 and "p0" not in r.kept.split()
