@@ -43,6 +43,7 @@ ORACLE: dict[str, str] = {
     "op5_substring_dedup": repeats.ORACLE,
     "op6_decontamination": decontaminate.ORACLE,
     "op8_licenses": licenses.ORACLE,
+    "op9_chat": chat.ORACLE,
     "op10_jaccard_join": jaccard.ORACLE,
     "op11_line_dedup": lines.ORACLE,
     "op12_fill_in_middle": fim.ORACLE,

@@ -1,6 +1,8 @@
 import random
 from itertools import product
 
+import duckdb
+
 from gleaner.llm import chat as C
 
 
@@ -46,10 +48,42 @@ def test_repairs_are_cheapest():
         for roles in product(range(4), repeat=size):
             steps = C.solved(list(roles), C.START, None)
             assert cost_of(roles, steps) == brute(roles)
-            cost = C.block_costs(list(roles))
+            cost, _ = C.block_paths(list(roles))
             assert min(cost[C.START, s] for s in C.ENDS) == brute(roles)
 
 
+def every_repair(roles):
+    """(cost, preferences) and steps of all legal repairs, by trying every one."""
+    found = [(0.0, (), (), C.START)]
+    for role in roles:
+        found = [
+            (cost + price + (C.RELABEL if role != to else 0.0),
+             (*taste, (role != to, C.ACTIONS.index(action), to, empty)), (*steps, (to, action, empty)), to)
+            for cost, taste, steps, last in found
+            for state, to, price, action, empty in C.ARCS
+            if state == last
+        ]
+    return [(cost, taste, steps) for cost, taste, steps, last in found if last in C.ENDS]
+
+
+def test_ties_are_settled_by_the_first_turn_that_differs():
+    for size in range(1, 5):
+        for roles in product(range(4), repeat=size):
+            assert tuple(C.solved(list(roles), C.START, None)) == min(every_repair(roles))[2]
+
+
+def test_repairs_do_not_depend_on_cuts():
+    for size in range(2, 7):
+        for roles in product(range(4), repeat=size):
+            whole = C.solved(list(roles), C.START, None)
+            for cuts in range(1, 1 << (size - 1)):
+                at = [0, *(i + 1 for i in range(size - 1) if cuts >> i & 1), size]
+                parts = [list(roles[a:b]) for a, b in zip(at, at[1:])]
+                states = C.chained([C.block_paths(part) for part in parts])
+                steps = [C.solved(part, *ends) for part, ends in zip(parts, states, strict=True)]
+                assert sum(steps, []) == whole
+
+
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
@@ -59,9 +93,11 @@ def test_blocks_chain_to_the_same_cost(spark):
     rows = [(c, t, rng.choice(names), f"{c}-{t}") for c in range(6) for t in range(rng.randint(1, 40))]
     rows += [(99, t, rng.choice(names), str(t)) for t in range(400)]
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS part", "2 AS block").repartition(5)
+    seen = []
     for block in (3, 4096):
         found = C.format_chats(df, block).orderBy("conv_id", "part", "block", "place").collect()
         assert len(found) == len(rows)
+        seen.append([(r.conv_id, r.position, r.turn, r.new_role, r.action, r.rendered) for r in found])
         for conv in {r[0] for r in rows}:
             own = [r for r in found if r.conv_id == conv]
             assert [r.turn for r in own] == list(range(len(own)))
@@ -72,6 +108,20 @@ def test_blocks_chain_to_the_same_cost(spark):
             assert cost_of(roles, steps) == brute(roles)
             text = "".join(r.rendered for r in own)
             assert text.count("<|im_start|>") == text.count("<|im_end|>")
+    assert seen[0] == seen[1]
+
+
+def test_against_sql(spark, tmp_path):
+    rng = random.Random(9)
+    names = [*C.ROLES, None, "tool"]
+    rows = [(c or None, rng.choice([None, t]), rng.choice(names), rng.choice([None, f"<|{t}"]))
+            for c in range(60) for t in range(rng.randint(1, 12))]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = C.query(spark, str(tmp_path))
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW conversations AS FROM '{tmp_path}/conversations.parquet/*.parquet'")
+        want = db.sql(f"SELECT {', '.join(got.columns)} FROM ({C.ORACLE})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_legal_conversations_stay_and_edges(spark):
