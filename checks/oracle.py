@@ -456,6 +456,7 @@ SELECT {_bucket('c')} AS bucket, count(*) AS n FROM (
     "harvest_stats": _with(*PAGES, body=_STATS_BODY),
     "title_job_files": _with(*PAGES, body="SELECT * FROM harvested"),
     "title_job_statistics": _with(*PAGES, body=_STATS_BODY),
+    "growing_title_statistics": _with(*PAGES, body=_STATS_BODY),
     "clean_tokens": rf"""
 SELECT doc_id, len(t)::BIGINT AS n_tokens, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (
   SELECT doc_id, list_transform(regexp_extract_all(text, '{_TOKEN}'), lambda x: lower(x)) AS t
@@ -482,6 +483,7 @@ SELECT doc_id, d.lang FROM documents LEFT JOIN detected d USING (doc_id)"""),
     "language_counts": _with(GRAMS, body="""
 SELECT lang, count(*) AS n FROM detected GROUP BY lang"""),
     "harvest_detected_texts": _with(*DETECTED, body="SELECT * FROM longest"),
+    "growing_texts": _with(*DETECTED, body="SELECT * FROM longest"),
     "text_job_statistics": _with(
         GRAMS, TEXTS, WHITELIST, _WANTED, """
 english AS (SELECT w.* FROM wanted w JOIN detected d USING (doc_id)
@@ -609,3 +611,4 @@ WHERE keywords = ''"""),
     ),
     "key_ordered_file": _with(*PAGES, body=f"SELECT {_LINE} AS value FROM harvested"),
 }
+ORACLE["growing_text_statistics"] = ORACLE["text_job_statistics"]

@@ -18,6 +18,7 @@ from gleaner.operators import language as L
 from gleaner.operators import split as S
 from gleaner.operators import vectors as V
 from gleaner.operators import words as W
+from gleaner.plans import increments as IN
 from gleaner.plans import index as I
 from gleaner.plans import texts as TX
 from gleaner.plans import titles as TI
@@ -298,6 +299,55 @@ def text_job_statistics(spark, sf):
     return spark.read.parquet(paths["statistics"])
 
 
+# Harvests that grow ---------------------------------------------------------------------------
+
+BATCHES = 3
+
+
+def _batches(pages: DataFrame, *columns: str):
+    """The rows in batches, so that rows of one URL are in several: number and rows."""
+    dealt = pages.withColumn("_b", F.pmod(F.xxhash64(*columns), F.lit(BATCHES)))
+    for b in range(BATCHES):
+        yield b, dealt.where(F.col("_b") == b).select(*columns)
+
+
+@query
+def growing_title_statistics(spark, sf):
+    """Statistics of a title harvest that came in three batches, one of them given twice."""
+    state = IN.State(spark, work_path(spark, "state"), IN.TITLES)
+    index, rules = VW.index_dictionary(spark, sf), VW.suffix_rules(spark)
+    for b, pages in _batches(VW.crawl(spark, sf), "url", "metadata"):
+        for _ in range(2 if b == 1 else 1):
+            IN.add_titles(state, f"b{b}", pages, index, rules, work_path(spark, "titles"))
+    state.compact()
+    return IN.title_statistics(state)
+
+
+def _growing_texts(spark, sf, pages: DataFrame) -> IN.State:
+    state = IN.State(spark, work_path(spark, "state"), IN.TEXTS)
+    profiles = L.profile_table(_profiles(spark, sf))
+    white, rules, stop = VW.whitelist(spark, sf), VW.suffix_rules(spark), VW.stop_words(spark)
+    for b, batch in _batches(pages, "url", "text"):
+        out = work_path(spark, "texts")
+        IN.add_texts(state, f"b{b}", batch, profiles, white, rules, stop, out)
+        if b == 1:
+            state.compact()
+    return state
+
+
+@query
+def growing_texts(spark, sf):
+    """The longest bags of a text harvest that came in three batches."""
+    return _growing_texts(spark, sf, VW.texts(spark, sf)).table("bags")
+
+
+@query
+def growing_text_statistics(spark, sf):
+    """Statistics of a text harvest that came in three batches."""
+    state = _growing_texts(spark, sf, VW.texts_with_errors(spark, sf))
+    return IN.text_statistics(state)
+
+
 # Training -------------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from gleaner.operators.domains import SuffixRules
 from gleaner.operators.joins import Dictionary
 from gleaner.operators.spellings import with_spellings
 from gleaner.operators.words import StopWords
-from gleaner.plans import index, texts, titles, training
+from gleaner.plans import increments, index, texts, titles, training
 from gleaner.session import build_session
 from gleaner.workspace import stage
 
@@ -39,21 +40,37 @@ def _stop_words(spark: SparkSession, args) -> StopWords:
     return StopWords(sources.read_words(spark, args.stop_words))
 
 
+def _batch(args) -> str:
+    return args.batch or os.path.basename(args.segments)
+
+
 def run_titles(spark: SparkSession, args) -> None:
     path = args.index or sources.category_index_path(args.index_dir, args.region, args.variation)
     categories = Dictionary(with_spellings(sources.read_category_index(spark, path), "host"))
     pages = _pages(spark, args, args.value or "metadata").toDF("url", "metadata")
-    titles.run_title_harvest(spark, pages, categories, _rules(spark, args), args.out)
+    if not args.state:
+        titles.run_title_harvest(spark, pages, categories, _rules(spark, args), args.out)
+        return
+    state = increments.State(spark, args.state, increments.TITLES)
+    increments.add_titles(state, _batch(args), pages, categories, _rules(spark, args), args.out)
+    state.compact()
+    increments.title_statistics(state).write.parquet(f"{args.out}/all_statistics")
 
 
 def run_texts(spark: SparkSession, args) -> None:
     pages = _pages(spark, args, args.value or "text").toDF("url", "text")
     profiles = language.profile_table(sources.read_profiles(spark, args.profiles))
     white = Dictionary(with_spellings(sources.read_whitelist(spark, args.whitelist), "domain"))
-    texts.run_text_harvest(
-        spark, pages, profiles, white, _rules(spark, args), _stop_words(spark, args), args.out,
-        args.language,
-    )
+    given = (pages, profiles, white, _rules(spark, args), _stop_words(spark, args), args.out)
+    if not args.state:
+        texts.run_text_harvest(spark, *given, args.language)
+        return
+    state = increments.State(spark, args.state, increments.TEXTS)
+    increments.add_texts(state, _batch(args), *given, args.language)
+    state.compact()
+    sinks.write_lines(sinks.bag_line(state.table("bags")), f"{args.out}/all_bags_tsv")
+    sinks.write_lines(sinks.language_line(state.table("languages")), f"{args.out}/all_languages_tsv")
+    increments.text_statistics(state).write.parquet(f"{args.out}/all_statistics")
 
 
 def _tokenizer(args):
@@ -142,6 +159,12 @@ def parser() -> argparse.ArgumentParser:
             "--tolerance", type=float, default=sources.TOLERANCE,
             help="share of the files that may be unreadable; they are listed in OUT/unreadable",
         )
+        sub.add_argument(
+            "--state",
+            help="folder of a state that these segments are merged into; what all batches give"
+            " together is in OUT/all_*",
+        )
+        sub.add_argument("--batch", help="name of these segments there (default: the list's name)")
         sub.add_argument("--value", help="value column of a columnar input")
         sub.add_argument("--suffix-rules", help="default: the list shipped with Spark")
         if name == "titles":

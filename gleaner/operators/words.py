@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -81,10 +81,19 @@ def longest_bag(df: DataFrame) -> DataFrame:
     Ties go to the greater bag, then the greater domain. The maximum combines on the map side, so
     a URL with very many rows sends one row per task through the shuffle.
     """
+    return _longest(df, F.count(F.lit(1)))
+
+
+def merged_bags(df: DataFrame) -> DataFrame:
+    """The same of rows (url, domain, bag, occurrences) that are themselves longest bags."""
+    return _longest(df, F.sum("occurrences"))
+
+
+def _longest(df: DataFrame, occurrences: Column) -> DataFrame:
     candidate = F.struct(F.octet_length("bag").alias("size"), F.col("bag"), F.col("domain"))
     return (
         df.groupBy("url")
-        .agg(F.max(candidate).alias("_best"), F.count(F.lit(1)).alias("occurrences"))
+        .agg(F.max(candidate).alias("_best"), occurrences.alias("occurrences"))
         .select("url", F.col("_best.domain").alias("domain"), F.col("_best.bag").alias("bag"),
                 "occurrences")
     )

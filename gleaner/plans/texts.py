@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.domains import URL_OK, SuffixRules, with_url_outcome
@@ -103,6 +103,23 @@ def harvest_labelled_texts(
     return longest_bag(page_bags(wanted, whitelist, rules, stop))
 
 
+def _named(df: DataFrame, grp: str, name: Column) -> DataFrame:
+    return df.select(F.lit(grp).alias("grp"), name.alias("name"), "n")
+
+
+def harvest_counts(harvested: DataFrame) -> DataFrame:
+    """(grp, name, n) of the longest bags: how many, and of URLs that occurred how often."""
+    success = harvested.agg(F.count(F.lit(1)).alias("n"))
+    buckets = harvested.groupBy(count_bucket(F.col("occurrences")).alias("name")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return (
+        _named(success, "parse", F.lit("SUCCESS"))
+        .unionByName(_named(buckets, "url_occurrence", F.col("name")))
+        .where(F.col("n") > 0)
+    )
+
+
 def text_statistics(
     prepared: DataFrame, detected: DataFrame, harvested: DataFrame, language: str = LANGUAGE
 ) -> DataFrame:
@@ -121,19 +138,11 @@ def text_statistics(
         .groupBy(F.col("url_outcome").alias("name"))
         .agg(F.sum("n").alias("n"))
     )
-    success = harvested.agg(F.count(F.lit(1)).alias("n"))
-    buckets = harvested.groupBy(count_bucket(F.col("occurrences")).alias("name")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    named = lambda df, grp, name: df.select(
-        F.lit(grp).alias("grp"), name.alias("name"), "n"
-    )
     return (
-        named(undetected, "parse", F.lit("ERR_LANG_DETECT"))
-        .unionByName(named(errors, "parse", F.col("name")))
-        .unionByName(named(success, "parse", F.lit("SUCCESS")))
-        .unionByName(named(buckets, "url_occurrence", F.col("name")))
+        _named(undetected, "parse", F.lit("ERR_LANG_DETECT"))
+        .unionByName(_named(errors, "parse", F.col("name")))
         .where(F.col("n") > 0)
+        .unionByName(harvest_counts(harvested))
     )
 
 

@@ -46,6 +46,22 @@ def test_all_jobs_chain(spark, tmp_path):
     assert lines(spark, tmp_path / "x/bags_tsv")[0] == "http://www.h1.com/1\th1.com\tand:1 ball:1 goal:1"
     assert lines(spark, tmp_path / "x/languages_tsv") == ["0lang:en\t40"]
 
+    grown = ["--state", out("state")]
+    for part in (1, 2):
+        half = spark.read.parquet(out("seg/s1")).where(f"hash(url) % 2 {'=' if part == 1 else '<>'} 0")
+        half.write.parquet(out(f"half/s{part}"))
+        common = ["--segments", put(tmp_path / f"list{part}", f"s{part}\n"), "--template",
+                  out("half") + "/{segment}", "--format", "parquet"]
+        main(["texts", *common, "--profiles", out("profiles"), "--whitelist", white, "--stop-words",
+              stop, *grown, "--out", out(f"g{part}")], spark)
+        main(["titles", *common, "--index", out("index/index_entries"), "--state", out("state_t"),
+              "--out", out(f"gt{part}")], spark)
+    for name in ("bags_tsv", "languages_tsv"):
+        assert lines(spark, tmp_path / f"g2/all_{name}") == lines(spark, tmp_path / f"x/{name}")
+    rows = lambda path: sorted(map(tuple, spark.read.parquet(out(path)).select("grp", "name", "n").collect()))
+    assert rows("g2/all_statistics") == rows("x/statistics")
+    assert rows("gt2/all_statistics") == rows("t/statistics")
+
     assert len(lines(spark, tmp_path / "index/index_entries")) == 4
     main(["training", "--harvest", harvest, "--stop-words", stop, "--documents", "--out", out("tr")],
          spark)
