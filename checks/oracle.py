@@ -612,3 +612,4 @@ WHERE keywords = ''"""),
     "key_ordered_file": _with(*PAGES, body=f"SELECT {_LINE} AS value FROM harvested"),
 }
 ORACLE["growing_text_statistics"] = ORACLE["text_job_statistics"]
+ORACLE["sparse_vectors"] = ORACLE["tfidf"]

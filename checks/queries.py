@@ -435,6 +435,20 @@ def tfidf(spark, sf):
     return rows.withColumn("weight", F.round("weight", DIGITS))
 
 
+@query
+def sparse_vectors(spark, sf):
+    """The weights through lines of sparse vectors, terms and classes by number."""
+    instances = stage(_instances(spark, sf), "instances")
+    vocab = V.vocabulary(V.count_terms(instances), VOCABULARY)
+    paths = TR.export_vectors(instances, vocab, work_path(spark, "sparse"))
+    read = sources.read_vectors(spark, paths["vectors"]).select(
+        F.col("name").alias("url"), "number", F.inline(F.arrays_zip("indices", "values"))
+    )
+    terms = spark.read.parquet(paths["terms"]).select(F.col("index").alias("indices"), "term")
+    named = read.join(terms, "indices").join(spark.read.parquet(paths["classes"]), "number")
+    return named.select("url", "klass", "term", F.round("values", DIGITS).alias("weight"))
+
+
 @query
 def tfidf_normalized(spark, sf):
     copied = stage(_instances_with_copies(spark, sf), "instances")

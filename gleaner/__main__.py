@@ -109,6 +109,7 @@ def run_classifier(spark: SparkSession, args) -> None:
     written(bayes.accuracy(matrix), "accuracy")
     written(bayes.class_metrics(matrix), "class_metrics")
     written(model.vectors(), "vectors")
+    training.export_vectors(model.instances, model.vocabulary, f"{args.out}/sparse")
     if args.documents:
         for size in args.sizes:
             document = sinks.model_json(priors, likelihoods.where(F.col("size") == size))

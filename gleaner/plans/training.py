@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import bayes as B
 from ..operators import vectors as V
-from ..operators.joins import Dictionary
+from ..operators.joins import Dictionary, lookup
 from ..operators.once import with_once
+from ..operators.sparse import numbered, sparse_vectors
 from ..operators.words import StopWords, drop_stop_words
+from ..sinks import vector_line, write_lines
 from ..workspace import stage
 
 # Fixed value: regions whose titles and keywords have no spaces between words.
@@ -123,3 +125,23 @@ def train_classifier(
     vocab = V.vocabulary(counts, max(sizes))
     sums = B.class_sums(instances, vocab, V.cuts(counts, sizes), folds)
     return Classifier(instances, vocab, sums)
+
+
+def export_vectors(instances: DataFrame, vocab: Dictionary, out: str) -> dict[str, str]:
+    """Write sparse TF-IDF vectors as lines, with the tables that say which number is what.
+
+    Instances are (url, klass, …, terms) of a written table. Terms and classes are numbered from 1
+    in their order; an instance without a class has the number 0.
+    """
+    spark = instances.sparkSession
+    paths = {name: f"{out}/{name}" for name in ("terms", "classes", "vectors")}
+    numbered(vocab.select("term", "idf"), "term", "index").write.parquet(paths["terms"])
+    classes = instances.select("klass").where(F.col("klass").isNotNull()).distinct()
+    numbered(classes, "klass", "number").write.parquet(paths["classes"])
+    terms = Dictionary(spark.read.parquet(paths["terms"]))
+    numbers = Dictionary(spark.read.parquet(paths["classes"]))
+    vectors = sparse_vectors(instances.select("url", "klass", "terms"), terms)
+    known = lookup(vectors, numbers.select("klass", "number"), ["klass"], "left", small=numbers.small)
+    lines = vector_line(known.fillna(0, ["number"]), "number", "url")
+    write_lines(lines, paths["vectors"])
+    return paths

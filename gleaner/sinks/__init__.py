@@ -58,6 +58,18 @@ def write_training(rows: DataFrame, path: str) -> None:
     rows.select("tokens", "klass").write.option("quoteAll", True).option("escape", "\\").csv(path)
 
 
+def vector_line(vectors: DataFrame, number: str, name: str) -> DataFrame:
+    """A line a vector (indices, values): class number, index:value pairs, and a name as comment.
+
+    Line ends in a name become spaces; a null name is left out.
+    """
+    pair = lambda i, v: F.concat_ws(":", i.cast("string"), v.cast("string"))
+    comment = F.concat(F.lit("# "), F.regexp_replace(F.col(name).cast("string"), r"[\r\n]", " "))
+    pairs = F.zip_with("indices", "values", pair)
+    number = F.col(number).cast("string")
+    return vectors.select(F.concat_ws(" ", F.array(number), pairs, F.array(comment)).alias("value"))
+
+
 def write_split(rows: DataFrame, path: str) -> None:
     """Lines under split=train, split=validate and split=test."""
     line = F.concat_ws("\t", "url", "title", "keywords", "categories").alias("value")

@@ -286,3 +286,17 @@ def read_harvest(spark: SparkSession, path: str) -> DataFrame:
 def read_harvest_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(line) of the lines that do not have exactly four fields."""
     return _harvest_lines(spark, path).where(F.size("_f") != len(HARVEST_FIELDS)).select("line")
+
+
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """(number, indices, values, name) from lines of sparse vectors; name is the comment, or null."""
+    line = F.split("value", " ?# ", 2)
+    fields = F.filter(F.split(F.get(line, F.lit(0)), " "), lambda f: f != "")
+    pairs = F.transform(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0))), lambda p: F.split(p, ":"))
+    read = spark.read.text(path).select(fields.alias("_f"), F.get(line, F.lit(1)).alias("name"))
+    return read.where(F.size("_f") > 0).select(
+        F.get("_f", F.lit(0)).cast("long").alias("number"),
+        F.transform(pairs, lambda p: p[0].cast("long")).alias("indices"),
+        F.transform(pairs, lambda p: p[1].cast("double")).alias("values"),
+        "name",
+    )
