@@ -35,27 +35,26 @@ def sparse_vectors(instances: DataFrame, terms: Dictionary) -> DataFrame:
 
     Weights are ln(1 + tf) · idf in the order of the index. An instance without a known term has
     empty arrays. Copies are one instance until they are written out again, as many as they were.
-    Instances are shuffled once: their vectors are collected where they are.
+    Entries combine before the only shuffle, which carries numbers and weights but no terms.
     """
     others = [c for c in instances.columns if c != "terms"]
     # Null fields are written too: rows that differ in which field is null are no copies.
     digest = F.md5(F.to_json(F.struct(*others, "terms"), {"ignoreNullFields": "false"}))
-    distinct = (
-        instances.withColumn("_id", digest)
-        .groupBy("_id")
-        .agg(*[F.first(c).alias(c) for c in (*others, "terms")], F.count(F.lit(1)).alias("_copies"))
+    rows = instances.withColumn("_id", digest).select(
+        "_id", *others, F.posexplode_outer("terms").alias("_place", "_t")
     )
-    rows = distinct.select("_id", *others, "_copies", F.inline_outer("terms"))
+    rows = rows.select("_id", *others, "_place", F.col("_t.token").alias("term"), F.col("_t.n").alias("n"))
     known = lookup(
-        rows.withColumnRenamed("token", "term"), terms.select("term", "idf", "index"), ["term"],
-        "left", small=terms.small,
-    )
+        rows, terms.select("term", "idf", "index"), ["term"], "left", small=terms.small
+    )
     entry = F.when(
         F.col("index").isNotNull(),
         F.struct("index", (F.log1p(F.col("n")) * F.col("idf")).alias("weight")),
     )
-    vectors = known.groupBy("_id", *others, "_copies").agg(
-        F.sort_array(F.collect_list(entry)).alias("_entries")
+    # A row's first term, or the row without terms, stands for a copy.
+    vectors = known.groupBy("_id", *others).agg(
+        F.sort_array(F.collect_set(entry)).alias("_entries"),
+        F.count_if(F.coalesce("_place", F.lit(0)) == 0).alias("_copies"),
     )
     rounds = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES)))
     times = F.least(F.lit(COPIES), F.col("_copies") - F.col("_round") * COPIES)
