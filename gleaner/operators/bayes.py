@@ -3,18 +3,22 @@
 The parameters of a fold's model are the overall sums minus the fold's own, so k models cost one
 aggregation of the weights instead of k. Vocabularies are nested, so the sums of the largest serve
 all sizes, and one scoring pass serves all of them too. Classes are rows; there is no limit to them.
+
+ln((W + 1) / below), the log likelihood of a term of weight W in a class, is ln(W + 1), which no
+vocabulary size changes and which is 0 for a term that the class lacks, minus ln(below), which a
+document needs once. So only what classes have is tabled, and for a fold only terms that occur in it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import ScoreTable, block_width, class_index, in_blocks, score, slots
+from .scoring import ScoreTable, best_class, block_of, block_width, class_index, in_slots, line, slots
 from .vectors import with_sizes
 
 FOLDS = 10
@@ -106,11 +110,9 @@ def _weights_left(df: DataFrame, sums: ClassSums, keys: list[str], left_out: boo
     )
 
 
-def _log_likelihoods(sums: ClassSums, left_out: bool) -> tuple[DataFrame, list[str]]:
-    """(size, fold if left_out, term, idf, block, s0 …) and the columns before term."""
+def _below(sums: ClassSums, left_out: bool) -> DataFrame:
+    """(size, fold if left_out, class_idx, klass, below): a class's whole weight and the terms."""
     groups = ["size", "fold"] if left_out else ["size"]
-    per_class = _weights_left(sums.weights, sums, ["term", "total", "idf", "klass"], left_out)
-    per_class = with_sizes(per_class, sums.sizes).join(sums.classes, "klass")
     total = _weights_left(sums.totals, sums, ["size", "terms", "klass"], left_out)
     # A class whose instances have no term of the vocabulary has no sum.
     shapes = F.array(*[F.struct(F.lit(s).alias("size"), F.lit(n).alias("terms")) for s, _, n in sums.sizes])
@@ -119,48 +121,86 @@ def _log_likelihoods(sums: ClassSums, left_out: bool) -> tuple[DataFrame, list[s
     )
     if left_out:
         every = every.withColumn("fold", _each_fold(sums.folds))
-    total = every.join(
+    return every.join(
         total.select(*groups, "klass", F.col("weight").alias("sum")), [*groups, "klass"], "left"
     ).select(
-        *groups, "class_idx", (F.coalesce("sum", F.lit(0.0)) + F.col("terms")).alias("below")
+        *groups, "class_idx", "klass", (F.coalesce("sum", F.lit(0.0)) + F.col("terms")).alias("below")
     )
-    total = stage(total, "likelihoods")
-    scored = per_class.join(total, [*groups, "class_idx"]).select(
-        *groups, "term", "idf", "class_idx",
-        F.log((F.col("weight") + 1.0) / F.col("below")).alias("score"),
-    )
-    absent = total.select(*groups, "class_idx", F.log(1.0 / F.col("below")).alias("score"))
-    return in_blocks(scored, [*groups, "term", "idf"], absent, groups, sums.width), groups
+
+
+TERM = ["term", "total", "idf"]
+
+
+def _by_block(sums: ClassSums, keys: list[str]) -> DataFrame:
+    """(keys, block, s0 …) sums of weight; terms of no class are in block 0."""
+    known = sums.weights.join(sums.classes, "klass", "left")
+    block = F.coalesce(block_of(sums.width), F.lit(0)).alias("block")
+    return known.groupBy(*keys, block).agg(*in_slots(F.col("weight"), sums.width))
 
 
 def likelihoods(sums: ClassSums) -> DataFrame:
     """(size, token, log_likelihood ARRAY<DOUBLE>) in class_idx order."""
-    table, _ = _log_likelihoods(sums, left_out=False)
-    block = F.struct("block", F.array(*slots(sums.width)).alias("s"))
-    joined = F.flatten(F.transform(F.sort_array(F.collect_list(block)), lambda b: b["s"]))
-    return table.groupBy("size", F.col("term").alias("token")).agg(
-        F.slice(joined, 1, max(1, sums.classes.count())).alias("log_likelihood")
+    entry = F.struct("block", F.array(*slots(sums.width)).alias("s"))
+    by_term = _by_block(sums, TERM).groupBy("term", "total").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("own")
     )
+    in_order = F.sort_array(F.collect_list(F.struct("class_idx", "below")))
+    below = Dictionary(_below(sums, left_out=False).groupBy("size").agg(in_order.alias("classes")))
+    rows = lookup(with_sizes(by_term, sums.sizes), below.df, ["size"], small=below.small)
+
+    def one(c):
+        block = F.try_element_at("own", (c["class_idx"] / sums.width).cast("int"))
+        weight = F.coalesce(F.get(block, c["class_idx"] % sums.width), F.lit(0.0))
+        return F.log((weight + 1.0) / c["below"])
+
+    return rows.select("size", F.col("term").alias("token"), F.transform("classes", one).alias("log_likelihood"))
+
+
+def _above(sums: ClassSums, left_out: bool) -> DataFrame:
+    """(fold if left_out, term, total, idf, block, s0 …): sums of weight; with fold: those of the other
+    folds, for the terms that occur in it."""
+    names = slots(sums.width)
+    if not left_out:
+        return _by_block(sums, TERM)
+    own = stage(_by_block(sums, ["fold", *TERM]), "blocks")
+    every = own.groupBy(*TERM, "block").agg(*[F.sum(s).alias(s) for s in names])
+    mine = own.select("fold", "term", "block", *[F.col(s).alias(f"_{s}") for s in names])
+    rows = own.select("fold", "term").distinct().join(every, "term")
+    rows = rows.join(mine, ["fold", "term", "block"], "left")
+    without = [
+        F.greatest(F.col(s) - F.coalesce(f"_{s}", F.lit(0.0)), F.col(s) * 0).alias(s) for s in names
+    ]
+    return rows.select("fold", *TERM, "block", *without)
 
 
 def _model(sums: ClassSums, left_out: bool) -> ScoreTable:
-    """Log likelihoods times idf, so that scoring multiplies ln(1 + tf) only."""
-    table, groups = _log_likelihoods(sums, left_out)
-    table = table.select(*groups, "term", "block", *[(F.col(s) * F.col("idf")).alias(s) for s in slots(sums.width)])
-    sizes = F.explode(F.array(*[F.lit(s) for s, _, _ in sums.sizes])).alias("size")
-    classes = stage(_log_priors(sums, left_out).select("*", sizes), "priors")
-    on = ["fold", "term"] if left_out else ["term"]
-    return ScoreTable(Dictionary(table), on, classes, sums.width, ["size"])
+    """ln(W + 1) times idf, so that scoring multiplies ln(1 + tf) only."""
+    fold = ["fold"] if left_out else []
+    weights = _above(sums, left_out)
+    first = F.col("block") == F.min("block").over(Window.partitionBy(*fold, "term"))
+    table = weights.select(
+        *fold, "term", "total", "block",
+        F.when(first, F.col("idf")).otherwise(0.0).alias("known"),
+        *[(F.log1p(s) * F.col("idf")).alias(s) for s in slots(sums.width)],
+    )
+    per = ["size", *fold]
+    starts = _log_priors(sums, left_out).select(*fold, "class_idx", "log_prior")
+    lines = _below(sums, left_out).join(starts, [*fold, "class_idx"]).groupBy(*per).agg(
+        line(F.col("klass"), F.col("log_prior"), -F.log("below"))
+    )
+    return ScoreTable(Dictionary(table), [*fold, "term"], Dictionary(lines), sums.width, per)
 
 
 def _scored(instances: DataFrame, sums: ClassSums, keys: list[str], left_out: bool) -> DataFrame:
+    model = _model(sums, left_out)
     rows = instances.select(*keys, F.inline("terms")).select(
         *keys, F.col("token").alias("term"), F.log1p(F.col("n")).alias("weight")
     )
-    copies = instances.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return score(
-        rows, keys, copies, _model(sums, left_out), F.col("log_prior"), ["fold"] if left_out else []
-    ).select("size", *keys, "copies", F.col("best").alias("prediction"))
+    met = lookup(rows, model.table.df, model.on, small=model.table.small)
+    sizes = F.explode(F.array(*[F.lit(s) for s, _, _ in sums.sizes])).alias("size")
+    every = instances.select(*keys, F.lit(1).alias("copies"), sizes)
+    best = best_class(with_sizes(met, sums.sizes), ["size", *keys], every, model, always=True)
+    return best.withColumnRenamed("best", "prediction")
 
 
 def predict(instances: DataFrame, sums: ClassSums, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from ..functions import ngrams as G
 from ..functions.text import run_lengths
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import ScoreTable, block_width, class_index, in_blocks, score, slots
+from .scoring import ScoreTable, best_class, block_of, block_width, class_index, in_slots, line, slots
 
 # Fixed value: added to every n-gram frequency before the logarithm.
 SMOOTHING = 0.5 / 10_000
@@ -53,20 +53,26 @@ def build_profiles(texts: DataFrame, text: str = "text", lang: str = "lang") ->
 
 
 def profile_table(profiles: DataFrame) -> ScoreTable:
-    """Log frequencies of n-grams by language."""
+    """Log frequencies of n-grams by language, above that of an n-gram the language lacks.
+
+    That one is the same for all languages, so nothing is to be added for a document's total.
+    """
     classes = stage(class_index(profiles, "lang"), "languages")
+    width = block_width(classes)
+    above = F.log(F.sum(F.col("cnt") / F.col("all")) + F.lit(SMOOTHING)) - F.log(F.lit(SMOOTHING))
     logs = (
         profiles.where(F.length("ngram").between(1, G.MAX_N))
         .withColumnsRenamed({"lang": "klass", "ngram": "term"})
         .withColumn("all", F.get("n_words", F.length("term") - 1))
         .join(classes, "klass")
         .groupBy("term", "class_idx")
-        .agg(F.log(F.sum(F.col("cnt") / F.col("all")) + F.lit(SMOOTHING)).alias("score"))
+        .agg(above.alias("above"))
     )
-    absent = classes.select("class_idx", F.log(F.lit(SMOOTHING)).alias("score"))
-    width = block_width(classes)
-    rows = Dictionary(in_blocks(logs, ["term"], absent, [], width))
-    return ScoreTable(rows, ["term"], classes, width)
+    table = logs.groupBy("term", block_of(width).alias("block")).agg(
+        *in_slots(F.col("above"), width, F.max)
+    )
+    lines = classes.agg(line(F.col("klass"), F.lit(0.0), F.lit(0.0)))
+    return ScoreTable(Dictionary(table), ["term"], Dictionary(lines), width)
 
 
 def _ngram_rows(words: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,12 +90,12 @@ def word_scores(docs: DataFrame, text: str, table: ScoreTable) -> Dictionary | N
     """
     if not table.table.small:
         return None
-    blocks = -(-table.classes.count() // table.width)
+    blocks = table.table.select("block").distinct().count()
     some = docs.select(text).sample(WORD_SAMPLE, seed=0)
     seen = some.select(F.inline(run_lengths(G.language_words(F.col(text)))))
     common = (
         seen.groupBy("token").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "token").limit(max(1, WORDS // blocks)).select("token")
+        .orderBy(F.desc("n"), "token").limit(max(1, WORDS // max(1, blocks))).select("token")
     )
     sums = [F.sum(s).alias(s) for s in slots(table.width)]
     grams = lookup(_ngram_rows(common, ["token"]), table.table.df, ["term"], small=True)
@@ -116,7 +122,8 @@ def detect_language(
     whole = word_scores(docs, text, table)
     if whole is None or not whole.small:
         weighted = _ngram_rows(words, [*key, "weight"])
-        return score(weighted, key, copies, table).withColumnRenamed("best", "lang")
+        met = lookup(weighted, table.table.df, table.on, small=table.table.small)
+        return best_class(met, key, copies, table).withColumnRenamed("best", "lang")
     names = slots(table.width)
     known = words.join(F.broadcast(whole.df), "token", "left")
     columns = [*key, "weight", "block", *names]
@@ -128,7 +135,7 @@ def detect_language(
     both = terms.join(F.broadcast(single), "term", "left").select(
         *key, "weight", *[F.coalesce(c, f"_{c}").alias(c) for c in ("block", *names)]
     )
-    found = score(both.where(F.col("block").isNotNull()), key, copies, table, met=True)
+    found = best_class(both.where(F.col("block").isNotNull()), key, copies, table)
     return found.withColumnRenamed("best", "lang")
 
 

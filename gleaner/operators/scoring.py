@@ -1,8 +1,10 @@
 """Summed class scores of weighted terms, shared by language detection and naive Bayes.
 
-Classes are rows, put into blocks of at most BLOCK slots, and of no more than there are classes: a
-term has one row per block, so a few classes cost one row a term and as many sums as there are
-classes, and there is no limit to their number.
+A class that lacks a term scores it with an absent score of its own. Tables hold only what a class
+that has the term scores above that, and only for the blocks of classes it occurs in (of at most
+BLOCK slots, and of no more than there are classes); what all absent scores come to is added once a
+document, from its weight total. So the work grows with the classes that terms occur in, not with
+all there are.
 """
 
 from __future__ import annotations
@@ -36,100 +38,89 @@ def class_index(names: DataFrame, column: str) -> DataFrame:
 
 @dataclass
 class ScoreTable:
-    """table: (on, groups, block, s0 …), a row for each term, group and block of `width` slots.
-    classes: (groups, class_idx, klass, …) with what `score` adds to a class's sum. Groups are scored
-    apart."""
+    """table: (on, block, s0 …), a row for each term and block in which one of its classes is: how far
+    the class's score of the term lies above its absent score, null for a class without the term.
+    lines: (per, lines), an array by class_idx of (klass, start, slope): a document that lacks all
+    terms of the class scores start + slope · (sum of weight · known)."""
 
     table: Dictionary
     on: list[str]
-    classes: DataFrame
+    lines: Dictionary
     width: int
-    groups: list[str] = field(default_factory=list)
+    per: list[str] = field(default_factory=list)
 
 
-def in_blocks(
-    scores: DataFrame, keys: list[str], absent: DataFrame, groups: list[str], width: int
-) -> DataFrame:
-    """(keys, block, s0 …) from rows (keys, class_idx, score); a class without a row for a key has
-    the score that `absent` (groups, class_idx, score) names. groups are among the keys."""
-    block = (F.col("class_idx") / width).cast("int")
+def block_of(width: int) -> Column:
+    return (F.col("class_idx") / width).cast("int")
+
+
+def in_slots(value: Column, width: int, combine=F.sum) -> list[Column]:
+    """Aggregates s0 …, of a value by the slot of its class; null for classes without a row."""
     slot = F.col("class_idx") % width
-    names = slots(width)
-    filled = [F.max(F.when(slot == i, F.col("score"))).alias(s) for i, s in enumerate(names)]
-    rest = absent.groupBy(*groups, block.alias("block")).agg(*filled)
-    rest = rest.withColumnsRenamed({s: f"_{s}" for s in names})
-    blocks = rest.select(*groups, "block")
-    every = scores.select(*keys).distinct()
-    # Each key once per block of its group: as many rows as the result has.
-    every = every.withColumn("_one", F.lit(1)).join(
-        F.broadcast(blocks.withColumn("_one", F.lit(1))), [*groups, "_one"]
-    )
-    dense = every.select(*keys, F.lit(None).cast("double").alias("score"),
-                         (F.col("block") * width).cast("int").alias("class_idx"))
-    both = dense.unionByName(scores.select(*keys, "score", "class_idx"))
-    wide = both.groupBy(*keys, block.alias("block")).agg(*filled)
-    return wide.join(F.broadcast(rest), [*groups, "block"]).select(
-        *keys, "block", *[F.coalesce(s, f"_{s}").alias(s) for s in names]
-    )
+    return [combine(F.when(slot == i, value)).alias(s) for i, s in enumerate(slots(width))]
 
 
-def score(
-    weighted: DataFrame,
-    keys: list[str],
-    copies: DataFrame,
-    table: ScoreTable,
-    prior: Column | None = None,
-    per_prior: list[str] | None = None,
-    met: bool = False,
+def line(klass: Column, start: Column, slope: Column) -> Column:
+    """An aggregate: the lines of a group's classes, in order."""
+    one = F.struct("class_idx", klass.alias("klass"), start.alias("start"), slope.alias("slope"))
+    return F.sort_array(F.collect_list(one)).alias("lines")
+
+
+def best_class(
+    met: DataFrame, keys: list[str], docs: DataFrame, table: ScoreTable, always: bool = False
 ) -> DataFrame:
-    """(keys, groups, copies, best) from rows (keys, term, weight); with met, from rows that have
-    met their scores: (keys, weight, block, s0 …).
-
-    copies (keys, copies) counts the documents of a key: exact copies share their keys, so their
-    sums grow alike and are divided by that number. Terms missing from the table are ignored; best
-    is null without any known term, unless classes have a prior (then the greatest prior wins). Sums
-    combine before the shuffle: what is shuffled are a document's class sums, never its terms. Among
-    equal scores the first class wins. per_prior: columns of keys that choose a class's prior.
+    """(keys, copies, best) for each of docs (keys, copies), from terms that have met their scores:
+    (keys, weight, block, s0 …) and, where lines have slopes, known.
+
+    A term's known counts in one of its rows only. Copies of a document share their keys, so their
+    sums grow alike and are divided by their number. best is null for a document without any known
+    term, unless `always`: then all classes compete, with no more than their lines. A class above its
+    line is above it by its slots, so both together give the maximum over all classes. Among equal
+    scores the first class wins. Sums combine before the shuffle: what is shuffled are a document's
+    class sums, never its terms.
     """
-    groups, per_prior, names = table.groups, per_prior or [], slots(table.width)
-    if not met:
-        weighted = lookup(weighted, table.table.df, table.on, "inner", small=table.table.small)
-    sums = (
-        weighted.groupBy(*keys, *groups, "block")
-        .agg(*[F.sum(F.col("weight") * F.col(s)).alias(s) for s in names])
+    names = slots(table.width)
+    sums = [F.sum(F.col("weight") * F.col(s)).alias(s) for s in names]
+    sloped = "known" in met.columns
+    if sloped:
+        sums.append(F.sum(F.col("weight") * F.col("known")).alias("known"))
+    summed = met.groupBy(*keys, "block").agg(*sums).select(
+        *keys,
+        (F.col("known") if sloped else F.lit(0.0)).alias("known"),
+        F.struct("block", F.array(*names).alias("sums")).alias("part"),
+        F.lit(0).cast("long").alias("copies"),
     )
-    if prior is not None:
-        # Every document meets every block, whether or not one of its terms is known.
-        blocks = table.classes.select(*groups, (F.col("class_idx") / table.width).cast("int").alias("block"))
-        every = copies.withColumn("_one", F.lit(1)).join(
-            F.broadcast(blocks.distinct().withColumn("_one", F.lit(1))), "_one"
-        ).drop("_one")
-        sums = every.join(sums, [*keys, *groups, "block"], "left")
-    else:
-        sums = sums.join(copies, keys)
-    slot = (F.col("class_idx") % table.width).cast("int")
-    head = table.classes.select(
-        *groups, *per_prior, (F.col("class_idx") / table.width).cast("int").alias("block"),
-        F.struct(slot.alias("slot"), (F.lit(0.0) if prior is None else prior).alias("prior"),
-                 "klass", "class_idx").alias("k"),
-    ).groupBy(*groups, *per_prior, "block").agg(F.sort_array(F.collect_list("k")).alias("ks"))
-    scored = F.transform(
-        "ks",
-        lambda k: F.struct(
-            F.round(
-                k["prior"]
-                + F.coalesce(F.get(F.array(*names), k["slot"]), F.lit(0.0)) / F.col("copies"),
-                SCORE_DIGITS,
-            ).alias("score"),
-            (-k["class_idx"]).alias("first"),
-            k["klass"].alias("klass"),
-        ),
+    part = summed.schema["part"].dataType
+    every = docs.select(
+        *keys, F.lit(0.0).alias("known"), F.lit(None).cast(part).alias("part"),
+        F.col("copies").cast("long").alias("copies"),
+    )
+    # A document has as many parts as there are blocks with a class of its terms.
+    found = summed.unionByName(every).groupBy(*keys).agg(
+        F.sum("known").alias("known"), F.sum("copies").alias("copies"), F.collect_list("part").alias("parts")
     )
-    # A row of `head` has at most BLOCK classes; there are as few as there are blocks of classes.
-    best = sums.join(F.broadcast(head), [*groups, *per_prior, "block"]).select(
-        *keys, *groups, F.array_max(scored).alias("best")
-    )
-    best = best.groupBy(*keys, *groups).agg(F.max("best")["klass"].alias("best"))
-    if groups:
-        return copies.join(best, keys).select(*keys, *groups, "copies", "best")
-    return copies.join(best, keys, "left").select(*keys, "copies", "best")
+    if table.per:
+        found = lookup(found, table.lines.df, table.per, small=table.lines.small)
+    else:
+        found = found.withColumn("lines", table.lines.select("lines").scalar())
+
+    def candidate(class_idx: Column, own: Column, above: Column) -> Column:
+        total = own["start"] + (own["slope"] * F.col("known") + above) / F.col("copies")
+        return F.struct(
+            F.round(total, SCORE_DIGITS).alias("score"),
+            (-class_idx).alias("first"),
+            own["klass"].alias("klass"),
+        )
+
+    def of_part(p: Column) -> Column:
+        def one(v: Column, i: Column) -> Column:
+            at = p["block"] * table.width + i
+            return candidate(at, F.get("lines", at), F.coalesce(v, F.lit(0.0)))
+
+        return F.array_max(F.transform(p["sums"], one))
+
+    best = F.array_max(F.transform("parts", of_part))
+    if always:
+        alone = F.transform("lines", lambda own: candidate(own["class_idx"], own, F.lit(0.0)))
+        best = F.array_max(F.array(best, F.array_max(alone)))
+    return found.select(*keys, "copies", best["klass"].alias("best"))
