@@ -9,32 +9,37 @@ chance of a miss. Retrieved pairs are checked on the words: the share of the tem
 shingles in the window must be LEAST or more.
 
 A band can only collide where a window holds a shingle of a template, so windows that hold none are
-not built (a look-up of each shingle's hash among the templates').
+not built. Hashes of up to INLINE shingles of templates are looked up inside the row; of more, by a
+join of the texts' shingles with the templates'. Both give the same places.
 
-Templates are a table (license, text) that the caller gives; at most TEMPLATE_WORDS words in all,
-which bounds what is broadcast. The default ones are common notices.
+Templates are a table (license, text) of any size that the caller gives. Their words, bands and
+shingles stay tables; a join broadcasts them only behind their measured size, and is a salted
+shuffle beyond it. The default ones are common notices.
 
 Defined results: null and empty texts match nothing; templates of fewer than five words are one
 shingle, empty ones are no template; rows that repeat a doc_id are scanned alike and give one row a
-license; a null doc_id stays null; further columns are ignored. No document is shuffled but the few
-matches, to bring the windows of one document and license together.
+license; a null doc_id stays null; further columns are ignored; empty tables of documents or
+templates match nothing; a long text is one row, and its windows are rows of their own. With few
+templates no document is shuffled but the few matches, to bring the windows of one document and
+license together.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import Dictionary, lookup
 from .common import stage, table
 from .fingerprints import let
 
 SHINGLE = 5
 LEAST = 0.75
 MISS = 1e-5
-TEMPLATE_WORDS = 20_000
+#: Hashes of template shingles that a query holds as literals.
+INLINE = 20_000
 
 # Notices as licenses are commonly named.
 NOTICES = (
@@ -108,16 +113,19 @@ def geometry(length: int) -> tuple[int, int]:
     return length + step - SHINGLE, step
 
 
-def bands_for(length: int, shingles: list[int]) -> int:
-    """Bands with which a window that holds LEAST of any of the templates is found."""
-    window, _ = geometry(length)
-    fewest = 1.0
-    for own in shingles:
-        need = math.ceil(LEAST * own)
-        fewest = min(fewest, need / (window + own - need))
+def bands_for(fewest: float) -> int:
+    """Bands with which two sets of at least this resemblance collide, but for a chance of MISS."""
     return max(1, math.ceil(math.log(MISS) / math.log(1 - min(fewest, 0.999))))
 
 
+def resemblance(length: Column) -> Column:
+    """Of a template's shingles and those of a window of its class that holds LEAST of them."""
+    own = F.size(F.array_distinct("h"))
+    need = F.ceil(F.lit(LEAST) * own)
+    step = F.greatest(F.floor(length / 4), F.lit(2))
+    return need / (length + step - SHINGLE + own - need)
+
+
 def signature(hashes: Column, bands: int) -> Column:
     """The least of each band's hashes over a window's shingles."""
     return F.transform(
@@ -126,74 +134,82 @@ def signature(hashes: Column, bands: int) -> Column:
     )
 
 
+def split(text: Column) -> Column:
+    """Words and shingle hashes of a text."""
+    return let(plain_words(text), lambda w: F.struct(w.alias("w"), shingle_hashes(w).alias("h")))
+
+
 def find_licenses(docs: DataFrame, templates: DataFrame | None = None) -> DataFrame:
     """(doc_id, license, first_word, containment): each license of a document once, with the first
     word of the first window that holds most of it and the share it holds."""
     spark = docs.sparkSession
     templates = notices(spark) if templates is None else templates
-    words = plain_words(F.col("text"))
-    known = (
-        templates.where(F.col("license").isNotNull())
-        .select("license", let(words, lambda w: F.struct(w.alias("w"), shingle_hashes(w).alias("h"))).alias("t"))
-        .select("license", "t.*")
-        .where(F.size("w") > 0)
-        .limit(TEMPLATE_WORDS + 1)
-        .collect()
-    )
-    if sum(len(row["w"]) for row in known) > TEMPLATE_WORDS:
-        raise ValueError(f"the templates have over {TEMPLATE_WORDS} words")
+    known = templates.where(F.col("license").isNotNull()).select("license", split(F.col("text")).alias("t"))
+    known = stage(known.select("license", "t.*").where(F.size("w") > 0), "templates")
+    longest = known.agg(F.max(F.size("w"))).first()[0]
     nothing = spark.createDataFrame(
         [], "doc_id long, license string, first_word long, containment double"
     )
-    if not known:
+    if longest is None:
         return nothing
-    classes = defaultdict(list)
-    for row in known:
-        classes[class_of(len(row["w"]))].append(row)
-    hashes = sorted({h for row in known for h in row["h"]})
-
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        let(words, lambda w: F.struct(w.alias("w"), shingle_hashes(w).alias("h"))).alias("t"),
-    )
-    # Where a template's shingle stands; documents without one are done.
-    near = let(
-        F.col("t.h"),
-        lambda hs: F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size(hs) - 1, F.lit(0))),
-            lambda i: F.get(hs, i).isin(hashes),
-        ),
-    )
-    rows = rows.select("doc_id", "t", near.alias("near")).where(F.size("near") > 0)
+    sizes = [class_of(1)]  # they grow by a third or more, so there are few, whatever the templates
+    while sizes[-1] < longest:
+        sizes.append(class_of(sizes[-1] + 1))
+    fitting = F.filter(F.array(*[F.lit(n) for n in sizes]), lambda n: n >= F.size("w"))
+    known = known.withColumn("length", F.array_min(fitting))
+    classes = known.groupBy("length").agg(F.min(resemblance(F.col("length"))).alias("fewest")).collect()
+
+    rows = _with_places(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), known)
     rows = stage(rows, "licenses")  # texts are read once, whatever the number of classes
-
-    found = nothing.select("doc_id", "license", "first_word", "containment")
-    for length, own in sorted(classes.items()):
-        found = found.unionByName(_scanned(rows, length, own))
+    found = nothing
+    for row in sorted(classes):
+        own = known.where(F.col("length") == row["length"])
+        found = found.unionByName(_scanned(rows, row["length"], bands_for(row["fewest"]), own))
     return found.groupBy("doc_id", "license").agg(
         F.min_by("first_word", F.struct(-F.col("containment"), "first_word")).alias("first_word"),
         F.max("containment").alias("containment"),
     )
 
 
-def _scanned(rows: DataFrame, length: int, own: list) -> DataFrame:
+def _with_places(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, t, near) of texts with a shingle of a template; near are its places, in order."""
+    hashes = stage(known.select(F.explode("h").alias("h")).distinct(), "shingles")
+    if hashes.count() <= INLINE:
+        literals = sorted(row["h"] for row in hashes.collect())
+        near = let(
+            F.col("t.h"),
+            lambda hs: F.filter(
+                F.sequence(F.lit(0), F.greatest(F.size(hs) - 1, F.lit(0))),
+                lambda i: F.get(hs, i).isin(literals),
+            ),
+        )
+        rows = docs.select("doc_id", split(F.col("text")).alias("t"))
+        return rows.select("doc_id", "t", near.alias("near")).where(F.size("near") > 0)
+    texts = Dictionary(hashes)
+    same = F.md5(F.concat_ws(" ", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))))
+    docs = docs.select("doc_id", "text", same.alias("same"))
+    places = docs.select("same", F.posexplode(split(F.col("text"))["h"]).alias("at", "h"))
+    met = lookup(places, texts.df, ["h"], "left_semi", small=texts.small)
+    near = Dictionary(met.groupBy("same").agg(F.sort_array(F.collect_set("at")).alias("near")))
+    return lookup(docs, near.df, ["same"], small=near.small).select(
+        "doc_id", split(F.col("text")).alias("t"), "near"
+    )
+
+
+def _scanned(rows: DataFrame, length: int, bands: int, own: DataFrame) -> DataFrame:
     """Matches of one class of templates."""
-    spark = rows.sparkSession
     window, step = geometry(length)
-    bands = bands_for(length, [len(set(row["h"])) for row in own])
-    template = spark.createDataFrame(
-        [
-            (
-                row["license"],
-                sorted({" ".join(row["w"][i : i + SHINGLE]) for i in range(len(row["h"]))}),
-                sorted(set(row["h"])),
-            )
-            for row in own
-        ],
-        "license string, shingles array<string>, hashes array<bigint>",
-    )
-    banded = template.select(
-        "license", "shingles", F.posexplode(signature(F.col("hashes"), bands)).alias("band", "least")
+
+    def shingles(words: Column) -> Column:
+        steps = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
+        return F.transform(steps, lambda i: shingle(words, i))
+
+    banded = Dictionary(
+        own.select(
+            "license",
+            F.array_distinct(shingles(F.col("w"))).alias("shingles"),
+            F.posexplode(signature(F.array_distinct("h"), bands)).alias("band", "least"),
+        )
     )
     numbers = F.array_distinct(
         F.flatten(
@@ -221,14 +237,8 @@ def _scanned(rows: DataFrame, length: int, own: list) -> DataFrame:
         "words",
         F.posexplode(signature(F.col("hashes"), bands)).alias("band", "least"),
     )
-    # Templates are bounded by TEMPLATE_WORDS.
-    met = cut.join(F.broadcast(banded), ["band", "least"]).select(
-        "doc_id", "license", "first_word", "words", "shingles"
-    )
-    held = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0))),
-        lambda i: shingle(F.col("words"), i),
-    )
+    met = lookup(cut, banded.df, ["band", "least"], small=banded.small)
+    held = shingles(F.col("words"))
     share = F.size(F.array_intersect("shingles", held)) / F.size("shingles")
     return met.select("doc_id", "license", "first_word", share.alias("containment")).where(
         F.col("containment") >= LEAST

@@ -28,3 +28,22 @@ def test_partial_and_given_templates(spark, documents):
     got = {(r.doc_id, r.license): round(r.containment, 3) for r in L.find_licenses(docs, templates).collect()}
     assert got == {(1, "own"): round(31 / 36, 3), (4, "tiny"): 1.0}
     assert L.find_licenses(docs, templates.limit(0)).count() == 0
+
+
+def test_many_templates_by_a_join_of_shingles(spark, documents, edges, nothing, monkeypatch):
+    # 300,000 words of templates, of several length classes.
+    templates = spark.range(150).selectExpr(
+        "concat('own', id) AS license",
+        "array_join(transform(sequence(1, 1800 + 3 * id), i -> concat('w', xxhash64(id, i))), ' ') AS text",
+    )
+    texts = {r.license: r.text for r in templates.where("license IN ('own0', 'own77', 'own149')").collect()}
+    docs = [(i, f"{FILL} {text} {FILL}") for i, text in enumerate(texts.values())]
+    docs += [(None, texts["own77"]), (8, texts["own0"][: len(texts["own0"]) // 2]), (9, FILL), (9, None)]
+    got = {(r.doc_id, r.license, r.containment) for r in L.find_licenses(documents(docs), templates).collect()}
+    assert got == {(i, name, 1.0) for i, name in enumerate(texts)} | {(None, "own77", 1.0)}
+
+    few = documents([(1, L.NOTICES[7][1]), (1, L.NOTICES[7][1]), (2, f"{FILL} {L.NOTICES[0][1]}"), (3, FILL)])
+    inline = sorted(L.find_licenses(few).collect())
+    monkeypatch.setattr(L, "INLINE", 0)
+    assert sorted(L.find_licenses(few).collect()) == inline and len(inline) == 2
+    assert L.find_licenses(edges).count() == 0 and L.find_licenses(nothing).count() == 0
