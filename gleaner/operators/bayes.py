@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import ScoreTable, best_class, block_of, block_width, class_index, in_slots, line, slots
+from .scoring import (
+    ScoreTable, best_class, block_of, block_width, class_index, class_parts_by_size, in_slots, line, slots,
+)
 from .vectors import with_sizes
 
 FOLDS = 10
@@ -199,7 +201,8 @@ def _scored(instances: DataFrame, sums: ClassSums, keys: list[str], left_out: bo
     met = lookup(rows, model.table.df, model.on, small=model.table.small)
     sizes = F.explode(F.array(*[F.lit(s) for s, _, _ in sums.sizes])).alias("size")
     every = instances.select(*keys, F.lit(1).alias("copies"), sizes)
-    best = best_class(with_sizes(met, sums.sizes), ["size", *keys], every, model, always=True)
+    parts = class_parts_by_size(met, keys, sums.width, sums.sizes)
+    best = best_class(parts, ["size", *keys], every, model, always=True)
     return best.withColumnRenamed("best", "prediction")
 
 

@@ -9,7 +9,9 @@ from ..functions import ngrams as G
 from ..functions.text import run_lengths
 from ..workspace import stage
 from .joins import Dictionary, lookup
-from .scoring import ScoreTable, best_class, block_of, block_width, class_index, in_slots, line, slots
+from .scoring import (
+    ScoreTable, best_class, block_of, block_width, class_index, class_parts, in_slots, line, slots,
+)
 
 # Fixed value: added to every n-gram frequency before the logarithm.
 SMOOTHING = 0.5 / 10_000
@@ -123,7 +125,7 @@ def detect_language(
     if whole is None or not whole.small:
         weighted = _ngram_rows(words, [*key, "weight"])
         met = lookup(weighted, table.table.df, table.on, small=table.table.small)
-        return best_class(met, key, copies, table).withColumnRenamed("best", "lang")
+        return best_class(class_parts(met, key, table.width), key, copies, table).withColumnRenamed("best", "lang")
     names = slots(table.width)
     known = words.join(F.broadcast(whole.df), "token", "left")
     columns = [*key, "weight", "block", *names]
@@ -135,8 +137,8 @@ def detect_language(
     both = terms.join(F.broadcast(single), "term", "left").select(
         *key, "weight", *[F.coalesce(c, f"_{c}").alias(c) for c in ("block", *names)]
     )
-    found = best_class(both.where(F.col("block").isNotNull()), key, copies, table)
-    return found.withColumnRenamed("best", "lang")
+    parts = class_parts(both.where(F.col("block").isNotNull()), key, table.width)
+    return best_class(parts, key, copies, table).withColumnRenamed("best", "lang")
 
 
 def language_counts(detected: DataFrame) -> DataFrame:

@@ -66,30 +66,66 @@ def line(klass: Column, start: Column, slope: Column) -> Column:
     return F.sort_array(F.collect_list(one)).alias("lines")
 
 
-def best_class(
-    met: DataFrame, keys: list[str], docs: DataFrame, table: ScoreTable, always: bool = False
-) -> DataFrame:
-    """(keys, copies, best) for each of docs (keys, copies), from terms that have met their scores:
-    (keys, weight, block, s0 …) and, where lines have slopes, known.
-
-    A term's known counts in one of its rows only. Copies of a document share their keys, so their
-    sums grow alike and are divided by their number. best is null for a document without any known
-    term, unless `always`: then all classes compete, with no more than their lines. A class above its
-    line is above it by its slots, so both together give the maximum over all classes. Among equal
-    scores the first class wins. Sums combine before the shuffle: what is shuffled are a document's
-    class sums, never its terms.
+def class_parts(met: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """(keys, known, part), a row for each of a document's blocks, from terms that have met their
+    scores: (keys, weight, block, s0 …) and, where lines have slopes, known.
+
+    A term's known counts in one of its rows only. Sums combine before the shuffle: what is shuffled
+    are a document's class sums, never its terms.
     """
-    names = slots(table.width)
+    names = slots(width)
     sums = [F.sum(F.col("weight") * F.col(s)).alias(s) for s in names]
     sloped = "known" in met.columns
     if sloped:
         sums.append(F.sum(F.col("weight") * F.col("known")).alias("known"))
-    summed = met.groupBy(*keys, "block").agg(*sums).select(
+    return met.groupBy(*keys, "block").agg(*sums).select(
         *keys,
         (F.col("known") if sloped else F.lit(0.0)).alias("known"),
         F.struct("block", F.array(*names).alias("sums")).alias("part"),
-        F.lit(0).cast("long").alias("copies"),
     )
+
+
+def class_parts_by_size(
+    met: DataFrame, keys: list[str], width: int, sizes: list[tuple[int, int, int]]
+) -> DataFrame:
+    """(size, keys, known, part): the same for all nested vocabularies (size, cut, terms) at once.
+
+    A term's row carries its total and known. It is looked at once, and its scores are added to the
+    sums of every size it is in, side by side; only a document's sums are dealt out to the sizes.
+    """
+    names = ["known", *slots(width)]
+    sums = []
+    for i, (_, cut, _) in enumerate(sizes):
+        fits = F.col("total") >= cut
+        sums += [
+            F.sum(F.when(fits, F.col("weight") * F.col(s))).alias(f"_{s}_{i}") for s in names
+        ]
+    summed = met.groupBy(*keys, "block").agg(*sums)
+    each = [
+        F.struct(
+            F.lit(size).alias("size"),
+            F.col(f"_known_{i}").alias("known"),
+            F.struct("block", F.array(*[f"_{s}_{i}" for s in names[1:]]).alias("sums")).alias("part"),
+        )
+        for i, (size, _, _) in enumerate(sizes)
+    ]
+    dealt = summed.select(*keys, F.explode(F.array(*each)).alias("_s"))
+    # A size that none of the document's terms is in has no sum.
+    return dealt.select("_s.size", *keys, "_s.known", "_s.part").where(F.col("known").isNotNull())
+
+
+def best_class(
+    parts: DataFrame, keys: list[str], docs: DataFrame, table: ScoreTable, always: bool = False
+) -> DataFrame:
+    """(keys, copies, best) for each of docs (keys, copies), from the sums of its terms, (keys, known,
+    part).
+
+    Copies of a document share their keys, so their sums grow alike and are divided by their number.
+    best is null for a document without any known term, unless `always`: then all classes compete,
+    with no more than their lines. A class above its line is above it by its slots, so both together
+    give the maximum over all classes. Among equal scores the first class wins.
+    """
+    summed = parts.select(*keys, "known", "part", F.lit(0).cast("long").alias("copies"))
     part = summed.schema["part"].dataType
     every = docs.select(
         *keys, F.lit(0.0).alias("known"), F.lit(None).cast(part).alias("part"),

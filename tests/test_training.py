@@ -240,3 +240,34 @@ def test_normalized_lengths(spark, classifier):
     lengths = [v**0.5 for v in squares.values()]
     assert copies["copy", "food", "apple"] == 4
     assert max(lengths) == pytest.approx(min(lengths))
+
+
+def test_training_tokens_of_nothing(spark):
+    rows = [("Ab1c 9999 ABCD", ["ab1c", "abcd"]), ("a b", []), ("", []), (None, None)]
+    df = spark.createDataFrame([r[:1] for r in rows], "t STRING").coalesce(1)
+    assert [r[0] for r in df.select(X.training_tokens(F.col("t"))).collect()] == [r[1] for r in rows]
+
+
+def test_run_lengths(spark):
+    rows = [["b", "a", "b"], [], ["a"], None, ["c"] * 5 + ["a", "b"]]
+    df = spark.createDataFrame([(r,) for r in rows], "t ARRAY<STRING>").coalesce(1)
+    got = [r[0] if r[0] is None else [tuple(p) for p in r[0]] for r in df.select(X.run_lengths(F.col("t"))).collect()]
+    assert got == [None if r is None else sorted(Counter(r).items()) for r in rows]
+
+
+def test_sizes_are_summed_side_by_side(spark):
+    from gleaner.operators import scoring as SC
+
+    rows = [
+        (doc, float(t + 1), t % 2, total, 0.5 * t, None if t == 1 else 1.0 * t, 2.0 * t)
+        for doc in range(3) for t, total in enumerate((9, 5, 5, 2, 1))
+    ] + [(7, 1.0, 0, 1, 1.0, 1.0, 1.0)]
+    met = spark.createDataFrame(
+        rows, "doc INT, weight DOUBLE, block INT, total BIGINT, known DOUBLE, s0 DOUBLE, s1 DOUBLE")
+    sizes = [(1, 9, 1), (3, 5, 3), (4, 2, 4)]
+    want = SC.class_parts(V.with_sizes(met, sizes).drop("terms"), ["size", "doc"], 2)
+    got = SC.class_parts_by_size(met, ["doc"], 2, sizes)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect()))
+    # A term's row meets the sums once, not once a size.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and plan.count("Generate") == 1
