@@ -21,11 +21,18 @@ FOLDED_SCRIPTS = {
 }
 
 
+# Ranges that hold all characters of these scripts, and are much faster to look for.
+_NEAR_FOLDED = r"[\x{2EA}\x{2EB}\x{1100}-\x{11FF}\x{302E}-\x{10FFFF}]"
+
+
 def fold_scripts(text: Column) -> Column:
+    """The scripts are looked up only in texts that have a character in their ranges."""
     folded = text
     for script, letter in FOLDED_SCRIPTS.items():
         folded = F.regexp_replace(folded, script, letter)
-    return F.when(text.rlike("[" + "".join(FOLDED_SCRIPTS) + "]"), folded).otherwise(text)
+    wide = F.octet_length(text) > F.char_length(text)
+    wanted = wide & text.rlike(_NEAR_FOLDED) & text.rlike("[" + "".join(FOLDED_SCRIPTS) + "]")
+    return F.when(wanted, folded).otherwise(text)
 
 
 def language_words(text: Column) -> Column:

@@ -23,13 +23,13 @@ WORDS = 200_000
 def build_profiles(texts: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Profiles (lang, ngram, cnt, n_words) from labelled text.
 
-    Words are counted first, inside each row and then per language, so n-grams are only made of
-    distinct words. The counts are staged, since the totals per n-gram length read them again.
+    Words are counted per language first, so n-grams are only made of distinct words; the counts
+    combine before the shuffle. They are staged, since the totals per n-gram length read them again.
     """
     words = (
-        texts.select(lang, F.inline(run_lengths(G.language_words(F.col(text)))))
-        .groupBy(F.col(lang).alias("lang"), "token")
-        .agg(F.sum("n").alias("n"))
+        texts.select(F.col(lang).alias("lang"), F.explode(G.language_words(F.col(text))).alias("token"))
+        .groupBy("lang", "token")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     windows = words.select("lang", "n", F.explode(G.word_windows(F.col("token"))).alias("_w"))
     counted = (
@@ -94,9 +94,9 @@ def word_scores(docs: DataFrame, text: str, table: ScoreTable) -> Dictionary | N
         return None
     blocks = table.table.select("block").distinct().count()
     some = docs.select(text).sample(WORD_SAMPLE, seed=0)
-    seen = some.select(F.inline(run_lengths(G.language_words(F.col(text)))))
+    seen = some.select(F.explode(G.language_words(F.col(text))).alias("token"))
     common = (
-        seen.groupBy("token").agg(F.sum("n").alias("n"))
+        seen.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "token").limit(max(1, WORDS // max(1, blocks))).select("token")
     )
     sums = [F.sum(s).alias(s) for s in slots(table.width)]
@@ -115,27 +115,30 @@ def detect_language(
 
     Rows with the same key must hold the same text. copies (key, copies) counts the rows of a key;
     it is counted here when not given. A frequent word is looked up whole, with the sum of its
-    n-grams; only the others are taken apart.
+    n-grams, wherever it stands: that costs less than to count the words of a row first. Only the
+    others are taken apart. Without frequent words, all are, and are counted first.
     """
     if copies is None:
         copies = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
-    words = docs.select(*key, F.inline(run_lengths(G.language_words(F.col(text)))))
-    words = words.withColumnRenamed("n", "weight")
+    found = G.language_words(F.col(text))
     whole = word_scores(docs, text, table)
     if whole is None or not whole.small:
+        words = docs.select(*key, F.inline(run_lengths(found))).withColumnRenamed("n", "weight")
         weighted = _ngram_rows(words, [*key, "weight"])
         met = lookup(weighted, table.table.df, table.on, small=table.table.small)
-        return best_class(class_parts(met, key, table.width), key, copies, table).withColumnRenamed("best", "lang")
+        parts = class_parts(met, key, table.width)
+        return best_class(parts, key, copies, table).withColumnRenamed("best", "lang")
     names = slots(table.width)
+    words = docs.select(*key, F.explode(found).alias("token"))
     known = words.join(F.broadcast(whole.df), "token", "left")
-    columns = [*key, "weight", "block", *names]
+    columns = [*key, "block", *names]
     windows = F.when(F.col("block").isNull(), G.word_windows(F.col("token")))
     cut = known.select(*columns, F.explode_outer(windows).alias("_w"))
     grams = F.when(F.col("_w").isNotNull(), G.window_ngrams(F.col("_w")))
     terms = cut.select(*columns, F.explode_outer(grams).alias("term"))
     single = table.table.df.withColumnsRenamed({c: f"_{c}" for c in ("block", *names)})
     both = terms.join(F.broadcast(single), "term", "left").select(
-        *key, "weight", *[F.coalesce(c, f"_{c}").alias(c) for c in ("block", *names)]
+        *key, F.lit(1.0).alias("weight"), *[F.coalesce(c, f"_{c}").alias(c) for c in ("block", *names)]
     )
     parts = class_parts(both.where(F.col("block").isNotNull()), key, table.width)
     return best_class(parts, key, copies, table).withColumnRenamed("best", "lang")

@@ -119,3 +119,21 @@ def test_scripts_are_folded(spark):
 def test_long_word(spark):
     df = spark.createDataFrame([("x" * 50_000,)], "w STRING")
     assert df.select(F.size(G.word_windows(F.col("w")))).first()[0] == 50_001
+
+
+def test_ranges_hold_all_folded_characters(spark):
+    points = spark.range(0x110000).where("id not between 55296 and 57343 and id > 0")
+    # Spelt out in UTF-32, as chr() knows Latin-1 only.
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")
+    chars = points.select(char)
+    script = "[" + "".join(G.FOLDED_SCRIPTS) + "]"
+    folded = chars.where(F.col("c").rlike(script))
+    assert folded.count() > 10_000
+    assert folded.where(~F.col("c").rlike(G._NEAR_FOLDED)).count() == 0
+    assert folded.where(G.fold_scripts(F.col("c")).isin("あ", "ア", "가", "ㄅ")).count() == folded.count()
+
+
+def test_frequent_words_are_not_counted_in_their_row(texts):
+    table = L.profile_table(L.build_profiles(texts))
+    plan = L.detect_language(texts, table, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan
