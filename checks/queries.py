@@ -586,10 +586,9 @@ def harvest_file_rejects(spark, sf):
     return sources.read_harvest_rejects(spark, path)
 
 
-def _segments(spark, sf) -> str:
+def _segments(spark, pages: DataFrame) -> str:
     """A list of segments 7 and 8 and their files; all pages are in them. Segment 9 is not listed."""
     base = work_path(spark, "segments")
-    pages = stage(VW.crawl(spark, sf), "crawl")
     unlisted = pages.where(F.col("page_id") % 5 == 0)
     for rows, segment in (
         (pages.where(F.col("page_id") % 2 == 1), "7"),
@@ -605,7 +604,7 @@ def _segments(spark, sf) -> str:
 @query
 def sequence_file_scan(spark, sf):
     """Page metadata through key/value SequenceFiles, each read in several byte ranges."""
-    base = _segments(spark, sf)
+    base = _segments(spark, stage(VW.crawl(spark, sf), "crawl"))
     paths = sources.segment_paths(spark, f"{base}/list", base + "/segment/{segment}/metadata*")
     read = sources.read_pages(spark, paths, "sequence", "url", "metadata")
     parsed = read.withColumn("_m", F.explode(F.array(M.parse_metadata(F.col("metadata")))))
@@ -617,11 +616,12 @@ def sequence_file_scan(spark, sf):
 
 
 def _damaged(spark, sf) -> sources.Segments:
-    """The listed segments and a segment of pages whose only file breaks off."""
-    base = _segments(spark, sf)
-    whole = VW.crawl(spark, sf).select("url", "metadata").coalesce(1)
-    whole.rdd.map(tuple).saveAsSequenceFile(f"{base}/whole")
-    VW.broken_copy(spark, f"{base}/whole", f"{base}/segment/broken/metadata-0")
+    """The listed segments and a segment of all pages whose files, as many as a listed segment has,
+    all break off."""
+    pages = stage(VW.crawl(spark, sf), "crawl")
+    base = _segments(spark, pages)
+    pages.select("url", "metadata").rdd.map(tuple).saveAsSequenceFile(f"{base}/whole")
+    VW.broken_copies(spark, f"{base}/whole", f"{base}/segment/broken/metadata-")
     paths = [f"{base}/segment/{s}/metadata*" for s in ("7", "8", "broken")]
     return sources.read_segments(spark, paths, "sequence", "url", "metadata", 0.5)
 

@@ -142,23 +142,37 @@ def spelt_whitelist(spark: SparkSession) -> Dictionary:
     return Dictionary(with_spellings(names, "domain"))
 
 
-def broken_copy(spark: SparkSession, folder: str, path: str) -> None:
-    """The first two thirds of a folder's only data file, copied by a task."""
+def _cut(file, size: int) -> int:
+    """Two thirds of a file of records, or a byte less if a record ends there: the rest would be a
+    shorter file that does not break off."""
+    window, end = sequence.Window(file, 0), size * 2 // 3
+    at = sequence.read_header(window).end
+    while at < end:
+        record = int.from_bytes(window.take(at, 4), "big", signed=True)
+        at += 4 + sequence.SYNC_SIZE if record == -1 else 8 + record
+    return end - (at == end)
+
+
+def broken_copies(spark: SparkSession, folder: str, prefix: str) -> None:
+    """The first two thirds of each of a folder's data files, at the prefix and a number; a task a file."""
+    listed = sequence.listed_files(folder)
 
     def copied(batches):
         for batch in batches:
-            (source, size), = sequence.listed_files(folder)
-            files, local = sequence.filesystem(source)
-            to, target = sequence.filesystem(path)
-            to.create_dir(target.rpartition("/")[0], recursive=True)
-            with files.open_input_stream(local) as file, to.open_output_stream(target) as out:
-                left = size * 2 // 3
-                while left and (data := file.read(min(left, 1 << 20))):
-                    out.write(data)
-                    left -= len(data)
+            for i in batch.column("id").to_pylist():
+                source, size = listed[i]
+                files, local = sequence.filesystem(source)
+                to, target = sequence.filesystem(f"{prefix}{i}")
+                to.create_dir(target.rpartition("/")[0], recursive=True)
+                with files.open_input_file(local) as file, to.open_output_stream(target) as out:
+                    left = _cut(file, size)
+                    file.seek(0)
+                    while left and (data := file.read(min(left, 1 << 20))):
+                        out.write(data)
+                        left -= len(data)
             yield batch
 
-    spark.range(1).mapInArrow(copied, "id long").collect()
+    spark.range(0, len(listed), 1, len(listed)).mapInArrow(copied, "id long").collect()
 
 
 def hosts(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,7 @@ import gzip
 import json
 import random
 
+import pyarrow as pa
 import pytest
 
 from gleaner import sources
@@ -188,3 +189,28 @@ def test_job_writes_what_it_set_aside(spark, tmp_path):
     assert spark.read.text(f"{tmp_path}/out/titles_tsv").count() == 200
     aside = spark.read.parquet(f"{tmp_path}/out/unreadable").collect()
     assert [r.file.rpartition("/")[2] for r in aside] == ["seg-1"]
+
+
+def test_all_copies_of_a_segment_break_off(spark, tmp_path):
+    from checks import views as VW
+
+    # Equal records, so that two thirds of some files end with a record.
+    rows = spark.sparkContext.parallelize(range(1200), 1).map(lambda i: (f"k{i:04}", "v" * 11))
+    sizes = [1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144]
+    for n in sizes:
+        rows.filter(lambda r, n=n: int(r[0][1:]) < n).saveAsSequenceFile(f"{tmp_path}/in{n}")
+    rows.repartition(6).saveAsSequenceFile(f"{tmp_path}/in0")
+    for n in [0, *sizes]:
+        VW.broken_copies(spark, f"{tmp_path}/in{n}", f"{tmp_path}/out/f{n}-")
+    files = sources.read_segments(spark, [f"{tmp_path}/out"], "sequence", "url", "v", 1.0).files.collect()
+    assert len(files) == len(sizes) + 6
+    assert all(r.error is not None for r in files)
+    for size in range(200, 260):  # whatever the place of the cut
+        path = S.listed_files(f"{tmp_path}/in13")[0][0]
+        with open(path.removeprefix("file:"), "rb") as file:
+            data = file.read()
+        cut = VW._cut(pa.BufferReader(data), size)
+        head = S.read_header(S.Window(pa.BufferReader(data), 0))
+        with pytest.raises(S.UnreadableFile):
+            window = S.Window(pa.BufferReader(data[:cut]), 0)
+            list(S.read_range(window, S.read_header(window) if cut < head.end else head, 0, cut))
