@@ -419,8 +419,7 @@ def _instances(spark, sf) -> DataFrame:
 def _instances_with_copies(spark, sf) -> DataFrame:
     """Every third page is crawled twice."""
     crawled = F.explode(F.sequence(F.lit(1), F.when(VW.number(F.col("url")) % 3 == 0, 2).otherwise(1)))
-    pages = _training(spark, sf).withColumn("crawl", crawled).drop("crawl")
-    return TR.instances_of(pages)
+    return _instances(spark, sf).withColumn("crawl", crawled).drop("crawl")
 
 
 @query

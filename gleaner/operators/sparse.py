@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..workspace import stage
 from .joins import Dictionary, lookup
+from .vectors import row_id
 
 #: Copies of a row are made so many at a time, so that no array grows with their number.
 COPIES = 1 << 16
@@ -35,26 +36,25 @@ def sparse_vectors(instances: DataFrame, terms: Dictionary) -> DataFrame:
 
     Weights are ln(1 + tf) · idf in the order of the index. An instance without a known term has
     empty arrays. Copies are one instance until they are written out again, as many as they were.
-    Entries combine before the only shuffle, which carries numbers and weights but no terms.
+    Entries combine before the only shuffle, which carries numbers and weights of known terms, and
+    the other columns once an instance.
     """
     others = [c for c in instances.columns if c != "terms"]
-    # Null fields are written too: rows that differ in which field is null are no copies.
-    digest = F.md5(F.to_json(F.struct(*others, "terms"), {"ignoreNullFields": "false"}))
-    rows = instances.withColumn("_id", digest).select(
-        "_id", *others, F.posexplode_outer("terms").alias("_place", "_t")
-    )
-    rows = rows.select("_id", *others, "_place", F.col("_t.token").alias("term"), F.col("_t.n").alias("n"))
-    known = lookup(
-        rows, terms.select("term", "idf", "index"), ["term"], "left", small=terms.small
-    )
-    entry = F.when(
-        F.col("index").isNotNull(),
-        F.struct("index", (F.log1p(F.col("n")) * F.col("idf")).alias("weight")),
-    )
-    # A row's first term, or the row without terms, stands for a copy.
-    vectors = known.groupBy("_id", *others).agg(
-        F.sort_array(F.collect_set(entry)).alias("_entries"),
-        F.count_if(F.coalesce("_place", F.lit(0)) == 0).alias("_copies"),
+    keyed = instances.withColumn("_id", row_id(instances.columns))
+    rows = keyed.select("_id", F.inline("terms")).withColumnRenamed("token", "term")
+    known = lookup(rows, terms.select("term", "idf", "index"), ["term"], small=terms.small)
+    entry = F.struct("index", (F.log1p(F.col("n")) * F.col("idf")).alias("weight"))
+    entries = known.select("_id", entry.alias("_entry"))
+    copies = keyed.select("_id", F.struct(*others).alias("_of"))
+    vectors = (
+        entries.unionByName(copies, allowMissingColumns=True)
+        .groupBy("_id")
+        .agg(
+            F.sort_array(F.collect_set("_entry")).alias("_entries"),
+            F.count("_of").alias("_copies"),
+            F.first("_of", ignorenulls=True).alias("_of"),
+        )
+        .select("_of.*", "_entries", "_copies")
     )
     rounds = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPIES)))
     times = F.least(F.lit(COPIES), F.col("_copies") - F.col("_round") * COPIES)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths
@@ -20,6 +20,12 @@ def with_terms(training: DataFrame, tokens: str = "tokens") -> DataFrame:
     return training.withColumn("terms", run_lengths(F.split(F.col(tokens), " "))).drop(tokens)
 
 
+def row_id(columns: list[str]) -> Column:
+    """The same for equal rows, copies: two hashes of 64 bits each, which tell nulls apart."""
+    values = [*columns, *[F.col(c).isNull() for c in columns]]
+    return F.struct(*[F.xxhash64(F.lit(i), *values).alias(f"h{i}") for i in range(2)])
+
+
 def term_counts(instances: DataFrame) -> DataFrame:
     """(term, total, df): occurrences and instances per term.
 
@@ -102,7 +108,8 @@ def tfidf(
     """Rows (…, term, weight) with weight ln(1 + tf) · idf, for terms of the vocabulary.
 
     With normalize, each instance's weights are scaled to the average Euclidean length of all
-    instances. Instances equal in all columns are copies: each keeps its own length. With sizes
+    instances. Instances equal in all columns are copies: each keeps its own length. Lengths meet the
+    instances, a row each, and not their terms. With sizes
     (not together with normalize) rows come once for each vocabulary size, and carry it.
     """
     others = [c for c in instances.columns if c != "terms"]
@@ -113,11 +120,9 @@ def tfidf(
         if sizes is None:
             return joined.select(*others, "term", weight)
         return with_sizes(joined, sizes).select("size", *others, "term", weight)
-    digest = F.md5(F.to_json(F.struct(*others, "terms")))
-    keyed = instances.withColumn("_id", digest)
-    weighted = tfidf(keyed, vocab)
+    keyed = instances.withColumn("_id", row_id(instances.columns))
     copies = keyed.groupBy("_id").agg(F.count(F.lit(1)).alias("copies"))
-    squares = weighted.groupBy("_id").agg(F.sum(F.pow("weight", F.lit(2))).alias("squares"))
+    squares = tfidf(keyed.select("_id", "terms"), vocab).groupBy("_id").agg(F.sum(F.pow("weight", F.lit(2))).alias("squares"))
     # The squares of copies add up in one key, and are shared out among them.
     length = F.sqrt(F.coalesce(F.col("squares"), F.lit(0.0)) / F.col("copies"))
     lengths = stage(
@@ -125,7 +130,8 @@ def tfidf(
     )
     average = lengths.agg((F.sum(F.col("_len") * F.col("copies")) / F.sum("copies")).alias("a"))
     scale = average.first()["a"] or 0.0
-    return weighted.join(lengths, "_id").select(
+    measured = keyed.join(lengths.select("_id", "_len"), "_id").select(*others, "_len", "terms")
+    return tfidf(measured, vocab).select(
         *others,
         "term",
         F.when(F.col("_len") > 0, F.col("weight") * scale / F.col("_len"))

@@ -74,3 +74,10 @@ def test_no_instances(spark, tmp_path):
     instances = spark.read.parquet(str(tmp_path / "in"))
     paths = TR.export_vectors(instances, V.vocabulary(V.count_terms(instances), 5), str(tmp_path / "out"))
     assert sources.read_vectors(spark, paths["vectors"]).count() == 0
+
+
+def test_unknown_terms_are_not_grouped(spark):
+    _, df = given(spark)
+    terms = SP.Dictionary(spark.createDataFrame([("a", 1.0, 1)], "term STRING, idf DOUBLE, index BIGINT"))
+    plan = SP.sparse_vectors(df, terms)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "LeftOuter" not in plan

@@ -271,3 +271,19 @@ def test_sizes_are_summed_side_by_side(spark):
     # A term's row meets the sums once, not once a size.
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Aggregate") and plan.count("Generate") == 1
+
+
+def test_rows_differ_in_which_field_is_null(spark):
+    rows = [("a", None, [("t", 1)]), (None, "a", [("t", 1)]), ("a", None, []), ("a", None, None),
+            (None, "a", [("t", 1)]), ("a", None, [("t", 2)])]
+    df = spark.createDataFrame(rows, "url STRING, klass STRING, terms ARRAY<STRUCT<token: STRING, n: BIGINT>>")
+    assert df.select(V.row_id(df.columns).alias("i")).distinct().count() == 5
+
+
+def test_lengths_meet_instances_not_their_terms(spark):
+    df = spark.createDataFrame([("u", "A", [("t", 1), ("v", 2)]), ("w", "B", [("t", 3)])],
+                               "url STRING, klass STRING, terms ARRAY<STRUCT<token: STRING, n: BIGINT>>")
+    rows = V.tfidf(df, V.vocabulary(V.count_terms(df), 10), normalize=True)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # The terms are taken apart above the join with the lengths.
+    assert plan.index("Generate inline") < plan.index("_id#") and "to_json" not in plan
