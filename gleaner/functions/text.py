@@ -16,9 +16,8 @@ WHITESPACE_RUN = r"[ \t\n\x0B\f\r]+"
 # apostrophes, which is the same as splitting on everything else and stripping non-letters
 # from both ends.
 CLEAN_TOKEN = r"\p{L}(?:[\p{L}\p{Nd}']*\p{L})?"
-# A maximal run of at least four ASCII letters and digits with a letter in it. What precedes is looked
-# at last, as most places have no such run.
-TRAINING_TOKEN = r"(?=[A-Za-z0-9]{4})(?<![A-Za-z0-9])[0-9]*+[A-Za-z][A-Za-z0-9]*+"
+# A maximal run of at least four ASCII letters and digits with a letter in it.
+TRAINING_TOKEN = r"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{4})[0-9]*+[A-Za-z][A-Za-z0-9]*+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -44,11 +43,8 @@ def clean_tokens(col: Column) -> Column:
 
 
 def training_tokens(col: Column) -> Column:
-    """Lower-cased ASCII tokens with a letter and at least four characters, in order. They hold no
-    spaces, so they are lower-cased together."""
-    joined = F.lower(F.array_join(F.regexp_extract_all(col, F.lit(TRAINING_TOKEN), F.lit(0)), " "))
-    none = F.array().cast("array<string>")
-    return let(joined, lambda text: F.when(text == "", none).otherwise(F.split(text, " ")))
+    """Lower-cased ASCII tokens with a letter and at least four characters, in order."""
+    return F.transform(F.regexp_extract_all(col, F.lit(TRAINING_TOKEN), F.lit(0)), F.lower)
 
 
 def without_words(tokens: Column, words: Iterable[str]) -> Column:
@@ -60,22 +56,24 @@ def without_words(tokens: Column, words: Iterable[str]) -> Column:
 def run_lengths(tokens: Column) -> Column:
     """ARRAY<STRUCT<token, n>> ordered by token: a multiset count inside the row.
 
-    Sorting the row's own array and measuring runs needs no explode and no shuffle. Places are
-    numbers, so that a struct is made for a distinct token only.
+    Sorting the row's own array and measuring runs needs no explode and no shuffle.
     """
 
     def count_runs(ordered: Column) -> Column:
-        first = lambda t, i: (i == 0) | (t != F.get(ordered, i - 1))
+        numbered = F.transform(ordered, lambda t, i: F.struct(t.alias("token"), i.alias("at")))
         starts = F.filter(
-            F.transform(ordered, lambda t, i: F.when(first(t, i), i)), lambda i: i.isNotNull()
+            numbered,
+            lambda s: (s["at"] == 0) | (s["token"] != F.get(ordered, s["at"] - 1)),
         )
         return let(
             starts,
             lambda st: F.transform(
                 st,
-                lambda at, k: F.struct(
-                    F.get(ordered, at).alias("token"),
-                    (F.coalesce(F.get(st, k + 1), F.size(ordered)) - at).cast("long").alias("n"),
+                lambda s, k: F.struct(
+                    s["token"].alias("token"),
+                    (F.coalesce(F.get(st, k + 1)["at"], F.size(ordered)) - s["at"])
+                    .cast("long")
+                    .alias("n"),
                 ),
             ),
         )
